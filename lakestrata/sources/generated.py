@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -22,10 +23,11 @@ def hour_grid(spark: SparkSession, start: dt.datetime, end: dt.datetime, column:
     return grid.select(*cols)
 
 
-def hour_sequence(bounds: DataFrame, start: str, end: str, column: str = "full_datetime") -> DataFrame:
+def hour_sequence(bounds: DataFrame, start: str, end: str, column: str = "full_datetime",
+                  keep: Sequence[str] = ()) -> DataFrame:
     """One row per hour between the two timestamp columns of each row of ``bounds``."""
     hours = F.sequence(F.col(start), F.col(end), F.expr("interval 1 hour"))
-    return bounds.select(F.explode(hours).alias(column))
+    return bounds.select(*keep, F.explode(hours).alias(column))
 
 
 def literal_row(spark: SparkSession, **values: Column) -> DataFrame:
