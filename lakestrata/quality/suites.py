@@ -41,8 +41,8 @@ def listing(values: list) -> str:
     return ", ".join(str(v) for v in values)
 
 
-def _volume(name: str, expected: Column, check_type: str = "", **shown) -> Total:
-    return Total(name, check_type, F.abs(_count() - expected), **shown)
+def _volume(name: str, wanted: Column, check_type: str = "", **shown) -> Total:
+    return Total(name, check_type, F.abs(_count() - wanted), **shown)
 
 
 def _scalar_count(df: DataFrame) -> Column:

@@ -28,6 +28,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def session(app: str = "lakestrata", master: str | None = None, **conf: str) -> SparkSession:
     """A new session with the runtime settings; extra settings as keyword arguments with '__' for '.'."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.showConsoleProgress", "false")
     if master:
         builder = builder.master(master)
     for key, value in RUNTIME_CONF.items():

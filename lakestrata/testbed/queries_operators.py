@@ -282,14 +282,17 @@ def orphan_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("reconcile_keys", """
-WITH l AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R'),
-r AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'A')
-SELECT k AS l_partkey, 'left' AS only_in FROM l WHERE k NOT IN (SELECT k FROM r)
+WITH l AS (SELECT o_orderkey AS k FROM orders WHERE o_orderstatus <> 'F'),
+r AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'R')
+SELECT k AS order_key, 'left' AS only_in FROM l WHERE k NOT IN (SELECT k FROM r)
 UNION ALL SELECT k, 'right' FROM r WHERE k NOT IN (SELECT k FROM l)
 """)
 def reconcile_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = load(spark, sf_dir, "lineitem")
-    return reconcile(lines.filter("l_returnflag = 'R'"), lines.filter("l_returnflag = 'A'"), "l_partkey")
+    """Unfinished orders against orders with a returned line, both ways."""
+    orders = load(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'")
+    returned = load(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
+    return reconcile(orders.select(F.col("o_orderkey").alias("order_key")),
+                     returned.select(F.col("l_orderkey").alias("order_key")), "order_key")
 
 
 @query("within_bounds", """

@@ -1,0 +1,409 @@
+"""The quality suites over the stand-in warehouse, with seeded defects so that every status occurs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from lakestrata.quality import rules
+from lakestrata.quality.store import append_report, stored_reports, summarise
+from lakestrata.quality.suites import (bronze_trip_suite, bronze_weather_suite, calendar_suite, download_suite,
+                                       fact_suite, location_suite, silver_trip_suite, silver_weather_suite,
+                                       silver_zone_suite, weather_suite)
+from lakestrata.functions.numeric import percentage
+from lakestrata.plans.silver import is_valid_event
+from lakestrata.session import new_path
+from lakestrata.testbed.registry import query
+from lakestrata.testbed.sql import (CALENDAR, FACT, KEY, SILVER, SIMPLE, SOURCE, SOURCE_STATUS, TABLE, TABLE_ACTUAL,
+                                    TRIPS, VALID, WEATHER, ZONES, check, pct, rows, suite, warn)
+from lakestrata.testbed.standins import BOROUGHS, RULES, UNTIL, bronze_zones, load, table, trips
+
+NULL_KEY = " OR ".join(f"{c.strip()} IS NULL" for c in KEY.split(","))
+FIRST, LAST = "1995-01-01 00:00:00", "2001-08-01 00:00:00"
+
+
+def _distinct(table_name: str, columns: str) -> str:
+    return f"(SELECT count(*) FROM (SELECT DISTINCT {columns} FROM {table_name}))"
+
+
+def _duplicates(table_name: str, name: str, kind: str, columns: str, severity: str = "") -> str:
+    return check(name, kind, "count(*)", f"count(*) - {_distinct(table_name, columns)}", severity=severity) \
+        + f" FROM {table_name}"
+
+
+def _volumes(table_name: str, name: str, label: str) -> str:
+    return (check("x", "VOLUME", "count(*)", "0", severity="MONTHLY_COUNT")
+            .replace("'x'", f"'{name} (' || {label} || ')'") + f" FROM {table_name} GROUP BY {label}")
+
+
+# Sources and Bronze ---------------------------------------------------------------------------------------
+
+_MONTH = "coalesce(nullif(regexp_extract(source_file, '(\\d{4}-\\d{2})', 1), ''), 'UNKNOWN')"
+_RAW = """, raw AS (SELECT * EXCLUDE (delivery, source_month, VendorID), nullif(VendorID, 2) AS VendorID,
+  {month} AS file_month FROM trips)""".format(month=_MONTH)
+
+
+@query("dq_raw", TRIPS + _RAW + suite([
+    check("Total Downloaded Row Count", "VOLUME", "count(*)", "0", severity="CRITICAL") + " FROM raw",
+    _duplicates("raw", "Duplicate composite key check (7-columns)", "UNIQUE", KEY, "COMPOSITE_KEY"),
+    _duplicates("raw", "Exact duplicate rows", "UNIQUE", "* EXCLUDE (source_file)", "COMPOSITE_KEY"),
+    rows("raw", "Null count for mandatory key fields (7-columns)", "NULL", NULL_KEY, severity="OTHER_DQ"),
+    _volumes("raw", "Monthly Row Count by Source Month", "file_month"),
+    _volumes("raw", "Monthly Row Count by Pickup Date", "strftime(lpep_pickup_datetime, '%Y-%m')"),
+], SOURCE_STATUS, SOURCE))
+def dq_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trips with a NULL vendor here and there."""
+    raw = trips(spark, sf_dir).drop("delivery").withColumn("VendorID", F.nullif("VendorID", F.lit(2)))
+    return download_suite(raw)
+
+
+_BRONZE = """, bronze AS (SELECT * REPLACE (CASE WHEN VendorID = 7 THEN NULL ELSE source_file END AS source_file)
+  FROM trips)"""
+_FILE_MONTH = "coalesce(nullif(regexp_extract(source_file, '(\\d{4}-\\d{2})', 1), ''), source_month, 'UNKNOWN')"
+
+
+@query("dq_bronze_fact", TRIPS + _BRONZE + suite([
+    check("Total Loaded Row Count", "VOLUME", "count(*)", "0", severity="CRITICAL") + " FROM bronze",
+    _duplicates("bronze", "Duplicate composite key check (7-columns)", "UNIQUE", KEY, "COMPOSITE_KEY"),
+    _duplicates("bronze", "Exact duplicate rows", "UNIQUE", "*", "COMPOSITE_KEY"),
+    rows("bronze", "Audit lineage population", "LINEAGE", "source_file IS NULL OR source_month IS NULL",
+         severity="OTHER_DQ"),
+    rows("bronze", "Null count for mandatory key fields (7-columns)", "NULL", NULL_KEY, severity="OTHER_DQ"),
+    rows("bronze", "Non-positive trip distance", "RANGE", "trip_distance <= 0", severity="OTHER_DQ"),
+    rows("bronze", "Negative total amount", "RANGE", "total_amount < 0", severity="OTHER_DQ"),
+    _volumes("bronze", "Monthly Row Count by Source File Month", _FILE_MONTH),
+    _volumes("bronze", "Monthly Row Count by Pickup Date Month", "strftime(lpep_pickup_datetime, '%Y-%m')"),
+], SOURCE_STATUS, SOURCE))
+def dq_bronze_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze trips without a file name for one vendor."""
+    bronze = table(spark, sf_dir, "bronze_trips")
+    file_name = F.when(F.col("VendorID") != 7, F.col("source_file"))
+    return bronze_trip_suite(bronze.withColumn("source_file", file_name))
+
+
+_NON_NEGATIVE = "precipitation < 0 OR precipitation < 0 OR snowfall < 0 OR wind_speed_10m < 0"
+_RANGE = f"CASE WHEN min({{0}}) = TIMESTAMP '{FIRST}' AND max({{0}}) = TIMESTAMP '{LAST}' THEN 0 ELSE 1 END"
+
+
+@query("dq_bronze_series", WEATHER + suite([
+    rows("readings", "Completeness", "", "ts IS NULL OR weather_code IS NULL OR temperature_2m IS NULL"),
+    _duplicates("readings", "Uniqueness", "", "ts"),
+    rows("readings", "Lineage", "", "false"),
+    rows("readings", "Validity", "", _NON_NEGATIVE),
+    check("Volume", "", "count(*)", "abs(count(*) - 57697)") + " FROM readings",
+    check("Timestamp Range", "", "count(*)", _RANGE.format("ts")) + " FROM readings",
+], "", SIMPLE))
+def dq_bronze_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze_weather_suite(table(spark, sf_dir, "bronze_weather"), 57697, FIRST, LAST)
+
+
+# Silver ---------------------------------------------------------------------------------------------------
+
+_DEFECT_SILVER = """, checked AS (SELECT * REPLACE (CASE WHEN VendorID = 4 THEN 'y ' ELSE store_and_fwd_flag END
+  AS store_and_fwd_flag, nullif(trip_type, 2) AS trip_type) FROM silver)"""
+
+
+@query("dq_silver_fact", SILVER + _DEFECT_SILVER + suite([
+    rows("checked", "Completeness", "", "lpep_pickup_datetime IS NULL OR lpep_dropoff_datetime IS NULL"),
+    _duplicates("checked", "Uniqueness", "", KEY),
+    rows("checked", "Lineage", "", "source_file IS NULL OR source_month IS NULL"),
+    rows("checked", "Standardization", "", "store_and_fwd_flag IS NULL OR store_and_fwd_flag <> trim(store_and_fwd_flag) "
+         "OR store_and_fwd_flag NOT IN ('Y', 'N', 'Unknown')"),
+    rows("checked", "Cleaned Fields", "", "RatecodeID IS NULL OR passenger_count IS NULL OR payment_type IS NULL "
+         "OR trip_type IS NULL OR congestion_surcharge IS NULL"),
+    check("Volume", "", "count(*)", f"abs(count(*) - (SELECT count(*) FROM (SELECT DISTINCT {KEY} FROM trips "
+          f"WHERE {VALID})))") + " FROM checked",
+], "", SIMPLE))
+def dq_silver_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver trips with an untrimmed flag for one vendor and a trip type that was not filled."""
+    flag = F.when(F.col("VendorID") == 4, "y ").otherwise(F.col("store_and_fwd_flag"))
+    silver = table(spark, sf_dir, "silver_trips").withColumns(
+        {"store_and_fwd_flag": flag, "trip_type": F.nullif("trip_type", F.lit(2))})
+    return silver_trip_suite(silver, table(spark, sf_dir, "bronze_trips"), is_valid_event(RULES, UNTIL))
+
+
+_SILVER_ZONE_STATUS = ("WHEN check_name = 'Missing location_id' THEN 'FAIL' "
+                       + warn("'UNIQUE', 'NULL', 'STANDARDIZATION', 'LINEAGE', 'VALIDITY'", 1) + " " + warn("'VOLUME'", 2))
+_BOROUGH_TEXT = ", ".join(BOROUGHS)
+_BOROUGH_SQL = ", ".join(f"'{b}'" for b in BOROUGHS)
+
+
+@query("dq_silver_ref", ZONES + ", z AS (SELECT location_id, borough, zone, CASE WHEN location_id = 3 THEN 'EWR ' "
+       "ELSE service_zone END AS service_zone FROM silver_zones)" + suite([
+    check("Bronze-to-Silver row count match", "VOLUME", "count(*)", "abs(count(*) - (SELECT count(*) FROM zones))",
+          "(SELECT count(*) FROM zones)") + " FROM z",
+    rows("z", "Missing location_id", "NULL", "location_id IS NULL"),
+    rows("z", "Missing borough", "NULL", "borough IS NULL"),
+    rows("z", "Missing zone", "NULL", "zone IS NULL"),
+    rows("z", "Missing service_zone", "NULL", "service_zone IS NULL"),
+    _duplicates("z", "Duplicate location_id primary key", "UNIQUE", "location_id"),
+    rows("z", "Unstandardized text values", "STANDARDIZATION",
+         "borough <> trim(borough) OR zone <> trim(zone) OR service_zone <> trim(service_zone)"),
+    rows("z", "Invalid borough value", "VALIDITY", f"borough NOT IN ({_BOROUGH_SQL})", f"'{_BOROUGH_TEXT}'"),
+    rows("z", "Invalid service_zone value", "VALIDITY",
+         "service_zone NOT IN ('EWR', 'Boro Zone', 'Yellow Zone', 'Airports')",
+         "'EWR, Boro Zone, Yellow Zone, Airports'"),
+    rows("z", "Missing silver_ingestion_timestamp", "LINEAGE", "false"),
+    rows("z", "Missing silver_ingestion_date", "LINEAGE", "false"),
+], _SILVER_ZONE_STATUS, TABLE, "taxi_zones_silver"))
+def dq_silver_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver zones with one untrimmed service zone."""
+    service = F.when(F.col("location_id") == 3, "EWR ").otherwise(F.col("service_zone"))
+    silver = table(spark, sf_dir, "silver_zones").withColumn("service_zone", service)
+    return silver_zone_suite(silver, bronze_zones(spark, sf_dir), BOROUGHS)
+
+
+@query("dq_silver_series", WEATHER + ', s AS (SELECT "timestamp" AS ts, * EXCLUDE ("timestamp", wind_speed_10m), '
+       "wind_speed_10m - 5 AS wind_speed_10m FROM silver_weather)" + suite([
+    rows("s", "Completeness", "", "ts IS NULL OR weather_code IS NULL OR temperature_2m IS NULL"),
+    _duplicates("s", "Uniqueness", "", "ts"),
+    rows("s", "Lineage", "", "false"),
+    rows("s", "Validity", "", _NON_NEGATIVE),
+    check("Volume", "", "count(*)", "abs(count(*) - 57697)") + " FROM s",
+], "", SIMPLE))
+def dq_silver_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver weather with some wind below zero."""
+    silver = table(spark, sf_dir, "silver_weather").withColumn("wind_speed_10m", F.col("wind_speed_10m") - 5)
+    return silver_weather_suite(silver, 57697)
+
+
+# Gold -----------------------------------------------------------------------------------------------------
+
+_DEFECT_CALENDAR = """, c AS (SELECT * REPLACE (CASE WHEN "day" = 13 THEN NOT is_weekend ELSE is_weekend END AS is_weekend,
+  CASE WHEN "hour" = 8 AND "month" = 2 THEN false ELSE is_rush_hour END AS is_rush_hour,
+  CASE WHEN "hour" = 23 AND "day" = 31 THEN 'Late' ELSE time_period END AS time_period) FROM calendar)"""
+
+
+@query("dq_calendar", CALENDAR + _DEFECT_CALENDAR + suite([
+    rows("c", "Missing gold_ingestion_date", "LINEAGE", "false"),
+    rows("c", "Missing gold_ingestion_timestamp", "LINEAGE", "false"),
+    *[rows("c", f"Missing {n}", "NULL", f'"{n}" IS NULL')
+      for n in ("datetime_key", "full_datetime", "date", "day_name", "month_name")],
+    rows("c", "Unstandardized text values", "STANDARDIZATION",
+         "time_period NOT IN ('Morning', 'Afternoon', 'Evening', 'Night', 'Unknown')"),
+    rows("c", "Invalid weekend flag logic", "STANDARDIZATION",
+         "datetime_key > 0 AND (day_of_week IN (1, 7)) <> is_weekend"),
+    rows("c", "Invalid rush hour flag logic", "STANDARDIZATION", "datetime_key > 0 AND "
+         "(day_of_week BETWEEN 2 AND 6 AND \"hour\" IN (7, 8, 9, 16, 17, 18, 19)) <> is_rush_hour"),
+    _duplicates("c", "Duplicate datetime_key primary key", "UNIQUE", "datetime_key"),
+    check("Expected hourly row count match (1995-2001)", "VOLUME", "count(*)", "abs(count(*) - 57700)", "'57700'",
+          base="57700") + " FROM c",
+    rows("c", "Records outside 1995-2001 date range", "DATE_RANGE",
+         "datetime_key > 0 AND (\"date\" < DATE '1995-01-01' OR \"date\" > DATE '2001-07-31')"),
+], "", TABLE, "dim_datetime"))
+def dq_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calendar with wrong flags on some days, one wrong label and an hour outside the range."""
+    calendar = table(spark, sf_dir, "calendar").withColumns({
+        "is_weekend": F.when(F.col("day") == 13, ~F.col("is_weekend")).otherwise(F.col("is_weekend")),
+        "is_rush_hour": F.when((F.col("hour") == 8) & (F.col("month") == 2), False).otherwise(F.col("is_rush_hour")),
+        "time_period": F.when((F.col("hour") == 23) & (F.col("day") == 31), "Late").otherwise(F.col("time_period"))})
+    return calendar_suite(calendar, 57699, "1995-01-01", "2001-07-31", "1995-2001")
+
+
+_DEFECT_LOCATION = """, l AS (
+  SELECT location_key, location_id, CASE WHEN location_id = 5 THEN ' ' ELSE borough END AS borough, zone, service_zone
+  FROM location WHERE location_id <> 7
+  UNION ALL SELECT location_key, location_id, borough, 'other name', service_zone FROM location WHERE location_id = 9
+  UNION ALL SELECT 900, 900, 'Africa', 'nowhere', 'EWR')"""
+_LOCATION_STATUS = ("WHEN check_name IN ('Missing location_key', 'Missing location_id', 'Missing borough', "
+                    "'Missing zone', 'Missing service_zone') THEN 'FAIL' "
+                    + warn("'UNIQUE', 'RANGE', 'ACCEPTED_VALUE', 'BUSINESS_RULE', 'REFERENTIAL_INTEGRITY', 'NULL'", 1)
+                    + " " + warn("'VOLUME'", 2))
+_UPPER = ", ".join(f"'{b.upper()}'" for b in BOROUGHS)
+_CONFLICTS = ("(SELECT count(*) FROM (SELECT location_id FROM l GROUP BY location_id HAVING count(DISTINCT "
+              "upper(trim(borough)) || '|' || upper(trim(zone)) || '|' || upper(trim(service_zone))) > 1))")
+
+
+@query("dq_location", ZONES + _DEFECT_LOCATION + suite([
+    check("Row count vs unique Silver locations", "VOLUME", "count(*)",
+          "abs(count(*) - (SELECT count(DISTINCT location_id) FROM silver_zones))",
+          "(SELECT count(DISTINCT location_id) FROM silver_zones)", "count(*)") + " FROM l",
+    rows("l", "Missing location_key", "NULL", "location_key IS NULL"),
+    _duplicates("l", "Duplicate location_key", "UNIQUE", "location_key"),
+    rows("l", "Missing location_id", "NULL", "location_id IS NULL"),
+    _duplicates("l", "Duplicate location business key", "UNIQUE", "location_id"),
+    *[rows("l", f"Missing {c}", "NULL", f"{c} IS NULL OR trim({c}) = ''") for c in ("borough", "zone", "service_zone")],
+    rows("l", "Invalid location_id", "RANGE", "location_id IS NULL OR location_id <= 0", "'> 0'"),
+    rows("l", "Invalid borough value", "ACCEPTED_VALUE", f"upper(trim(borough)) NOT IN ({_UPPER})",
+         "'" + ", ".join(b.upper() for b in BOROUGHS) + "'"),
+    check("Location has conflicting attributes", "BUSINESS_RULE", _CONFLICTS, _CONFLICTS),
+    check("Silver locations missing from Gold", "REFERENTIAL_INTEGRITY", "count(*)",
+          "count(*) FILTER (WHERE location_id NOT IN (SELECT location_id FROM l))") + " FROM silver_zones",
+    check("Gold locations missing from Silver", "REFERENTIAL_INTEGRITY", "count(*)",
+          "count(*) FILTER (WHERE location_id NOT IN (SELECT location_id FROM silver_zones))") + " FROM l",
+], _LOCATION_STATUS, TABLE_ACTUAL, "dim_location"))
+def dq_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A location dimension with a blank borough, a missing, a doubled and an unknown location."""
+    good = table(spark, sf_dir, "location")
+    blank = F.when(F.col("location_id") == 5, " ").otherwise(F.col("borough"))
+    doubled = good.filter("location_id = 9").withColumn("zone", F.lit("other name"))
+    stranger = doubled.withColumns({"location_key": F.lit(900).cast("long"), "location_id": F.lit(900),
+                                    "borough": F.lit("Africa"), "zone": F.lit("nowhere"), "service_zone": F.lit("EWR")})
+    location = (good.filter("location_id <> 7").withColumn("borough", blank)
+                .unionByName(doubled).unionByName(stranger))
+    return location_suite(location, table(spark, sf_dir, "silver_zones"), [b.upper() for b in BOROUGHS])
+
+
+@query("dq_condition", WEATHER + ", w AS (SELECT weather_datetime AS ts, * FROM weather)" + suite([
+    rows("w", "Completeness", "", "ts IS NULL OR weather_code IS NULL OR weather_condition IS NULL"),
+    _duplicates("w", "Uniqueness", "", "ts"),
+    rows("w", "Measurement Validity", "", _NON_NEGATIVE),
+    rows("w", "Weather Code Mapping", "", "weather_condition = 'Unknown' OR weather_condition IS NULL"),
+    rows("w", "Weather Key Completeness", "", "weather_key IS NULL"),
+    _duplicates("w", "Weather Key Uniqueness", "", "weather_key"),
+    check("Volume", "", "count(*)", "abs(count(*) - (SELECT count(DISTINCT ts) FROM readings))") + " FROM w",
+    check("Timestamp Range", "", "count(*)", _RANGE.format("ts")) + " FROM w",
+], "", SIMPLE))
+def dq_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weather dimension; readings with an unlisted code are its defect."""
+    hours = table(spark, sf_dir, "bronze_weather").select("timestamp").distinct().count()
+    return weather_suite(table(spark, sf_dir, "weather"), hours, FIRST, LAST)
+
+
+_DEFECT_FACT = """, f AS (SELECT * REPLACE (
+  CASE WHEN vendor_id = 6 AND passenger_count = 1 THEN pickup_location_key + 1000 ELSE pickup_location_key END
+    AS pickup_location_key,
+  CASE WHEN trip_key % 500 = 1 THEN NULL ELSE dropoff_location_key END AS dropoff_location_key,
+  CASE WHEN vendor_id = 1 THEN weather_key + 1000000 ELSE weather_key END AS weather_key,
+  CASE WHEN trip_key % 300 = 5 THEN 0 ELSE trip_distance END AS trip_distance,
+  CASE WHEN trip_key % 20 = 3 THEN -1 ELSE fare_amount END AS fare_amount,
+  CASE WHEN vendor_id = 3 THEN 9 ELSE payment_type END AS payment_type) FROM fact)"""
+_FACT_STATUS = ("WHEN check_name IN ('Missing trip_key', 'Missing surrogate FK columns') THEN 'FAIL' "
+                "WHEN check_type = 'REFERENTIAL_INTEGRITY' AND check_name LIKE '%weather%' THEN 'PASS' "
+                + warn("'UNIQUE', 'RANGE', 'ACCEPTED_VALUE', 'REFERENTIAL_INTEGRITY', 'NULL'", 1) + " "
+                + warn("'VOLUME'", 2))
+
+
+def _orphans(column: str, dim: str, key: str, name: str) -> str:
+    return rows("f", name, "REFERENTIAL_INTEGRITY",
+                f"{column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {dim})")
+
+
+@query("dq_fact", FACT + _DEFECT_FACT + suite([
+    check("Row count vs expected join result", "VOLUME", "count(*)", "abs(count(*) - (SELECT count(*) FROM joined))",
+          "(SELECT count(*) FROM joined)", "count(*)") + " FROM f",
+    rows("f", "Missing trip_key", "NULL", "trip_key IS NULL"),
+    rows("f", "Missing surrogate FK columns", "NULL", "pickup_datetime_key IS NULL OR dropoff_datetime_key IS NULL "
+         "OR pickup_location_key IS NULL OR dropoff_location_key IS NULL"),
+    _duplicates("f", "Duplicate trip_key", "UNIQUE", "trip_key"),
+    _duplicates("f", "Duplicate natural key", "UNIQUE", KEY.replace("VendorID", "vendor_id")),
+    rows("f", "Missing natural FK columns", "NULL", "PULocationID IS NULL OR DOLocationID IS NULL"),
+    _orphans("pickup_location_key", "location", "location_key", "pickup_location_key not in dim_location"),
+    _orphans("dropoff_location_key", "location", "location_key", "dropoff_location_key not in dim_location"),
+    _orphans("pickup_datetime_key", "calendar", "datetime_key", "pickup_datetime_key not in dim_datetime"),
+    _orphans("dropoff_datetime_key", "calendar", "datetime_key", "dropoff_datetime_key not in dim_datetime"),
+    _orphans("weather_key", "weather", "weather_key",
+             "weather_key not in dim_weather (informational, LEFT JOIN is expected)"),
+    rows("f", "Invalid trip_distance", "RANGE", "trip_distance <= 0", "'> 0'"),
+    rows("f", "Negative trip_duration_minutes", "RANGE", "trip_duration_minutes < 0", "'>= 0'"),
+    rows("f", "Negative fare_amount", "RANGE", "fare_amount < 0", "'>= 0'"),
+    rows("f", "Negative total_amount", "RANGE", "total_amount < 0", "'>= 0'"),
+    rows("f", "Invalid passenger_count", "RANGE", "passenger_count <= 0", "'> 0'"),
+    rows("f", "Invalid payment_type", "ACCEPTED_VALUE", "payment_type NOT IN (1, 2, 3, 4, 5, 6, -1)",
+         "'1, 2, 3, 4, 5, 6, -1'"),
+    rows("f", "Invalid trip_type", "ACCEPTED_VALUE", "trip_type NOT IN (1, 2, -1)", "'1, 2, -1'"),
+    rows("f", "Invalid ratecode_id", "ACCEPTED_VALUE", "ratecode_id NOT IN (1, 2, 3, 4, 5, 6, 99, -1)",
+         "'1, 2, 3, 4, 5, 6, 99, -1'"),
+    rows("f", "Missing gold_processed_timestamp/date", "LINEAGE", "false"),
+], _FACT_STATUS, TABLE_ACTUAL, "fact_taxi_trip"))
+def dq_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact with lost references, zero distances, negative fares and unlisted codes."""
+    key = F.col("trip_key")
+
+    def broken(column: str, where, value):
+        return F.when(where, value).otherwise(F.col(column))
+
+    fact = table(spark, sf_dir, "fact").withColumns({
+        "pickup_location_key": broken("pickup_location_key", (F.col("vendor_id") == 6) & (F.col("passenger_count") == 1),
+                                      F.col("pickup_location_key") + 1000),
+        "dropoff_location_key": broken("dropoff_location_key", key % 500 == 1, None),
+        "weather_key": broken("weather_key", F.col("vendor_id") == 1, F.col("weather_key") + 1000000),
+        "trip_distance": broken("trip_distance", key % 300 == 5, 0.0),
+        "fare_amount": broken("fare_amount", key % 20 == 3, -1.0),
+        "payment_type": broken("payment_type", F.col("vendor_id") == 3, F.lit(9).cast("long"))})
+    return fact_suite(fact, *[table(spark, sf_dir, n) for n in ("silver_trips", "calendar", "location", "weather")])
+
+
+# Status rules, gate ---------------------------------------------------------------------------------------
+
+_TYPES = ["COMPOSITE_KEY", "OTHER_DQ", "MONTHLY_COUNT", "UNIQUE", "NULL", "RANGE", "ACCEPTED_VALUE", "BUSINESS_RULE",
+          "REFERENTIAL_INTEGRITY", "VOLUME", "STANDARDIZATION", "LINEAGE", "VALIDITY"]
+_NAMES = ["Missing location_id", "Missing trip_key", "weather reference", "other"]
+
+
+@query("dq_status_rules", f"""
+WITH s AS (SELECT l_suppkey, count(*) AS records, count(*) FILTER (WHERE l_quantity = 1) AS failures
+           FROM lineitem GROUP BY l_suppkey),
+p AS (SELECT *, {pct('failures', 'records')} AS failure_pct FROM s),
+g AS (SELECT p.*, t.check_type, n.check_name FROM p, (SELECT unnest({_TYPES}) AS check_type) t,
+             (SELECT unnest({_NAMES}) AS check_name) n)
+SELECT l_suppkey, check_type, check_name, failures, failure_pct,
+  CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS strict,
+  CASE WHEN failures = 0 OR check_type = 'MONTHLY_COUNT' THEN 'PASS'
+       WHEN check_type = 'COMPOSITE_KEY' AND failure_pct <= 1 THEN 'WARN'
+       WHEN check_type = 'OTHER_DQ' AND failure_pct <= 2 THEN 'WARN' ELSE 'FAIL' END AS source,
+  CASE WHEN failures = 0 THEN 'PASS' WHEN check_name = 'Missing location_id' THEN 'FAIL'
+       WHEN check_type IN ('UNIQUE', 'NULL', 'STANDARDIZATION', 'LINEAGE', 'VALIDITY') AND failure_pct <= 1 THEN 'WARN'
+       WHEN check_type = 'VOLUME' AND failure_pct <= 2 THEN 'WARN' ELSE 'FAIL' END AS silver_zone,
+  CASE WHEN failures = 0 THEN 'PASS' WHEN check_name = 'Missing location_id' THEN 'FAIL'
+       WHEN check_type IN ('UNIQUE', 'RANGE', 'ACCEPTED_VALUE', 'BUSINESS_RULE', 'REFERENTIAL_INTEGRITY', 'NULL')
+            AND failure_pct <= 1 THEN 'WARN'
+       WHEN check_type = 'VOLUME' AND failure_pct <= 2 THEN 'WARN' ELSE 'FAIL' END AS location,
+  CASE WHEN failures = 0 THEN 'PASS' WHEN check_name = 'Missing trip_key' THEN 'FAIL'
+       WHEN check_type = 'REFERENTIAL_INTEGRITY' AND check_name LIKE '%weather%' THEN 'PASS'
+       WHEN check_type IN ('UNIQUE', 'RANGE', 'ACCEPTED_VALUE', 'REFERENTIAL_INTEGRITY', 'NULL')
+            AND failure_pct <= 1 THEN 'WARN'
+       WHEN check_type = 'VOLUME' AND failure_pct <= 2 THEN 'WARN' ELSE 'FAIL' END AS fact
+FROM g
+""")
+def dq_status_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule set on the failure rate of each supplier's lines, for every check type."""
+    measured = load(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(F.col("l_quantity") == 1).alias("failures"))
+    grid = (measured.withColumn("failure_pct", percentage(F.col("failures"), F.col("records")))
+            .withColumn("check_type", F.explode(F.array(*[F.lit(t) for t in _TYPES])))
+            .withColumn("check_name", F.explode(F.array(*[F.lit(n) for n in _NAMES]))))
+    sets = {"strict": rules.STRICT, "source": rules.SOURCE_RULES, "silver_zone": rules.SILVER_ZONE_RULES,
+            "location": rules.LOCATION_RULES, "fact": rules.FACT_RULES}
+    kind = F.col("check_type")
+    return grid.select(
+        "l_suppkey", "check_type", "check_name", "failures", "failure_pct",
+        *[r.status(F.col("check_name"), kind, kind, F.col("failures"), F.col("failure_pct")).alias(n)
+          for n, r in sets.items()])
+
+
+_SUITES = {
+    "bronze_weather": [
+        rows("readings", "Completeness", "", "ts IS NULL OR weather_code IS NULL"),
+        _duplicates("readings", "Uniqueness", "", "ts"),
+        rows("readings", "Lineage", "", "false"),
+        rows("readings", "Validity", "", _NON_NEGATIVE),
+        check("Volume", "", "count(*)", "abs(count(*) - 57697)") + " FROM readings",
+        check("Timestamp Range", "", "count(*)", _RANGE.format("ts")) + " FROM readings"],
+    "silver_trips": [
+        rows("silver", "Completeness", "", "lpep_pickup_datetime IS NULL OR lpep_dropoff_datetime IS NULL"),
+        _duplicates("silver", "Uniqueness", "", KEY),
+        rows("silver", "Lineage", "", "source_file IS NULL OR source_month IS NULL"),
+        rows("silver", "Standardization", "", "store_and_fwd_flag NOT IN ('Y', 'N', 'Unknown')"),
+        rows("silver", "Cleaned Fields", "", "RatecodeID IS NULL OR passenger_count IS NULL OR trip_type IS NULL"),
+        check("Volume", "", "count(*)", f"abs(count(*) - (SELECT count(*) FROM (SELECT DISTINCT {KEY} FROM trips "
+              f"WHERE {VALID})))") + " FROM silver"],
+}
+
+
+@query("dq_gate_summary", SILVER + "," + WEATHER.removeprefix("WITH") + ", r AS (" + "\nUNION ALL ".join(
+    f"SELECT '{name}' AS suite, failures FROM ({c})" for name, checks in _SUITES.items() for c in checks) + """)
+SELECT suite, count(*) FILTER (WHERE failures = 0) AS pass_checks, 0::BIGINT AS warn_checks,
+       count(*) FILTER (WHERE failures > 0) AS fail_checks, count(*) AS checks
+FROM r GROUP BY suite
+""")
+def dq_gate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports stored in the quality table, read back and counted per suite and status."""
+    reports = {
+        "bronze_weather": bronze_weather_suite(table(spark, sf_dir, "bronze_weather"), 57697, FIRST, LAST),
+        "silver_trips": silver_trip_suite(table(spark, sf_dir, "silver_trips"), table(spark, sf_dir, "bronze_trips"),
+                                          is_valid_event(RULES, UNTIL))}
+    path = new_path(spark, "quality")
+    for suite_name, report in reports.items():
+        append_report(report, path, suite_name, "run-1")
+    stored = stored_reports(spark, path)
+    return summarise({name: stored.filter(F.col("suite") == name) for name in reports})

@@ -57,13 +57,14 @@ def scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path)
 
 
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _ARRAYS = {"time": "string", "event": "bigint", "reading": "double"}
 
 
 def _event_documents(spark: SparkSession, sf_dir: str) -> str:
     """Events as documents of parallel arrays, up to 500 events with neighbouring ids in each."""
     events = load(spark, sf_dir, "events")
-    entry = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"),
+    entry = F.struct(F.date_format("ts", MICROS).alias("time"),
                      F.col("event_id").alias("event"), F.col("value").alias("reading"))
     docs = events.groupBy(F.floor(F.col("event_id") / 500).alias("doc")).agg(F.collect_list(entry).alias("e"))
     path = new_path(spark, "documents")
@@ -84,7 +85,8 @@ SELECT event_id, ts, event_type, value, (props->>'k')::BIGINT AS code FROM event
 def scan_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines with declared types, and a JSON text column opened with a declared type."""
     path = new_path(spark, "records")
-    load(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value", "props").write.json(path)
+    load(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value", "props").write.option(
+        "timestampNTZFormat", MICROS).json(path)
     rows = read_records(spark, path, "event_id bigint, ts timestamp_ntz, event_type string, value double, props string")
     return rows.select("event_id", "ts", "event_type", "value",
                        F.from_json("props", T.StructType([T.StructField("k", T.LongType())]))["k"].alias("code"))
@@ -173,8 +175,9 @@ def ingest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records merged by primary key: a first pull with old values, then the whole series."""
     events = load(spark, sf_dir, "events").select("event_id", "ts", "value")
     old, new = new_path(spark, "records"), new_path(spark, "records")
-    events.filter(F.col("value") < 20).withColumn("value", -F.col("value")).write.json(old)
-    events.write.json(new)
+    events.filter(F.col("value") < 20).withColumn("value", -F.col("value")).write.option(
+        "timestampNTZFormat", MICROS).json(old)
+    events.write.option("timestampNTZFormat", MICROS).json(new)
     merged = ingest_typed_records(spark, old, None, events.schema, "event_id", "api", AT)
     merged = ingest_typed_records(spark, new, materialize(merged, "target"), events.schema, "event_id", "api", AT)
     return merged.select("event_id", "ts", "value", "source_file")
