@@ -30,7 +30,8 @@ def number_rows(df: DataFrame, key: str, order_by: Sequence[str], after: Column
     start = F.lit(0) if after is None else F.coalesce(after, F.lit(0))
     place = F.col("_place").bitwiseAND(F.lit((1 << _PART_BITS) - 1))
     number = (start + F.col("_before") + place + 1).cast("long")
-    return runs.join(offsets, "_run").select(number.alias(key), *columns)
+    # At most one offset per sort partition, so the broadcast is bounded by the partition count.
+    return runs.join(F.broadcast(offsets), "_run").select(number.alias(key), *columns)
 
 
 def assign_missing_keys(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from lakestrata.operators.keys import number_rows
 from lakestrata.operators.writes import overwrite_partitions
 from lakestrata.session import materialize
 
@@ -55,29 +56,18 @@ def _inserted(rows: DataFrame, target: DataFrame) -> DataFrame:
         for f in target.schema.fields])
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, null_safe: bool = True,
-           update: Sequence[str] | None = None, delete_unmatched: bool = False,
-           bulk: bool = False, check_source: bool = True) -> DataFrame:
-    """The target after the upsert, with the target's columns.
-
-    keys              match columns; with ``null_safe`` two NULLs match, otherwise NULL matches nothing
-    update            columns taken from the source on a match (default: all its non-key columns)
-    delete_unmatched  drop target rows that match no source row
-    bulk              the source is of the target's order of size: one full outer join
-    check_source      reject a source with repeated keys (skip it when the source was just deduplicated)
+def split_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, null_safe: bool = True,
+                 update: Sequence[str] | None = None, delete_unmatched: bool = False,
+                 check_source: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The two halves of an upsert: target rows after the update, and source rows to insert.
 
-    The usual source is one load batch against a large table. Then the target is looked up against
-    the source (a left join, so a small source is broadcast and the target is not shuffled) and only
-    the matching target keys travel to find the rows to insert. Target columns absent from the source,
-    such as a surrogate key, keep their values on update and are NULL on insert.
+    The target is looked up against the source (a left join, so a small source is broadcast and the
+    target is not shuffled) and only the matching target keys travel to find the rows to insert.
     """
     source = _aligned(source, target)
     if check_source:
         require_unique_keys(source, keys, null_safe)
     update = [c for c in source.columns if c not in keys] if update is None else list(update)
-    if bulk:
-        return _upsert_full_outer(target, source, keys, null_safe, update, delete_unmatched)
-
     tagged = source.select(*[F.col(c).alias(SRC + c) for c in source.columns], F.lit(True).alias(HIT))
     on = _match(target, tagged, keys, SRC, null_safe)
     kept = target.join(tagged, on, "inner" if delete_unmatched else "left").select(*_picked(target, update))
@@ -87,7 +77,45 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, null_sa
     found = (target_keys.join(source_keys, _match(target_keys, source_keys, keys, SRC, null_safe), "left_semi")
              .select(*[F.col(k).alias(SRC + k) for k in keys]))
     fresh = source.join(found, _match(source, found, keys, SRC, null_safe), "left_anti")
-    return kept.unionByName(_inserted(fresh, target))
+    return kept, _inserted(fresh, target)
+
+
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, null_safe: bool = True,
+           update: Sequence[str] | None = None, delete_unmatched: bool = False,
+           bulk: bool = False, check_source: bool = True) -> DataFrame:
+    """The target after the upsert, with the target's columns.
+
+    keys              match columns; with ``null_safe`` two NULLs match, otherwise NULL matches nothing
+    update            columns taken from the source on a match (default: all its non-key columns)
+    delete_unmatched  drop target rows that match no source row
+    bulk              one full outer join, for a source of the target's order of size and a target that
+                      is unique on the keys, as a table kept by upserts is; the default copes with any
+    check_source      reject a source with repeated keys (skip it when the source was just deduplicated)
+
+    Target columns absent from the source, such as a surrogate key, keep their values on update and are
+    NULL on insert.
+    """
+    if bulk:
+        source = _aligned(source, target)
+        if check_source:
+            require_unique_keys(source, keys, null_safe)
+        update = [c for c in source.columns if c not in keys] if update is None else list(update)
+        return _upsert_full_outer(target, source, keys, null_safe, update, delete_unmatched)
+    kept, fresh = split_upsert(target, source, keys, null_safe=null_safe, update=update,
+                               delete_unmatched=delete_unmatched, check_source=check_source)
+    return kept.unionByName(fresh)
+
+
+def upsert_keyed(target: DataFrame, source: DataFrame, keys: Sequence[str], key: str, order_by: Sequence[str],
+                 after: Column | None = None, **options) -> DataFrame:
+    """Upsert into a table with a surrogate key: known rows keep theirs, inserted rows get the next numbers.
+
+    Numbering follows ``order_by`` and starts after ``after`` (default: the largest key of the target).
+    Only the inserted rows are sorted and written to number them; the target is passed through.
+    """
+    kept, fresh = split_upsert(target, source, keys, **options)
+    last = target.agg(F.max(key).alias("k")).scalar() if after is None else after
+    return kept.unionByName(number_rows(fresh, key, order_by, after=last).select(*target.columns))
 
 
 def _upsert_full_outer(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool,
@@ -117,23 +145,29 @@ def _upsert_full_outer(target: DataFrame, source: DataFrame, keys: Sequence[str]
     return reduce(DataFrame.unionByName, apart, joined.select(*columns))
 
 
-def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
-                      partition_by: str, **options) -> DataFrame:
+def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition_by: str,
+                      key: str | None = None, order_by: Sequence[str] = (), **options) -> DataFrame:
     """Upsert into a partitioned Parquet table and return the table.
 
     ``partition_by`` must follow from the key (a month of a key timestamp, say). Then rows of one key
     share a partition, and only the partitions named by the source are read and rewritten: loading a
     month costs that month, not the whole table. The new rows are complete in the work folder before
-    any partition is replaced.
+    any partition is replaced. With ``key`` the table has a surrogate key, numbered in ``order_by``
+    order; its largest value is the one thing looked up in the whole table, one column of it.
     """
     batch = materialize(source, "upsert-source")
     # One value per table partition: as short as the list of partition folders.
     touched = [row[0] for row in batch.select(partition_by).distinct().collect()]
-    table = spark.read.schema(source.schema).parquet(path)
-    merged = upsert(table.filter(F.col(partition_by).isin(touched)).select(*source.columns),
-                    batch, keys, **options)
+    schema = source.schema if key is None else T.StructType([T.StructField(key, T.LongType()), *source.schema.fields])
+    table = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    part = table.filter(F.col(partition_by).isin(touched))
+    if key is None:
+        merged = upsert(part, batch, keys, **options)
+    else:
+        last = table.agg(F.max(key).alias("k")).scalar()
+        merged = upsert_keyed(part, batch, keys, key, order_by, after=last, **options)
     overwrite_partitions(materialize(merged, "upsert-result"), path, partition_by)
-    return spark.read.schema(source.schema).parquet(path).select(*source.columns)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def merge_into(source: DataFrame, table: str, keys: Sequence[str], *, null_safe: bool = True,

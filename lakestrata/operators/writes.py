@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from lakestrata.session import materialize
+
 # The layers of the warehouse.
 LAYERS = ["bronze", "silver", "gold", "quality"]
 
@@ -14,6 +16,11 @@ def overwrite_path(df: DataFrame, path: str, partition_by: str | None = None) ->
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
+def replace_path(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Replace a table folder by rows that may come from the folder itself."""
+    overwrite_path(materialize(df, "replace"), path, partition_by)
+
+
 def overwrite_table(df: DataFrame, table: str, partition_by: str | None = None) -> None:
     """Replace a catalog table; the new schema may differ."""
     writer = _balanced(df, partition_by).write.mode("overwrite").format("parquet")

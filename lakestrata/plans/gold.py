@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakestrata.functions import time as clock
 from lakestrata.functions.codes import describe
 from lakestrata.operators.dedupe import keep_one
-from lakestrata.operators.keys import assign_missing_keys, number_rows
+from lakestrata.operators.keys import number_rows
 from lakestrata.operators.lineage import stamp
 from lakestrata.operators.lookups import lookup
-from lakestrata.operators.upsert import upsert
+from lakestrata.operators.upsert import upsert, upsert_keyed
 from lakestrata.plans.presets import DROPOFF, PICKUP, TRIP_KEY_ORDER, TRIP_MONEY, WEATHER_MEASURES
 from lakestrata.session import materialize
 from lakestrata.sources.generated import hour_grid, literal_row
@@ -73,8 +73,7 @@ def build_reference_dim(silver: DataFrame, business_key: str, key: str, attribut
     rows = stamp(rows, "gold", at)
     if existing is None:
         return number_rows(rows, key, [business_key])
-    merged = upsert(existing, rows, [business_key], null_safe=False, check_source=False)
-    return assign_missing_keys(merged, key, [business_key])
+    return upsert_keyed(existing, rows, [business_key], key, [business_key], null_safe=False, check_source=False)
 
 
 def build_coded_dim(silver: DataFrame, time_column: str, code_column: str, names: dict[int, str], *,
@@ -90,8 +89,7 @@ def build_coded_dim(silver: DataFrame, time_column: str, code_column: str, names
     rows = stamp(rows, "gold", at)
     if existing is None:
         return number_rows(rows, key, [member_time])
-    merged = upsert(existing, rows, [member_time], null_safe=False, check_source=False)
-    return assign_missing_keys(merged, key, [member_time])
+    return upsert_keyed(existing, rows, [member_time], key, [member_time], null_safe=False, check_source=False)
 
 
 def join_trip_dimensions(silver: DataFrame, calendar: DataFrame, location: DataFrame) -> DataFrame:
@@ -107,9 +105,12 @@ def join_trip_dimensions(silver: DataFrame, calendar: DataFrame, location: DataF
     return lookup(trips, location, "DOLocationID", "location_id", {"location_key": "dropoff_location_key"})
 
 
-def build_trip_fact(silver: DataFrame, calendar: DataFrame, location: DataFrame, weather: DataFrame,
-                    existing: DataFrame | None = None, at: dt.datetime | None = None) -> DataFrame:
-    """The trip fact. Matching against ``existing`` uses the trip's own values, not surrogate keys."""
+FACT_ORDER = ["vendor_id" if c == "VendorID" else c for c in TRIP_KEY_ORDER]
+
+
+def trip_fact_rows(silver: DataFrame, calendar: DataFrame, location: DataFrame, weather: DataFrame,
+                   at: dt.datetime | None = None) -> DataFrame:
+    """Fact rows without their surrogate key."""
     trips = lookup(join_trip_dimensions(silver, calendar, location), weather, clock.hour_of(F.col(PICKUP)),
                    "weather_datetime", {"weather_key": "weather_key"}, optional=True)
     rows = trips.select(
@@ -118,9 +119,18 @@ def build_trip_fact(silver: DataFrame, calendar: DataFrame, location: DataFrame,
         "dropoff_location_key", "weather_key", PICKUP, DROPOFF, "PULocationID", "DOLocationID",
         "payment_type", "passenger_count", "trip_distance",
         clock.minutes_between(F.col(PICKUP), F.col(DROPOFF)).alias("trip_duration_minutes"), *TRIP_MONEY)
-    rows = stamp(rows, "gold", at, names=("gold_processed_timestamp", "gold_processed_date"))
-    order = ["vendor_id" if c == "VendorID" else c for c in TRIP_KEY_ORDER]
+    return stamp(rows, "gold", at, names=("gold_processed_timestamp", "gold_processed_date"))
+
+
+def build_trip_fact(silver: DataFrame, calendar: DataFrame, location: DataFrame, weather: DataFrame,
+                    existing: DataFrame | None = None, at: dt.datetime | None = None) -> DataFrame:
+    """The trip fact. Matching against ``existing`` uses the trip's own values, not surrogate keys.
+
+    ``existing`` is passed through; for a large fact ``Warehouse.refresh_fact`` touches only the months
+    of the load.
+    """
+    rows = trip_fact_rows(silver, calendar, location, weather, at)
     if existing is None:
-        return number_rows(rows, "trip_key", order)
-    merged = materialize(upsert(existing, materialize(rows, "fact-batch"), order, check_source=False), "fact")
-    return assign_missing_keys(merged, "trip_key", order)
+        return number_rows(rows, "trip_key", FACT_ORDER)
+    return upsert_keyed(existing, materialize(rows, "fact-batch"), FACT_ORDER, "trip_key", FACT_ORDER,
+                        check_source=False)

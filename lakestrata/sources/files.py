@@ -51,7 +51,7 @@ def read_array_documents(spark: SparkSession, path: str, field: str, columns: di
 
     ``columns`` maps array name to element type. Each document is unpacked where it is read.
     """
-    arrays = T.StructType([T.StructField(n, T.ArrayType(T._parse_datatype_string(t)))
+    arrays = T.StructType([T.StructField(n, T.ArrayType(T.DataType.fromDDL(t)))
                            for n, t in columns.items()])
     schema = T.StructType([T.StructField(field, arrays)])
     docs = spark.read.schema(schema).option("multiLine", multi_line).json(path)

@@ -8,7 +8,7 @@ from lakestrata.operators.duplicates import exact_duplicate_summary
 from lakestrata.profiling import profile
 from lakestrata.testbed.registry import query
 from lakestrata.testbed.sql import TRIPS, WEATHER, pct
-from lakestrata.testbed.standins import load, table, trips
+from lakestrata.testbed.standins import load, table
 
 MEASURES = ["trip_distance", "fare_amount", "total_amount", "passenger_count"]
 GAPS = ["store_and_fwd_flag", "congestion_surcharge", "passenger_count", "RatecodeID", "payment_type", "trip_type"]
@@ -21,7 +21,7 @@ def _each(names: list[str], select: str, source: str) -> str:
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips(spark, sf_dir).drop("delivery")
+    return table(spark, sf_dir, "landed_trips").drop("delivery")
 
 
 @query("profile_shape", """

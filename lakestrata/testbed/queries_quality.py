@@ -15,7 +15,7 @@ from lakestrata.session import new_path
 from lakestrata.testbed.registry import query
 from lakestrata.testbed.sql import (CALENDAR, FACT, KEY, SILVER, SIMPLE, SOURCE, SOURCE_STATUS, TABLE, TABLE_ACTUAL,
                                     TRIPS, VALID, WEATHER, ZONES, check, pct, rows, suite, warn)
-from lakestrata.testbed.standins import BOROUGHS, RULES, UNTIL, bronze_zones, load, table, trips
+from lakestrata.testbed.standins import BOROUGHS, RULES, UNTIL, bronze_zones, load, table
 
 NULL_KEY = " OR ".join(f"{c.strip()} IS NULL" for c in KEY.split(","))
 FIRST, LAST = "1995-01-01 00:00:00", "2001-08-01 00:00:00"
@@ -52,7 +52,7 @@ _RAW = """, raw AS (SELECT * EXCLUDE (delivery, source_month, VendorID), nullif(
 ], SOURCE_STATUS, SOURCE))
 def dq_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips with a NULL vendor here and there."""
-    raw = trips(spark, sf_dir).drop("delivery").withColumn("VendorID", F.nullif("VendorID", F.lit(2)))
+    raw = table(spark, sf_dir, "landed_trips").drop("delivery").withColumn("VendorID", F.nullif("VendorID", F.lit(2)))
     return download_suite(raw)
 
 

@@ -65,7 +65,9 @@ ranked_trips AS (
                     congestion_surcharge NULLS LAST, source_file) AS rn
   FROM trips WHERE {VALID}),
 silver AS (
-  SELECT * EXCLUDE (rn, store_and_fwd_flag, RatecodeID, payment_type, trip_type, congestion_surcharge),
+  SELECT row_number() OVER (ORDER BY lpep_pickup_datetime, lpep_dropoff_datetime, VendorID, PULocationID, DOLocationID,
+                            trip_distance, total_amount) AS trip_key,
+         * EXCLUDE (rn, store_and_fwd_flag, RatecodeID, payment_type, trip_type, congestion_surcharge),
          trim(coalesce(store_and_fwd_flag, 'Unknown')) AS store_and_fwd_flag, coalesce(RatecodeID, -1) AS RatecodeID,
          coalesce(payment_type, -1) AS payment_type, coalesce(trip_type, -1) AS trip_type,
          coalesce(congestion_surcharge, 0.0::DOUBLE) AS congestion_surcharge

@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata.functions.codes import WEATHER_CODES
 from lakestrata.functions.time import month_of
+from lakestrata.operators.keys import number_rows
 from lakestrata.operators.lineage import stamp, stamp_source
 from lakestrata.plans.gold import build_calendar, build_coded_dim, build_reference_dim, build_trip_fact
-from lakestrata.plans.presets import DROPOFF, PICKUP, TRIP_RULES
+from lakestrata.plans.presets import DROPOFF, PICKUP, TRIP_KEY_ORDER, TRIP_RULES
 from lakestrata.plans.silver import clean_events, clean_reference, clean_series
 from lakestrata.session import configure, materialize
 
@@ -71,7 +72,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze trips as the overwrite load leaves them: re-deliveries included, loaded a day later each."""
-    rows = stamp_source(trips(spark, sf_dir), PICKUP)
+    rows = stamp_source(table(spark, sf_dir, "landed_trips"), PICKUP)
     loaded = F.lit(AT.isoformat(sep=" ")).cast("timestamp") + F.make_dt_interval(days=F.col("delivery"))
     return stamp(rows, "bronze", loaded).drop("delivery")
 
@@ -112,7 +113,7 @@ def calendar(spark: SparkSession, sf_dir: str, with_season: bool = False) -> Dat
 
 
 def _silver_trips(spark, sf_dir):
-    return clean_events(table(spark, sf_dir, "bronze_trips"), RULES, UNTIL, AT)
+    return number_rows(clean_events(table(spark, sf_dir, "bronze_trips"), RULES, UNTIL, AT), "trip_key", TRIP_KEY_ORDER)
 
 
 def _silver_zones(spark, sf_dir):
@@ -138,7 +139,7 @@ def _fact(spark, sf_dir):
                            at=AT)
 
 
-BUILDERS = {"bronze_trips": bronze_trips, "bronze_zones": bronze_zones, "bronze_weather": bronze_weather,
+BUILDERS = {"landed_trips": trips, "bronze_trips": bronze_trips, "bronze_zones": bronze_zones, "bronze_weather": bronze_weather,
             "silver_trips": _silver_trips, "silver_zones": _silver_zones, "silver_weather": _silver_weather,
             "calendar": calendar, "location": _location, "weather": _weather, "fact": _fact}
 _written: dict[tuple[str, str, str], DataFrame] = {}
