@@ -160,7 +160,8 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
     touched = [row[0] for row in batch.select(partition_by).distinct().collect()]
     schema = source.schema if key is None else T.StructType([T.StructField(key, T.LongType()), *source.schema.fields])
     table = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-    part = table.filter(F.col(partition_by).isin(touched))
+    in_load = F.col(partition_by).isin([v for v in touched if v is not None])
+    part = table.filter(in_load | F.col(partition_by).isNull() if None in touched else in_load)
     if key is None:
         merged = upsert(part, batch, keys, **options)
     else:

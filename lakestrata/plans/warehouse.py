@@ -25,7 +25,7 @@ from lakestrata.plans.presets import (PICKUP, TRIP_KEY, TRIP_KEY_ORDER, TRIP_RUL
                                       ZONE_SOURCE_SCHEMA)
 from lakestrata.plans.silver import clean_events, clean_reference, clean_series, is_valid_event
 from lakestrata.quality import suites
-from lakestrata.quality.store import append_report, stored_reports
+from lakestrata.quality.store import append_report, gate, stored_reports
 
 FACT_MONTH = "pickup_month"
 
@@ -149,11 +149,16 @@ class Warehouse:
         return upsert_partitions(self.spark, path, rows, FACT_ORDER, FACT_MONTH, key="trip_key", order_by=FACT_ORDER,
                                  check_source=False)
 
-    def refresh(self, months: list[str] | None = None) -> None:
-        """Silver, dimensions and fact in their order of dependence."""
+    def refresh(self, months: list[str] | None = None, gate_silver: bool = False) -> None:
+        """Silver, dimensions and fact in their order of dependence.
+
+        With ``gate_silver`` a failed check of the Silver trips stops the load before Gold is touched.
+        """
         self.refresh_silver_trips(months)
         self.refresh_silver_zones()
         self.refresh_silver_weather()
+        if gate_silver:
+            gate(self.silver_trip_report())
         self.refresh_calendar()
         self.refresh_location()
         self.refresh_weather()
@@ -165,6 +170,10 @@ class Warehouse:
         span = dt.datetime.fromisoformat(self.last_hour) - dt.datetime.fromisoformat(self.first_hour)
         return int(span.total_seconds() // 3600) + 1
 
+    def silver_trip_report(self) -> DataFrame:
+        return suites.silver_trip_suite(self.table("silver", "trips"), self.table("bronze", "trips"),
+                                        is_valid_event(self.rules, self.until))
+
     def reports(self) -> dict[str, DataFrame]:
         """The report of every suite over stored tables."""
         t, hours = self.table, self.hours()
@@ -172,8 +181,7 @@ class Warehouse:
         return {
             "bronze_trips": suites.bronze_trip_suite(t("bronze", "trips")),
             "bronze_weather": suites.bronze_weather_suite(t("bronze", "weather"), hours, first, last),
-            "silver_trips": suites.silver_trip_suite(t("silver", "trips"), t("bronze", "trips"),
-                                                     is_valid_event(self.rules, self.until)),
+            "silver_trips": self.silver_trip_report(),
             "silver_zones": suites.silver_zone_suite(t("silver", "zones"), t("bronze", "zones")),
             "silver_weather": suites.silver_weather_suite(t("silver", "weather"), hours),
             "dim_datetime": suites.calendar_suite(t("gold", "dim_datetime"), hours, first[:10], last[:10]),

@@ -132,9 +132,11 @@ def _single(frame: DataFrame, position: int, check: Check, records: str, failure
 
 
 def _references(df: DataFrame, checks: list[tuple[int, Reference]]) -> DataFrame:
+    """All foreign keys in one pass: each count row finds its check by the name of its column."""
     counts = orphan_counts(df, {c.column: (c.dim, c.dim_key) for _, c in checks})
-    parts = [_single(counts.filter(F.col("fk") == c.column), i, c, "records_checked", "orphans") for i, c in checks]
-    return reduce(DataFrame.unionByName, parts)
+    rows = [F.when(F.col("fk") == c.column, _row(F.lit(i), c, F.col("records_checked"), F.col("orphans"), F.lit("0"),
+                                                 F.col("orphans"))) for i, c in checks]
+    return counts.select(F.coalesce(*rows).alias("row")).select("row.*")
 
 
 def _volumes(df: DataFrame, check: Volumes) -> DataFrame:

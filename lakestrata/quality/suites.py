@@ -51,8 +51,9 @@ def _scalar_count(df: DataFrame) -> Column:
 
 # Source and Bronze ----------------------------------------------------------------------------------------
 
-def _source_common(total_name: str, keys: list[str]) -> tuple[list[Check], Check]:
-    first = [Total(total_name, "VOLUME", F.lit(0), severity="CRITICAL"),
+def _source_common(total_name: str, keys: list[str], min_rows: int) -> tuple[list[Check], Check]:
+    short = F.greatest(F.lit(min_rows) - _count(), F.lit(0))
+    first = [Total(total_name, "VOLUME", short, severity="CRITICAL"),
              Unique("Duplicate composite key check (7-columns)", "UNIQUE", keys, severity="COMPOSITE_KEY"),
              UniqueRows("Exact duplicate rows", "UNIQUE", severity="COMPOSITE_KEY")]
     nulls = Rows("Null count for mandatory key fields (7-columns)", "NULL", any_null(*keys), severity="OTHER_DQ")
@@ -60,14 +61,15 @@ def _source_common(total_name: str, keys: list[str]) -> tuple[list[Check], Check
 
 
 def download_suite(raw: DataFrame, file_column: str = "file_name", event_time: str = PICKUP,
-                   keys: list[str] = TRIP_KEY) -> DataFrame:
+                   keys: list[str] = TRIP_KEY, min_rows: int = 0) -> DataFrame:
     """Raw files before loading. ``file_column`` holds the file name of each row.
 
-    A file name without a month counts under UNKNOWN.
+    A file name without a month counts under UNKNOWN. The row count only informs, also for an empty
+    source, unless ``min_rows`` asks for more.
     """
     rows = raw.withColumns({"source_month": F.coalesce(month_in(F.col(file_column)), F.lit("UNKNOWN")),
                             "pickup_month": F.coalesce(month_of(F.col(event_time)), F.lit("UNKNOWN"))})
-    first, nulls = _source_common("Total Downloaded Row Count", keys)
+    first, nulls = _source_common("Total Downloaded Row Count", keys, min_rows)
     checks = [*first, nulls,
               Volumes("Monthly Row Count by Source Month", "VOLUME", F.col("source_month"), 10),
               Volumes("Monthly Row Count by Pickup Date", "VOLUME", F.col("pickup_month"), 100)]
@@ -76,10 +78,10 @@ def download_suite(raw: DataFrame, file_column: str = "file_name", event_time: s
 
 def bronze_trip_suite(bronze: DataFrame, event_time: str = PICKUP, keys: list[str] = TRIP_KEY,
                       lineage: tuple[str, ...] = ("source_file", "source_month", "bronze_ingestion_timestamp",
-                                                  "bronze_ingestion_date")) -> DataFrame:
+                                                  "bronze_ingestion_date"), min_rows: int = 0) -> DataFrame:
     """Bronze trips after loading; the file month falls back to the source month, then to UNKNOWN."""
     file_month = F.coalesce(month_in(F.col(lineage[0])), F.col(lineage[1]), F.lit("UNKNOWN"))
-    first, nulls = _source_common("Total Loaded Row Count", keys)
+    first, nulls = _source_common("Total Loaded Row Count", keys, min_rows)
     checks = [*first,
               Rows("Audit lineage population", "LINEAGE", any_null(*lineage), severity="OTHER_DQ"),
               nulls,
@@ -251,7 +253,10 @@ def weather_suite(weather: DataFrame, hours: int = WINDOW_HOURS, first: str = WI
 def fact_suite(fact: DataFrame, silver: DataFrame, calendar: DataFrame, location: DataFrame, weather: DataFrame,
                payment_types: list[int] = PAYMENT_TYPES, trip_types: list[int] = TRIP_TYPES,
                ratecodes: list[int] = RATECODES, table: str = "fact_taxi_trip") -> DataFrame:
-    """Fact checks; the weather reference is informational because the weather is optional."""
+    """Fact checks; the weather reference is informational because the weather is optional.
+
+    The natural key is compared as a tuple, in which NULL and empty text are different values.
+    """
     expected = _scalar_count(join_trip_dimensions(silver, calendar, location))
     natural = ["vendor_id" if c == "VendorID" else c for c in TRIP_KEY]
     checks = [

@@ -13,6 +13,7 @@ from lakestrata.sources.discovery import missing_partitions, month_window, next_
 from lakestrata.sources.files import (preview, query_path, read_array_documents, read_csv, read_parquet, read_records,
                                       schema_rows)
 from lakestrata.sources.generated import hour_sequence
+from lakestrata.streaming.incremental import load_new_files
 from lakestrata.testbed.registry import query
 from lakestrata.testbed.standins import AT, load
 
@@ -183,6 +184,22 @@ def ingest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("event_id", "ts", "value", "source_file")
 
 
+@query("stream_ingest", """
+SELECT *, strftime(o_orderdate, '%Y-%m') AS source_month, true AS has_file FROM orders
+""")
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files landing in two steps, each loaded by a stream that takes what is new and stops."""
+    orders = load(spark, sf_dir, "orders")
+    landed, table, checkpoint = (new_path(spark, n) for n in ("landing", "bronze", "checkpoint"))
+    args = (spark, landed, table, checkpoint, orders.schema, "o_orderdate", ["o_orderkey", "o_orderdate"], AT)
+    orders.filter(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.lit(0.0)).write.parquet(landed)
+    load_new_files(*args)
+    orders.write.mode("append").parquet(landed)
+    bronze = load_new_files(*args)
+    return (bronze.withColumn("has_file", F.col("source_file").like("%.parquet"))
+            .drop("source_file", "bronze_ingestion_timestamp", "bronze_ingestion_date"))
+
+
 def _order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"))
 

@@ -148,6 +148,15 @@ def test_upsert_partitions_numbers_inserts_after_the_largest_key_of_the_whole_ta
     assert rows(table.select("k", "id", "v")) == [(3, 2, "B"), (7, 1, "a"), (8, 3, "c"), (9, 4, "d")]
 
 
+def test_rows_without_a_partition_value_survive_a_load(spark):
+    path = new_path(spark, "months")
+    schema = "id int, month string, v string"
+    overwrite_path(make(spark, [(1, None, "a"), (2, None, "b"), (3, "2026-04", "c")], schema), path, "month")
+    table = upsert_partitions(spark, path, make(spark, [(2, None, "B"), (4, None, "d")], schema), ["id", "month"], "month")
+    assert rows(table) == sorted([(1, None, "a"), (2, None, "B"), (3, "2026-04", "c"), (4, None, "d")], key=repr)
+    assert upsert_partitions(spark, path, make(spark, [], schema), ["id", "month"], "month").count() == 4
+
+
 def test_merge_statement_is_refused_by_a_plain_parquet_table(spark):
     overwrite_table(make(spark, [(1, "a")], "id int, v string"), "plain_target")
     with pytest.raises(Exception, match="(?i)merge"):
