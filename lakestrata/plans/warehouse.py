@@ -72,6 +72,12 @@ class Warehouse:
         return ingest_partitioned_files(self.spark, files, self.path("bronze", "trips"), PICKUP, TRIP_KEY,
                                         _schema(TRIP_SOURCE_SCHEMA), self.at)
 
+    def changed_months(self, since: dt.datetime) -> list[str]:
+        """Months with Bronze rows loaded at or after a moment: what to refresh after a load."""
+        loaded = F.col("bronze_ingestion_timestamp") >= F.lit(since.isoformat(sep=" ")).cast("timestamp")
+        months = self.table("bronze", "trips").filter(loaded).select(MONTH).dropna().distinct()
+        return sorted(row[0] for row in months.collect())  # one per table partition
+
     def load_zones(self, csv: str) -> DataFrame:
         return ingest_reference_csv(self.spark, csv, self.path("bronze", "zones"), _schema(ZONE_SOURCE_SCHEMA), self.at)
 

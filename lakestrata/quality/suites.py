@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakestrata.functions.text import folded, is_blank, is_untrimmed, piped_key
 from lakestrata.functions.time import RUSH_HOURS, WEEKEND_DAYS, month_of
 from lakestrata.operators.duplicates import duplicate_summary
-from lakestrata.operators.lookups import only_in
 from lakestrata.plans.gold import join_trip_dimensions
 from lakestrata.plans.presets import (DROPOFF, GOLD_BOROUGHS, PAYMENT_TYPES, PICKUP, RATECODES, SERVICE_ZONES,
                                       SILVER_BOROUGHS, STORE_FLAGS, TIME_PERIODS, TRIP_KEY, TRIP_TYPES,
@@ -212,9 +211,9 @@ def location_suite(location: DataFrame, silver: DataFrame, boroughs: list[str] =
     tuples = location.groupBy("location_id").agg(
         F.count_distinct(piped_key(*[folded(F.col(c)) for c in texts])).alias("n"))
     conflicts = tuples.filter("n > 1").agg(_count().alias("records"), _count().alias("failures"))
-    lost = only_in(silver, location, "location_id")
-    missing = (ids.withColumn("lost", F.lit(0)).unionByName(lost.withColumn("lost", F.lit(1)))
-               .agg(F.count_if(F.col("lost") == 0).alias("records"), F.count_if(F.col("lost") == 1).alias("failures")))
+    members = location.select("location_id", F.lit(True).alias("in_gold"))
+    missing = ids.join(members, "location_id", "left").agg(
+        _count().alias("records"), F.count_if(F.col("in_gold").isNull()).alias("failures"))
     strangers = location.join(ids.withColumn("known", F.lit(True)), "location_id", "left").agg(
         _count().alias("records"), F.count_if(F.col("known").isNull()).alias("failures"))
     accepted = F.col("borough").isNotNull() & not_in(folded(F.col("borough")), boroughs)

@@ -227,7 +227,8 @@ _CONFLICTS = ("(SELECT count(*) FROM (SELECT location_id FROM l GROUP BY locatio
          "'" + ", ".join(b.upper() for b in BOROUGHS) + "'"),
     check("Location has conflicting attributes", "BUSINESS_RULE", _CONFLICTS, _CONFLICTS),
     check("Silver locations missing from Gold", "REFERENTIAL_INTEGRITY", "count(*)",
-          "count(*) FILTER (WHERE location_id NOT IN (SELECT location_id FROM l))") + " FROM silver_zones",
+          "count(*) FILTER (WHERE l.location_id IS NULL)")
+    + " FROM silver_zones s LEFT JOIN l ON s.location_id = l.location_id",
     check("Gold locations missing from Silver", "REFERENTIAL_INTEGRITY", "count(*)",
           "count(*) FILTER (WHERE location_id NOT IN (SELECT location_id FROM silver_zones))") + " FROM l",
 ], _LOCATION_STATUS, TABLE_ACTUAL, "dim_location"))
@@ -260,12 +261,12 @@ def dq_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DEFECT_FACT = """, f AS (SELECT * REPLACE (
-  CASE WHEN vendor_id = 6 AND passenger_count = 1 THEN pickup_location_key + 1000 ELSE pickup_location_key END
+  CASE WHEN vendor_id = 6 AND trip_distance = 20 THEN pickup_location_key + 1000 ELSE pickup_location_key END
     AS pickup_location_key,
-  CASE WHEN trip_key % 500 = 1 THEN NULL ELSE dropoff_location_key END AS dropoff_location_key,
+  CASE WHEN vendor_id = 2 AND trip_distance = 7 THEN NULL ELSE dropoff_location_key END AS dropoff_location_key,
   CASE WHEN vendor_id = 1 THEN weather_key + 1000000 ELSE weather_key END AS weather_key,
-  CASE WHEN trip_key % 300 = 5 THEN 0 ELSE trip_distance END AS trip_distance,
-  CASE WHEN trip_key % 20 = 3 THEN -1 ELSE fare_amount END AS fare_amount,
+  CASE WHEN passenger_count = 1 AND trip_distance = 49 THEN 0 ELSE trip_distance END AS trip_distance,
+  CASE WHEN trip_distance = 10 THEN -1 ELSE fare_amount END AS fare_amount,
   CASE WHEN vendor_id = 3 THEN 9 ELSE payment_type END AS payment_type) FROM fact)"""
 _FACT_STATUS = ("WHEN check_name IN ('Missing trip_key', 'Missing surrogate FK columns') THEN 'FAIL' "
                 "WHEN check_type = 'REFERENTIAL_INTEGRITY' AND check_name LIKE '%weather%' THEN 'PASS' "
@@ -307,18 +308,18 @@ def _orphans(column: str, dim: str, key: str, name: str) -> str:
 ], _FACT_STATUS, TABLE_ACTUAL, "fact_taxi_trip"))
 def dq_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fact with lost references, zero distances, negative fares and unlisted codes."""
-    key = F.col("trip_key")
+    distance = F.col("trip_distance")
 
     def broken(column: str, where, value):
         return F.when(where, value).otherwise(F.col(column))
 
     fact = table(spark, sf_dir, "fact").withColumns({
-        "pickup_location_key": broken("pickup_location_key", (F.col("vendor_id") == 6) & (F.col("passenger_count") == 1),
+        "pickup_location_key": broken("pickup_location_key", (F.col("vendor_id") == 6) & (distance == 20),
                                       F.col("pickup_location_key") + 1000),
-        "dropoff_location_key": broken("dropoff_location_key", key % 500 == 1, None),
+        "dropoff_location_key": broken("dropoff_location_key", (F.col("vendor_id") == 2) & (distance == 7), None),
         "weather_key": broken("weather_key", F.col("vendor_id") == 1, F.col("weather_key") + 1000000),
-        "trip_distance": broken("trip_distance", key % 300 == 5, 0.0),
-        "fare_amount": broken("fare_amount", key % 20 == 3, -1.0),
+        "trip_distance": broken("trip_distance", (F.col("passenger_count") == 1) & (distance == 49), 0.0),
+        "fare_amount": broken("fare_amount", distance == 10, -1.0),
         "payment_type": broken("payment_type", F.col("vendor_id") == 3, F.lit(9).cast("long"))})
     return fact_suite(fact, *[table(spark, sf_dir, n) for n in ("silver_trips", "calendar", "location", "weather")])
 

@@ -127,7 +127,9 @@ def test_loading_again_changes_nothing_and_a_new_month_is_added(spark, warehouse
     warehouse.load_trips(str(sources / "march"))
     warehouse.refresh()
     assert fact_rows(warehouse) == before and warehouse.table("bronze", "trips").count() == bronze
+    warehouse.at = AT + dt.timedelta(days=1)
     warehouse.load_trips(str(sources / "april"))
+    assert warehouse.changed_months(warehouse.at) == ["2026-04"]
     warehouse.refresh(months=["2026-04"], gate_silver=True)
     after = fact_rows(warehouse)
     assert set(before) < set(after) and len(after) == len(before) + 1
