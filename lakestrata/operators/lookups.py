@@ -60,6 +60,10 @@ def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def within_bounds(df: DataFrame, column: str, bounds: DataFrame, low: str, high: str) -> DataFrame:
     """Rows whose column lies between two columns of the one-row table ``bounds`` (both included).
 
-    The bounds are scalar sub-queries, so they reach the scan of ``df`` as pushed filters.
+    The one row is read first and its values go into the filter as literals, which the scan of ``df``
+    can use to skip partitions and row groups; a join with the row could not. No row or a NULL bound
+    keeps nothing.
     """
-    return df.filter(F.col(column).between(bounds.select(low).scalar(), bounds.select(high).scalar()))
+    one = bounds.select(low, high).first() or (None, None)
+    limits = [F.lit(v).cast(df.schema[column].dataType) for v in one]
+    return df.filter(F.col(column).between(*limits))

@@ -29,6 +29,8 @@ def is_valid_event(rules: EventRules, until: dt.date | None = None) -> Column:
     tests.append(start >= F.lit(rules.first_day).cast("timestamp_ntz"))
     tests.append(start <= last.cast("timestamp_ntz"))
     tests.append(month_of(start) == F.col(rules.month_column))
+    # Follows from the three tests before it; said again so that a table partitioned by month is pruned.
+    tests.append(F.col(rules.month_column).between(rules.first_day[:7], month_of(last.cast("timestamp_ntz"))))
     return reduce(lambda a, b: a & b, tests)
 
 

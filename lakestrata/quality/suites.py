@@ -52,7 +52,7 @@ def _scalar_count(df: DataFrame) -> Column:
 
 def _source_common(total_name: str, keys: list[str], min_rows: int) -> tuple[list[Check], Check]:
     short = F.greatest(F.lit(min_rows) - _count(), F.lit(0))
-    first = [Total(total_name, "VOLUME", short, severity="CRITICAL"),
+    first = [Total(total_name, "VOLUME", short, severity="CRITICAL", base=F.greatest(_count(), F.lit(1))),
              Unique("Duplicate composite key check (7-columns)", "UNIQUE", keys, severity="COMPOSITE_KEY"),
              UniqueRows("Exact duplicate rows", "UNIQUE", severity="COMPOSITE_KEY")]
     nulls = Rows("Null count for mandatory key fields (7-columns)", "NULL", any_null(*keys), severity="OTHER_DQ")
@@ -199,7 +199,8 @@ def calendar_suite(calendar: DataFrame, hours: int = WINDOW_HOURS, first_day: st
         _volume(f"Expected hourly row count match ({period})", F.lit(expected), "VOLUME", expected=str(expected),
                 base=F.max(F.lit(expected))),
         rows(f"Records outside {period} date range", "DATE_RANGE", outside)]
-    return table_report(run_suite(calendar, checks, STRICT, table))
+    report = table_report(run_suite(calendar, checks, STRICT, table))
+    return report.withColumn("expected_value", F.col("expected_value").cast("int"))
 
 
 def location_suite(location: DataFrame, silver: DataFrame, boroughs: list[str] = GOLD_BOROUGHS,

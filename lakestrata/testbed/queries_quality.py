@@ -189,7 +189,7 @@ _DEFECT_CALENDAR = """, c AS (SELECT * REPLACE (CASE WHEN "day" = 13 THEN NOT is
           base="57700") + " FROM c",
     rows("c", "Records outside 1995-2001 date range", "DATE_RANGE",
          "datetime_key > 0 AND (\"date\" < DATE '1995-01-01' OR \"date\" > DATE '2001-07-31')"),
-], "", TABLE, "dim_datetime"))
+], "", TABLE.replace("expected_value", "expected_value::INTEGER AS expected_value"), "dim_datetime"))
 def dq_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A calendar with wrong flags on some days, one wrong label and an hour outside the range."""
     calendar = table(spark, sf_dir, "calendar").withColumns({

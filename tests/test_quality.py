@@ -101,7 +101,7 @@ def test_total_row_count_passes_on_an_empty_source(spark):
                                     "file_name string")
     report = suites.download_suite(raw)
     assert [(r.check_name, r.records_checked, r.affected_percentage, r.status) for r in report.collect()][0] == (
-        "Total Downloaded Row Count", 0, None, "PASS")
+        "Total Downloaded Row Count", 0, "0.00%", "PASS")
     assert {r.status for r in report.collect()} == {"PASS"}
 
 
