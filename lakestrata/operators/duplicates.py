@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from lakestrata.session import materialize
+
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -32,20 +34,18 @@ def duplicate_summary(df: DataFrame, keys: Sequence[str], skip_null: bool = Fals
 def exact_duplicate_summary(df: DataFrame) -> DataFrame:
     """``duplicate_summary`` over whole rows.
 
-    Equal rows have equal hashes, so a first pass shuffles one 8-byte hash per row, and whole rows
-    travel only where a hash repeats; those are then compared in full.
+    Equal rows have equal hashes, so a first pass shuffles one 8-byte hash per row and writes the
+    hashes that repeat. Being a written table its size is known: where few repeat it is broadcast, and
+    only rows with such a hash travel and are compared in full. ``df`` is read three times, the last
+    time for the row count only, so it should be a table rather than a long plan.
     """
     columns = df.columns
     hashed = df.withColumn("_h", F.xxhash64(*columns))
-    counts = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-    repeated = counts.filter("_n > 1").select("_h")
+    repeated = materialize(hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h"),
+                           "repeated-hashes")
     suspects = hashed.join(repeated, "_h", "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    lone = counts.filter("_n = 1").agg(F.count(F.lit(1)).alias("records"), F.count(F.lit(1)).alias("unique_keys"),
-                                       F.lit(0).cast("long").alias("rows_in_duplicates"))
-    compared = suspects.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("records"),
-                            F.count(F.lit(1)).alias("unique_keys"),
-                            F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("rows_in_duplicates"))
-    both = lone.unionByName(compared)
-    return both.agg(F.sum("records").alias("records"), F.sum("unique_keys").alias("unique_keys"),
-                    (F.sum("records") - F.sum("unique_keys")).alias("duplicates"),
-                    F.sum("rows_in_duplicates").alias("rows_in_duplicates"))
+    found = suspects.agg((F.coalesce(F.sum("_n"), F.lit(0)) - F.count(F.lit(1))).alias("duplicates"),
+                         F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("rows_in_duplicates"))
+    records = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return found.select(records.alias("records"), (records - F.col("duplicates")).alias("unique_keys"), "duplicates",
+                        "rows_in_duplicates")

@@ -36,6 +36,11 @@ def listed_order(col: Column, values: Sequence[str], first: int = 0) -> Column:
     return order
 
 
-def label_positions(groups: DataFrame, label: str, name: str, start: int) -> DataFrame:
-    """``start`` + dense rank of a label. For aggregated rows (one per label): they meet in one task."""
-    return groups.withColumn(name, F.lit(start) + F.dense_rank().over(Window.orderBy(label)))
+def label_positions(groups: DataFrame, label: str, name: str, start: Column | int,
+                    within: Sequence[str] = ()) -> DataFrame:
+    """``start`` + dense rank of a label, per value of ``within`` if given.
+
+    For aggregated rows (one per label): those of one ``within`` value meet in one task.
+    """
+    first = F.lit(start) if isinstance(start, int) else start
+    return groups.withColumn(name, first + F.dense_rank().over(Window.partitionBy(*within).orderBy(label)))

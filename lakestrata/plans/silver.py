@@ -13,6 +13,7 @@ from lakestrata.operators.dedupe import keep_one
 from lakestrata.operators.lineage import rename_lineage, stamp
 from lakestrata.operators.upsert import upsert
 from lakestrata.plans.presets import EventRules
+from lakestrata.session import materialize
 
 
 def is_valid_event(rules: EventRules, until: dt.date | None = None) -> Column:
@@ -70,5 +71,8 @@ def clean_series(bronze: DataFrame, time_column: str, latest_by: str = "bronze_i
 
 def refresh(target: DataFrame, cleaned: DataFrame, keys: list[str], update: list[str] | None = None,
             null_safe: bool = True) -> DataFrame:
-    """Upsert freshly cleaned rows (already one per key) into a Silver table."""
-    return upsert(target, cleaned, keys, null_safe=null_safe, update=update, check_source=False)
+    """Upsert freshly cleaned rows (already one per key) into a Silver table.
+
+    The rows are written first: they are used three times, and their real size decides the join.
+    """
+    return upsert(target, materialize(cleaned, "cleaned"), keys, null_safe=null_safe, update=update, check_source=False)

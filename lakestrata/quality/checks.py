@@ -139,11 +139,15 @@ def _references(df: DataFrame, checks: list[tuple[int, Reference]]) -> DataFrame
     return counts.select(F.coalesce(*rows).alias("row")).select("row.*")
 
 
-def _volumes(df: DataFrame, check: Volumes) -> DataFrame:
-    counts = df.groupBy(check.label.alias("label")).agg(F.count(F.lit(1)).alias("records"))
-    ranked = label_positions(counts, "label", "position", check.first_position)
-    row = _row(F.col("position"), check, F.col("records"), F.lit(0), F.lit("0"), F.lit("0"))
-    named = ranked.select("label", F.inline(F.array(row)))
+def _volumes(df: DataFrame, checks: list[Volumes]) -> DataFrame:
+    """All label counts in one pass over the table."""
+    labels = F.array(*[F.struct(F.lit(i).alias("which"), c.label.alias("label")) for i, c in enumerate(checks)])
+    counts = df.select(F.inline(labels)).groupBy("which", "label").agg(F.count(F.lit(1)).alias("records"))
+    rows = [F.when(F.col("which") == i, _row(F.col("position"), c, F.col("records"), F.lit(0), F.lit("0"), F.lit("0")))
+            for i, c in enumerate(checks)]
+    first = F.element_at(F.array(*[F.lit(c.first_position) for c in checks]), F.col("which") + 1)
+    ranked = label_positions(counts, "label", "position", first, within=["which"])
+    named = ranked.select("label", F.coalesce(*rows).alias("row")).select("label", "row.*")
     return named.withColumn("check_name", F.concat("check_name", F.lit(" ("), "label", F.lit(")"))).drop("label")
 
 
@@ -161,8 +165,9 @@ def measure(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             parts.append(_single(exact_duplicate_summary(df), i, c, "records", "duplicates"))
         elif isinstance(c, Other):
             parts.append(_single(c.frame, i, c, "records", "failures"))
-        elif isinstance(c, Volumes):
-            parts.append(_volumes(df, c))
+    volumes = [c for c in checks if isinstance(c, Volumes)]
+    if volumes:
+        parts.append(_volumes(df, volumes))
     if references:
         parts.append(_references(df, references))
     measured = reduce(DataFrame.unionByName, parts)

@@ -39,6 +39,9 @@ def session(app: str = "lakestrata", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
@@ -48,11 +51,12 @@ def work_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="lakestrata-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="lakestrata-")
+    return _local_dirs[context.applicationId]
 
 
 def new_path(spark: SparkSession, label: str) -> str:

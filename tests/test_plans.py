@@ -78,9 +78,10 @@ def test_foreign_keys_share_one_scan_and_count_before_the_shuffle(gold):
     assert "partial_count" in text
 
 
-def test_whole_row_duplicates_shuffle_a_hash_first(gold):
-    text = plan(exact_duplicate_summary(gold["fact"]))
-    assert "Exchange hashpartitioning(_h" in text and "LeftSemi" in text
+def test_whole_rows_travel_only_where_their_hash_repeats(spark):
+    rows = materialize(spark.range(1000).select("id", F.concat(F.lit("row "), F.col("id")).alias("v")))
+    text = plan(exact_duplicate_summary(rows.unionByName(rows.filter("id < 10"))))
+    assert "BroadcastHashJoin [_h" in text and "Exchange hashpartitioning(_h" not in text
 
 
 def test_key_duplicates_are_combined_before_the_shuffle_without_expand(gold):

@@ -1,6 +1,8 @@
 import datetime as dt
 import json
+from types import SimpleNamespace
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -128,3 +130,13 @@ def test_lineage_columns(spark):
 
 def test_work_folder_comes_from_the_session(spark):
     assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_only_a_local_session_gets_a_folder_of_its_own():
+    def fake(master):
+        context = SimpleNamespace(master=master, applicationId="app-1")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+    assert work_dir(fake("local[2]")) == work_dir(fake("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_dir(fake("spark://host:7077"))
