@@ -26,6 +26,8 @@ from lakestrata.plans.presets import (PICKUP, TRIP_KEY, TRIP_KEY_ORDER, TRIP_RUL
 from lakestrata.plans.silver import clean_events, clean_reference, clean_series, is_valid_event
 from lakestrata.quality import suites
 from lakestrata.quality.store import append_report, gate, stored_reports
+from lakestrata.sources.discovery import landed_files, landed_months, next_partition
+from lakestrata.sources.files import read_parquet
 
 FACT_MONTH = "pickup_month"
 
@@ -66,6 +68,16 @@ class Warehouse:
                 return None
             raise
 
+    # Landed files
+
+    def next_month(self, landing: str, default: str) -> str:
+        """The month after the latest landed one, or the default for an empty folder."""
+        return next_partition(landed_months(landed_files(self.spark, landing)), default).first()[0]
+
+    def file_report(self, files: str) -> DataFrame:
+        """The suite over landed trip files, before they are loaded."""
+        return suites.download_suite(read_parquet(self.spark, files, _schema(TRIP_SOURCE_SCHEMA), "file_name"))
+
     # Bronze
 
     def load_trips(self, files: str) -> DataFrame:

@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from lakestrata.operators.writes import ensure_path, overwrite_path
 from lakestrata.plans.bronze import (ingest_array_documents, ingest_overwrite, ingest_partitioned_files,
                                      ingest_reference_csv, ingest_typed_records)
-from lakestrata.profiling.profile import table_shape
+from lakestrata.profiling.profile import schema_diff, table_shape
 from lakestrata.session import materialize, new_path
 from lakestrata.sources.discovery import missing_partitions, month_window, next_partition, previous_month
-from lakestrata.sources.files import (preview, query_path, read_array_documents, read_csv, read_parquet, read_records,
-                                      schema_rows)
+from lakestrata.sources.files import (preview, query_path, read_array_documents, read_csv, read_parquet,
+                                      read_records)
 from lakestrata.sources.generated import hour_sequence
 from lakestrata.streaming.incremental import load_new_files
 from lakestrata.testbed.registry import query
@@ -265,7 +265,6 @@ SELECT * FROM (VALUES ('o_orderkey', 'bigint', 'bigint', 'same'), ('o_custkey',
 """)
 def schema_diff_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two monthly files of different layout, as landed."""
-    from lakestrata.profiling.profile import schema_diff
     orders = load(spark, sf_dir, "orders")
     path = new_path(spark, "landing")
     (orders.drop("o_orderstatus").withColumn("o_custkey", F.col("o_custkey").cast("string"))

@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakestrata.functions.codes import WEATHER_CODES
 from lakestrata.operators.lineage import stamp
 from lakestrata.plans import analytics
-from lakestrata.plans.gold import build_coded_dim, build_reference_dim, refresh_calendar
+from lakestrata.plans.gold import build_coded_dim, build_reference_dim, build_trip_fact, refresh_calendar
 from lakestrata.plans.presets import TRIP_KEY, TRIP_UPDATE
 from lakestrata.plans.silver import refresh
 from lakestrata.session import materialize
 from lakestrata.testbed.registry import query
 from lakestrata.testbed.sql import CALENDAR, FACT, SILVER, WEATHER, ZONES, settled
-from lakestrata.testbed.standins import calendar, table
+from lakestrata.testbed.standins import AT, calendar, load, table
 
 AUDIT = ["bronze_ingestion_timestamp", "bronze_ingestion_date", "silver_ingestion_timestamp", "silver_ingestion_date",
          "gold_ingestion_timestamp", "gold_ingestion_date", "gold_processed_timestamp", "gold_processed_date"]
@@ -137,7 +137,6 @@ FROM fact LEFT JOIN old ON fact.trip_key = old.trip_key
 """)
 def fact_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips already in the fact keep their key and get fresh values; the others are numbered after them."""
-    from lakestrata.plans.gold import build_trip_fact
     old = table(spark, sf_dir, "fact").filter("passenger_count <> 2").withColumn("fare_amount", F.lit(-1.0))
     fact = build_trip_fact(*[table(spark, sf_dir, n) for n in ("silver_trips", "calendar", "location", "weather")],
                            existing=materialize(old, "old"))
@@ -152,7 +151,6 @@ FROM lineitem GROUP BY l_returnflag
 """)
 def audit_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One load moment for all rows of a load, and its date."""
-    from lakestrata.testbed.standins import AT, load
     rows = stamp(load(spark, sf_dir, "lineitem"), "bronze", AT)
     return rows.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("bronze_ingestion_date").isNull()).alias("unstamped"),

@@ -1,7 +1,6 @@
 import datetime as dt
 
 from conftest import rows
-from pyspark.sql import functions as F
 
 from lakestrata.profiling import profile
 

@@ -112,6 +112,20 @@ def test_reports(warehouse):
         ("2026-03", "Clear sky", 1), ("2026-03", "Moderate rain", 1), ("2026-03", "Moderate snowfall", 1)}
 
 
+def test_landed_files_are_checked_and_the_next_month_is_known(warehouse, sources, tmp_path):
+    for name, month in (("march", "2026-03"), ("april", "2026-04")):
+        part = next((sources / name).glob("*.parquet"))
+        (tmp_path / f"trips_{month}.parquet").write_bytes(part.read_bytes())
+    report = {r.check_name: (r.records_checked, r.affected_rows, r.status)
+              for r in warehouse.file_report(str(tmp_path)).collect()}
+    assert report["Total Downloaded Row Count"] == (13, 0, "PASS")
+    assert report["Exact duplicate rows"] == (13, 1, "FAIL")
+    assert report["Null count for mandatory key fields (7-columns)"] == (13, 1, "FAIL")
+    assert report["Monthly Row Count by Source Month (2026-04)"] == (1, 0, "PASS")
+    assert report["Monthly Row Count by Pickup Date (2009-01)"] == (1, 0, "PASS")
+    assert warehouse.next_month(str(tmp_path), "2026-03") == "2026-05"
+
+
 def test_suites_over_stored_tables(warehouse):
     stored = warehouse.check("run-1")
     status = {(r.suite, r.check_name): r.status for r in stored.collect()}
