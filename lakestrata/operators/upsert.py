@@ -151,8 +151,8 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
 
     ``partition_by`` must follow from the key (a month of a key timestamp, say). Then rows of one key
     share a partition, and only the partitions named by the source are read and rewritten: loading a
-    month costs that month, not the whole table. The new rows are complete in the work folder before
-    any partition is replaced. With ``key`` the table has a surrogate key, numbered in ``order_by``
+    month costs that month, not the whole table. The new rows are complete in the work folder
+    (``upsert-result``) before any partition is replaced, and stay there should the replacement be cut off. With ``key`` the table has a surrogate key, numbered in ``order_by``
     order; its largest value is the one thing looked up in the whole table, one column of it.
     """
     batch = materialize(source, "upsert-source")
