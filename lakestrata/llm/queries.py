@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakestrata.llm import decontam, exactdup
+from lakestrata.llm import bpe, chat, decontam, exactdup, licenses, secrets
 from lakestrata.llm.common import prepare, table
 from lakestrata.session import configure
 
@@ -30,6 +32,28 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query("op1_bpe")
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), ids=False)
+
+
+BASE = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+PHRASES = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
+
+
+@query("op4_licenses")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("matches")
+
+
+@query("op5_secrets")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 @query("op8_exact_dedup", f"""
     WITH t AS (SELECT doc_id, sha256({LOWER}) AS text_sha256 FROM documents),
     g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)
@@ -43,3 +67,28 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def escaped_sql(column: str) -> str:
+    text = f"replace({column}, '~', '~0')"
+    for k, control in enumerate(chat.CONTROL, 1):
+        text = f"replace({text}, '{control}', '~{k}')"
+    return text
+
+
+@query("op10_chat_format", f"""
+    WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+                 coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS learned,
+                 sum(length('<s>[INST][/INST]</s>') + length({escaped_sql('role')}) + length({escaped_sql('text')})) AS formatted_chars
+          FROM r GROUP BY conv_id)
+    SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+           CAST(formatted_chars AS BIGINT) AS formatted_chars FROM g""")
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, and read back from the output."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], said.schema)
+    turns = said.unionAll(probe).withColumn("parts", chat.text_part(F.col("text")))
+    return chat.digests(chat.format_chats(turns))
