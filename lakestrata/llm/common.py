@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ROWS_PER_BATCH = 1000       # rows that Spark hands to a Python worker at once
+BYTES_PER_BATCH = 16 << 20  # and their size, which one longer row may exceed
 BYTES_PER_BLOCK = 8 << 20   # text that a kernel works on at once
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Keep Arrow batches small, so that long texts cannot fill a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BYTES_PER_BATCH}b")
     return spark
 
 

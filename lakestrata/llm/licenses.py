@@ -53,6 +53,7 @@ TEMPLATES = (
              ("redistribution and use in source and binary forms", "conditions are met")),
     Template("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
              ("free software", "gnu general public license")),
+    Template("gpl-3", "licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
     Template("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license", ("gnu lesser general public license",)),
     Template("agpl", "under the terms of the gnu affero general public license", ("gnu affero general public license",)),
     Template("mpl-2", "this source code form is subject to the terms of the mozilla public license", ("subject to the terms", "mozilla public license")),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, chat, decontam, exactdup, licenses, secrets
+from lakestrata.llm import bpe, chat, decontam, exactdup, langid, licenses, lm, neardup, secrets
 from lakestrata.llm.common import prepare, table
 from lakestrata.session import configure
 
@@ -38,8 +38,10 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), ids=False)
 
 
-BASE = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-PHRASES = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
+@query("op3_near_dedup")
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its group of near duplicates."""
+    return neardup.near_groups(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
 @query("op4_licenses")
@@ -54,6 +56,18 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+@query("op6_langid")
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op7_lm_score")
+def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document."""
+    return lm.score_corpus(table(spark, sf_dir, "documents"), langid.fold("doc_id", 7) != 2)
+
+
 @query("op8_exact_dedup", f"""
     WITH t AS (SELECT doc_id, sha256({LOWER}) AS text_sha256 FROM documents),
     g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)
