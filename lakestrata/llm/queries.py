@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, chat, decontam, exactdup, langid, licenses, lm, neardup, secrets
+from lakestrata.llm import bpe, chat, decontam, exactdup, langid, licenses, lm, neardup, pii, secrets
 from lakestrata.llm.common import prepare, table
 from lakestrata.session import configure
 
@@ -38,6 +38,20 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), ids=False)
 
 
+SURROGATE_KEY = "corpus-surrogates-1"  # of the registered query only; callers bring their own
+
+
+@query("op2_pii")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates in place of personal data."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.replace_entities(docs, SURROGATE_KEY)
+
+    def n(kind):
+        return F.size(F.filter("entities", lambda e: e["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select("doc_id", F.size("entities").cast("long").alias("n_entities"), *map(n, pii.KINDS), "text")
+
+
 @query("op3_near_dedup")
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its group of near duplicates."""
