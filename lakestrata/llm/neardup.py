@@ -8,11 +8,11 @@ all words if it has fewer, nothing if it has none. Two documents are linked if 1
 2. The signature is split into ``CHUNKS`` chunks. By the pigeonhole principle two signatures that differ in at most ``2 * CHUNKS - 1`` places
    have a chunk with at most one difference, so each chunk is entered under ``SYMBOLS`` keys that leave out one place each. All pairs
    under that distance share a key. With 12 chunks of 6, a pair at similarity 0.8 shares none with a chance of 3e-6 (0.345 ** 12).
-3. In each key's bucket, every member is compared with the smallest one: as many pairs as members. Pairs are confirmed on the full sets,
-   and links give components.
-4. A bucket that still holds several components may hide a link between them. Its members are compared by signature, in blocks of bounded
-   size spread over tasks, and only pairs of different components within ``DISTANCE`` are confirmed on full sets. So no candidate is lost,
-   and a group of copies costs no more pairs than it has members.
+3. The smallest member of a key's bucket is its center; all members of the buckets with one center are a group. Each member is compared with its
+   centers on the full sets: as many pairs as members. Links give components.
+4. A group that still holds several components may hide links between them. It is dealt out in blocks of bounded size, every two of which
+   meet in some task, together with the full sets. There signatures rule out pairs beyond ``DISTANCE`` and full sets decide the others. Only links
+   that merge components come out, so no candidate is lost and no pair that is none is written.
 
 The new links complete the components. Nothing is collected to the driver but counts.
 
@@ -100,22 +100,25 @@ def keyed(members: DataFrame) -> DataFrame:
     return members.select("member", "signature").mapInArrow(run, "key long, member long")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked, decided on full sets. Only documents in some pair are read again."""
-    a, b = sizes.toDF("a", "size_a"), sizes.toDF("b", "size_b")
-    able = (pairs.join(a, "a").join(b, "b")
-            .where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")).select("a", "b").distinct())
-    able = materialize(able, "pairs")
-    wanted = able.select(F.col("a").alias("doc_id")).union(able.select("b")).distinct()
-    narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).join(wanted, "doc_id", "left_semi")
+def shingle_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """``member, set`` of the documents in ``members``, whose texts are read again."""
+    narrow = (docs.select(F.col(id_col).cast("bigint").alias("member"), F.col(text_col).cast("binary").alias("text"))
+              .join(members, "member", "left_semi"))
 
     def run(batches):
         known = WordHashes()
         for batch in (x for part in batches for x in blocks([part], "text")):
             sets = [shingles(known.of(t.lower().split()), words).view(np.int64) for t in texts(batch, "text")]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "set": pa.array(sets, pa.list_(pa.int64()))})
+            yield pa.record_batch({"member": batch.column("member"), "set": pa.array(sets, pa.list_(pa.int64()))})
+
+    return narrow.mapInArrow(run, "member long, set array<long>")
 
-    sets = materialize(narrow.mapInArrow(run, "doc_id long, set array<long>"), "shingles")
+
+def star_links(groups: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The members (b) of each group that are linked with its center (a), decided on full sets."""
+    a, b = sizes.toDF("a", "size_a"), sizes.toDF("b", "size_b")
+    able = (groups.where("member <> center").toDF("a", "b").join(a, "a").join(b, "b")
+            .where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")).select("a", "b"))
     both = able.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     shared = F.size(F.array_intersect("set_a", "set_b"))
     return (both.withColumn("shared", shared).where(F.col("shared") * 100 >= percent * (F.size("set_a") + F.size("set_b") - F.col("shared")))
@@ -148,28 +151,41 @@ def with_end(batches):
     yield None
 
 
-def across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket but different components whose signatures are within ``DISTANCE``."""
-    named = (buckets.join(labels, buckets["member"] == labels["node"], "left")
-             .select("key", "member", F.coalesce("component", "member").alias("label")))
-    open_keys = (named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
-                 .where("low <> high").select("key", F.expr(f"cast((n + {BLOCK - 1}) div {BLOCK} as int)").alias("parts")))
-    rows = (named.join(open_keys, "key").join(classes.select("member", "n_shingles", "signature"), "member")
+def linked(ids, label, own, signs, starts, values, percent: int) -> list[tuple[int, int]]:
+    """Links between rows of different labels, within one block or from one block to the other; a link merges its labels.
+
+    ``values[starts[k]:starts[k + 1]]`` is the set of row k. Signatures rule out most pairs, full sets decide the others.
+    """
+    one = own == own[0]
+    first, second = (np.flatnonzero(one), np.flatnonzero(~one)) if not one.all() else (np.arange(len(ids)),) * 2
+    size, label, out = np.diff(starts), label.copy(), []
+    for x in first:
+        y = second[(label[second] != label[x]) & ((ids[second] > ids[x]) | (own[second] != own[x]))]
+        y = y[100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x])]
+        y = y[np.count_nonzero(signs[y] != signs[x], axis=1) <= DISTANCE]
+        if not len(y):
+            continue
+        mine = values[starts[x]:starts[x + 1]]
+        theirs = np.concatenate([values[starts[k]:starts[k + 1]] for k in y])
+        place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+        shared = np.add.reduceat((mine[place] == theirs).astype(np.int64), np.concatenate(([0], np.cumsum(size[y])[:-1])))
+        for k in y[100 * shared >= percent * (size[y] + size[x] - shared)]:
+            if label[k] != label[x]:
+                out.append((int(min(ids[x], ids[k])), int(max(ids[x], ids[k]))))
+                label[label == label[k]] = label[x]
+    return out
+
+
+def links_across(groups: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of one group. At most as many rows come out of a block as it has members."""
+    named = (groups.join(labels, groups["member"] == labels["node"], "left")
+             .select("center", "member", F.coalesce("component", "member").alias("label")))
+    open_groups = (named.groupBy("center").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+                   .where("low <> high").select("center", F.expr(f"cast((n + {BLOCK - 1}) div {BLOCK} as int)").alias("parts")))
+    rows = (named.join(open_groups, "center").join(classes.select("member", "signature"), "member").join(sets, "member")
             .withColumn("own", F.expr("cast(pmod(xxhash64(member, 7), parts) as int)"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "member", "label", "n_shingles", "signature"))
-
-    def compare(ids, label, own, size, rows):
-        one = own == own[0]
-        first, second = (np.flatnonzero(one), np.flatnonzero(~one)) if not one.all() else (np.arange(len(ids)),) * 2
-        out = []
-        for x in first:
-            y = second[(label[second] != label[x]) & ((ids[second] > ids[x]) | (own[second] != own[x]))]
-            y = y[100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x])]
-            if len(y):
-                y = y[np.count_nonzero(rows[y] != rows[x], axis=1) <= DISTANCE]
-                out += [(min(ids[x], ids[k]), max(ids[x], ids[k])) for k in y.tolist()]
-        return out
+            .select("center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "member", "label", "signature", "set"))
 
     def run(batches):
         held = None
@@ -178,19 +194,21 @@ def across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, percent: i
             if not parts:
                 continue
             part = pa.Table.from_batches(parts).combine_chunks()
-            group = np.stack([part[c].to_numpy().astype(np.int64) for c in ("key", "i", "j")])
+            group = np.stack([part[c].to_numpy().astype(np.int64) for c in ("center", "i", "j")])
             cuts = np.concatenate(([0], np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1, [part.num_rows]))
             done = len(cuts) - 1 if batch is None else len(cuts) - 2
-            ids, label, own, size = (part[c].to_numpy() for c in ("member", "label", "own", "n_shingles"))
+            ids, label, own = (part[c].to_numpy() for c in ("member", "label", "own"))
             signs = np.frombuffer(b"".join(part["signature"].to_pylist()), np.uint16).reshape(-1, PLACES)
-            pairs = {p for k in range(done) if cuts[k + 1] - cuts[k] > 1
-                     for p in compare(*(x[cuts[k]:cuts[k + 1]] for x in (ids, label, own, size, signs)))}
+            lists = part["set"].combine_chunks()
+            starts, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+            pairs = {p for k in range(done) if cuts[k + 1] - cuts[k] > 1 for at in [slice(cuts[k], cuts[k + 1])]
+                     for p in linked(ids[at], label[at], own[at], signs[at], starts[cuts[k]:cuts[k + 1] + 1], values, percent)}
             held = None if batch is None else part.slice(cuts[done]).combine_chunks().to_batches()[0]
             if pairs:
                 a, b = zip(*sorted(pairs))
                 yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return (rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct())
+    return (rows.repartition("center", "i", "j").sortWithinPartitions("center", "i", "j").mapInArrow(run, "a long, b long").distinct())
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -202,13 +220,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           .select("digest", F.col("m.doc_id").alias("member"), "m.n_shingles", "m.signature"), "classes")
     keys = keyed(classes)
     shared = keys.groupBy("key").agg(F.min("member").alias("center"), F.max("member").alias("last")).where("center <> last").select("key", "center")
-    buckets = materialize(keys.join(shared.hint("shuffle_hash"), "key"), "buckets")
-    sizes = classes.select("member", "n_shingles")
+    groups = materialize(keys.join(shared.hint("shuffle_hash"), "key").select("center", "member").distinct(), "groups")
+    sets = materialize(shingle_sets(docs, groups.select("member").distinct(), id_col, text_col, words), "shingles")
 
-    stars = buckets.where("member <> center").select(F.col("center").alias("a"), F.col("member").alias("b")).distinct()
-    links = materialize(confirm(stars, docs, sizes, id_col, text_col, words, percent), "links")
-    rest = across(buckets, components(links), classes, percent)
-    more = materialize(confirm(rest, docs, sizes, id_col, text_col, words, percent), "links")
+    links = materialize(star_links(groups, sets, classes.select("member", "n_shingles"), percent), "links")
+    more = materialize(links_across(groups, components(links), classes, sets, percent), "links")
     labels = components(links.union(more))
     named = (classes.join(labels, classes["member"] == labels["node"], "left")
              .select("digest", F.coalesce("component", "member").alias("component_id")))
