@@ -15,8 +15,19 @@ SEASONS = [((12, 1, 2), "Winter"), ((3, 4, 5), "Spring"), ((6, 7, 8), "Summer"),
 
 
 def hour_of(col: Column) -> Column:
-    """The start of the hour, as wall-clock time."""
-    return F.date_trunc("hour", col).cast("timestamp_ntz")
+    """The start of the hour, as wall-clock time.
+
+    Built from the parts of the time, as truncation would go through the session's zone and move hours
+    that its clock change skips.
+    """
+    zero = F.lit(0)
+    return F.make_timestamp_ntz(F.year(col), F.month(col), F.dayofmonth(col), F.hour(col), zero, zero)
+
+
+def wall_seconds(col: Column) -> Column:
+    """Whole seconds of the wall clock since 1970, in days of 86,400 seconds whatever the zone."""
+    day = F.unix_date(col.cast("timestamp_ntz").cast("date")).cast("long")
+    return day * 86400 + F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
 
 
 def month_of(col: Column) -> Column:
@@ -24,8 +35,8 @@ def month_of(col: Column) -> Column:
 
 
 def minutes_between(start: Column, end: Column, digits: int = 2) -> Column:
-    """Elapsed minutes from whole seconds."""
-    seconds = F.unix_timestamp(end.cast("timestamp")) - F.unix_timestamp(start.cast("timestamp"))
+    """Minutes on the wall clock from whole seconds."""
+    seconds = wall_seconds(end) - wall_seconds(start)
     return F.round(seconds / F.lit(60.0), digits).cast("double")
 
 

@@ -6,6 +6,8 @@ No join here carries a broadcast hint. Spark broadcasts a side whose measured si
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -26,24 +28,20 @@ def lookup(df: DataFrame, dim: DataFrame, on: Column | str, dim_key: str, take:
 def orphan_counts(df: DataFrame, references: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Rows per foreign key (``column -> (dimension, key)``) whose value no dimension row has.
 
-    One scan for all foreign keys: values are counted per (column, value) before anything is
-    shuffled, and the counts, not the rows, are matched against the dimensions. NULL values are not
-    orphans. Columns: fk, records_checked, orphans (one row per foreign key, also for an empty table).
+    Each foreign key reads its one column, counts its values before anything is shuffled, and matches
+    the counts, not the rows, in the common type of both keys. NULL values are not orphans. Columns: fk,
+    records_checked, orphans (one row per foreign key, also for an empty table).
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("fk"), F.col(c).cast("string").alias("value"))
-                      for c in references])
-    values = df.select(F.inline(pairs)).groupBy("fk", "value").agg(F.count(F.lit(1)).alias("n"))
-    members = None
+    parts = []
     for column, (dim, key) in references.items():
-        part = dim.select(F.lit(column).alias("fk"), F.col(key).cast("string").alias("value")).dropna()
-        members = part if members is None else members.unionByName(part)
-    members = members.distinct().withColumn("_found", F.lit(True))
-    matched = values.join(members, ["fk", "value"], "left")
-    lost = F.col("value").isNotNull() & F.col("_found").isNull()
-    counted = matched.groupBy("fk").agg(
-        F.sum("n").alias("records_checked"), F.sum(F.when(lost, F.col("n")).otherwise(0)).alias("orphans"))
-    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in references])).alias("fk"))
-    return names.join(counted, "fk", "left").na.fill(0, ["records_checked", "orphans"])
+        values = df.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+        members = dim.select(F.col(key).alias("_member")).dropna().distinct()
+        matched = values.join(members, F.col("_value") == F.col("_member"), "left")
+        lost = F.col("_value").isNotNull() & F.col("_member").isNull()
+        parts.append(matched.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("records_checked"),
+                                 F.coalesce(F.sum(F.when(lost, F.col("_n"))), F.lit(0)).alias("orphans"))
+                     .select(F.lit(column).alias("fk"), "records_checked", "orphans"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def only_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -62,8 +60,9 @@ def within_bounds(df: DataFrame, column: str, bounds: DataFrame, low: str, high:
 
     The one row is read first and its values go into the filter as literals, which the scan of ``df``
     can use to skip partitions and row groups; a join with the row could not. No row or a NULL bound
-    keeps nothing.
+    keeps nothing. The values travel as text: a naive time would be taken for the driver's local time.
     """
-    one = bounds.select(low, high).first() or (None, None)
-    limits = [F.lit(v).cast(df.schema[column].dataType) for v in one]
+    kind = df.schema[column].dataType
+    one = bounds.select(*[F.col(c).cast(kind).cast("string") for c in (low, high)]).first() or (None, None)
+    limits = [F.lit(v).cast(kind) for v in one]
     return df.filter(F.col(column).between(*limits))

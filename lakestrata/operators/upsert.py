@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakestrata.operators.keys import number_rows
-from lakestrata.operators.writes import overwrite_partitions
+from lakestrata.operators.writes import joint_schema, overwrite_partitions, stored_schema
 from lakestrata.session import materialize
 
 SRC = "_src_"
@@ -152,13 +152,17 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
     ``partition_by`` must follow from the key (a month of a key timestamp, say). Then rows of one key
     share a partition, and only the partitions named by the source are read and rewritten: loading a
     month costs that month, not the whole table. The new rows are complete in the work folder
-    (``upsert-result``) before any partition is replaced, and stay there should the replacement be cut off. With ``key`` the table has a surrogate key, numbered in ``order_by``
-    order; its largest value is the one thing looked up in the whole table, one column of it.
+    (``upsert-result``) before any partition is replaced, and stay there should the replacement be cut off. With ``key`` the table
+    has a surrogate key, numbered in ``order_by`` order; its largest value is the one thing looked up in the whole table, one column of it.
+
+    Stored columns that the source lacks stay: unchanged on update, NULL on insert. New columns of the
+    source are added, NULL in rows that were there.
     """
     batch = materialize(source, "upsert-source")
     # One value per table partition: as short as the list of partition folders.
     touched = [row[0] for row in batch.select(partition_by).distinct().collect()]
-    schema = source.schema if key is None else T.StructType([T.StructField(key, T.LongType()), *source.schema.fields])
+    declared = source.schema if key is None else T.StructType([T.StructField(key, T.LongType()), *source.schema.fields])
+    schema = joint_schema(declared, stored_schema(spark, path), partition_by, path)
     table = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     in_load = F.col(partition_by).isin([v for v in touched if v is not None])
     part = table.filter(in_load | F.col(partition_by).isNull() if None in touched else in_load)

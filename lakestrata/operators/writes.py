@@ -11,8 +11,11 @@ LAYERS = ["bronze", "silver", "gold", "quality"]
 
 
 def overwrite_path(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace a Parquet table folder; the new schema may differ. ``df`` must not read the folder."""
-    writer = _balanced(df, partition_by).write.mode("overwrite")
+    """Replace a Parquet table folder; the new schema may differ. ``df`` must not read the folder.
+
+    Static whatever the session says: no partition of the old table survives.
+    """
+    writer = _balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
@@ -44,22 +47,42 @@ def _balanced(df: DataFrame, partition_by: str | None) -> DataFrame:
 
 
 def ensure_path(spark: SparkSession, path: str, schema: T.StructType, partition_by: str | None = None) -> DataFrame:
-    """Create an empty Parquet table unless one is there; an existing one must have this schema."""
+    """The Parquet table at ``path``, created empty unless it is there.
+
+    Stored columns beyond ``schema`` are kept; declared columns that the table lacks read as NULL. A
+    column of another type is an error.
+    """
+    stored = stored_schema(spark, path)
+    if stored is None:
+        writer = spark.createDataFrame([], schema).write.mode("append")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    return spark.read.schema(joint_schema(schema, stored, partition_by, path)).parquet(path)
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """All columns that any file of a Parquet table has, or None if there is no table.
+
+    Reads the footers of all files (as a Spark job), because a column can be younger than most of them.
+    """
     try:
-        found = spark.read.parquet(path)
+        return spark.read.option("mergeSchema", True).parquet(path).schema
     except Exception as error:  # the reader reports a missing folder or a folder without files this way
         if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
             raise
-        empty = spark.createDataFrame([], schema)
-        writer = empty.write.mode("append")
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-        return spark.read.schema(schema).parquet(path)
-    have = {f.name: f.dataType for f in found.schema.fields}
-    want = {f.name: f.dataType for f in schema.fields if f.name != partition_by}
-    wrong = [n for n, t in want.items() if have.get(n) != t]
+        return None
+
+
+def joint_schema(declared: T.StructType, stored: T.StructType | None, partition_by: str | None, path: str) -> T.StructType:
+    """The declared columns and then the other stored ones; types must agree.
+
+    The partition column takes the declared type: files do not hold it, and Spark only guesses it.
+    """
+    have = {} if stored is None else {f.name: f for f in stored.fields}
+    wrong = [f.name for f in declared.fields if f.name != partition_by and f.name in have and have[f.name].dataType != f.dataType]
     if wrong:
         raise ValueError(f"table at {path} differs from the declared schema in {wrong}")
-    return spark.read.schema(schema).parquet(path)
+    names = set(declared.fieldNames())
+    return T.StructType([*declared.fields, *(f for n, f in have.items() if n not in names)])
 
 
 def ensure_namespaces(spark: SparkSession, prefix: str = "", layers: list[str] = LAYERS) -> list[str]:

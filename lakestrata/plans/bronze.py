@@ -63,9 +63,12 @@ def ingest_array_documents(spark: SparkSession, path: str, table: str, field: st
 
 def ingest_typed_records(spark: SparkSession, path: str, target: DataFrame | None, schema: T.StructType | str,
                          primary_key: str, source_name: str, at: dt.datetime | None = None) -> DataFrame:
-    """Merge typed JSON records into ``target`` by primary key and return the merged rows."""
+    """Merge typed JSON records into ``target`` by primary key and return the merged rows.
+
+    A NULL key is a key like any other, so that loading the same file again adds nothing.
+    """
     rows = read_records(spark, path, schema).withColumn("source_file", F.lit(source_name))
     batch = keep_one(stamp(rows, "bronze", at), [primary_key])
     if target is None:
         return batch
-    return upsert(target, materialize(batch, "records"), [primary_key], null_safe=False, check_source=False)
+    return upsert(target, materialize(batch, "records"), [primary_key], check_source=False)

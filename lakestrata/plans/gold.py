@@ -25,11 +25,13 @@ def build_calendar(spark: SparkSession, start: dt.datetime, end: dt.datetime, *,
                    at: dt.datetime | None = None) -> DataFrame:
     """One row per hour from start to end plus the unknown member with key 0.
 
-    The key counts hours from ``start``: the same start always gives an hour the same key, and no
-    window over all rows is needed to number them.
+    The key counts hours from the unknown member's day, so an hour has the same key in every calendar,
+    and no window over all rows is needed to number them.
     """
-    hours = hour_grid(spark, start, end, "full_datetime", position="datetime_key")
     t = F.col("full_datetime")
+    epoch = F.lit(UNKNOWN_DAY.isoformat(sep=" ")).cast("timestamp_ntz")
+    key = ((clock.wall_seconds(t) - clock.wall_seconds(epoch)) / 3600).cast("long")
+    hours = hour_grid(spark, start, end, "full_datetime").select(key.alias("datetime_key"), t)
     parts = hours.withColumns({
         "date": t.cast("date"),
         "day": F.dayofmonth(t),

@@ -26,6 +26,7 @@ from lakestrata.plans.presets import (PICKUP, TRIP_KEY, TRIP_KEY_ORDER, TRIP_RUL
 from lakestrata.plans.silver import clean_events, clean_reference, clean_series, is_valid_event
 from lakestrata.quality import suites
 from lakestrata.quality.store import append_report, gate, stored_reports
+from lakestrata.session import configure
 from lakestrata.sources.discovery import landed_files, landed_months, next_partition
 from lakestrata.sources.files import read_parquet
 
@@ -46,6 +47,9 @@ class Warehouse:
     last_hour: str = WINDOW_LAST_HOUR
     at: dt.datetime | None = None
 
+    def __post_init__(self):
+        configure(self.spark)
+
     def path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 

@@ -123,7 +123,7 @@ calendar AS (
          0 AS "month", 'Unknown' AS month_name, 0 AS "quarter", 1900 AS "year", false AS is_weekend,
          false AS is_rush_hour, 0 AS day_of_week
   UNION ALL
-  SELECT row_number() OVER (ORDER BY t), t, t::DATE, day(t)::INTEGER, strftime(t, '%A'), hour(t)::INTEGER,
+  SELECT date_diff('hour', TIMESTAMP '1900-01-01', t), t, t::DATE, day(t)::INTEGER, strftime(t, '%A'), hour(t)::INTEGER,
          strftime(t, '%I %p'),
          CASE WHEN hour(t) BETWEEN 5 AND 11 THEN 'Morning' WHEN hour(t) BETWEEN 12 AND 16 THEN 'Afternoon'
               WHEN hour(t) BETWEEN 17 AND 21 THEN 'Evening' ELSE 'Night' END,

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import TABLES, table_rows
+from lakestrata.testbed import catalogue
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
@@ -20,10 +21,10 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.SQL))
 def test_query_equals_sql(spark, db, name):
-    df = entry.queries()[name](spark, FOLDER)
-    want = db.sql(entry.oracle_sql()[name])
+    df = catalogue.QUERIES[name](spark, FOLDER)
+    want = db.sql(catalogue.SQL[name])
     assert sorted(df.columns) == sorted(want.columns)
     assert table_rows(df.columns, df.collect()) == table_rows(want.columns, want.fetchall())
 
