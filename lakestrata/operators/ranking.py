@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lakestrata.functions.numeric import settled_round
+
 # Sample size under which a group is flagged, and the two flags.
 LOW_SAMPLE_ROWS = 200
 LOW_SAMPLE = "LOW SAMPLE - interpret with caution"
@@ -21,7 +23,7 @@ def top_k(df: DataFrame, by: str, k: int, tie_break: Sequence[str], largest: boo
 def share_of_total(groups: DataFrame, count: str, name: str = "pct_of_total", digits: int = 2) -> DataFrame:
     """Percentage of each row in the sum of ``count``. For aggregated rows: they meet in one task."""
     share = F.lit(100.0) * F.col(count) / F.sum(count).over(Window.partitionBy())
-    return groups.withColumn(name, F.round(F.round(share, 6), digits))
+    return groups.withColumn(name, settled_round(share, digits))
 
 
 def sample_flag(count: Column, at_least: int = LOW_SAMPLE_ROWS) -> Column:

@@ -134,12 +134,12 @@ def profile_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("profile_hours_covered", """
-WITH h AS (SELECT date_trunc('hour', ts) AS h, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1)
+WITH h AS (SELECT date_trunc('hour', ts) AS h, count(*) AS n FROM events GROUP BY 1)
 SELECT date_diff('hour', min(h), max(h)) + 1 AS expected_hours, count(*) AS hours_with_data, sum(n)::BIGINT AS row_count
 FROM h
 """)
 def profile_hours_covered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.hours_covered(load(spark, sf_dir, "events").filter("event_type = 'error'"), "ts")
+    return profile.hours_covered(load(spark, sf_dir, "events"), "ts")
 
 
 @query("profile_gaps", """

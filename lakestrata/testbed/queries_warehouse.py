@@ -33,17 +33,16 @@ def filter_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("silver_refresh", SILVER + """
-SELECT lpep_pickup_datetime, VendorID, PULocationID, DOLocationID, trip_distance, total_amount,
-       CASE WHEN VendorID = 3 THEN coalesce(passenger_count, 0) + 1 ELSE passenger_count END AS passenger_count
-FROM silver
+SELECT * REPLACE (CASE WHEN VendorID = 3 THEN coalesce(passenger_count, 0) + 1 ELSE passenger_count END AS passenger_count)
+         RENAME (source_file AS bronze_source_file, source_month AS bronze_source_month)
+FROM (SELECT * EXCLUDE (delivery) FROM silver)
 """)
 def silver_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips of one vendor loaded again with one passenger more, upserted on the null-safe trip key."""
     silver = table(spark, sf_dir, "silver_trips")
     again = silver.filter("VendorID = 3").withColumn("passenger_count", F.col("passenger_count") + 1)
     merged = refresh(silver, again, TRIP_KEY, TRIP_UPDATE)
-    return merged.select("lpep_pickup_datetime", "VendorID", "PULocationID", "DOLocationID", "trip_distance",
-                         "total_amount", "passenger_count")
+    return _without_audit(merged)
 
 
 @query("silver_zones", ZONES + "SELECT * FROM silver_zones")
@@ -67,9 +66,7 @@ def dim_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("refresh_calendar", CALENDAR + """
-SELECT CASE WHEN "year" = 1900 THEN 'member' ELSE 'hour' END AS kind, count(*) AS row_count,
-       max(datetime_key) AS last_key
-FROM calendar GROUP BY ALL
+SELECT * FROM calendar
 """)
 def refresh_calendar_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stale calendar (every key off by ten, hours after 1997 missing, one hour that is no longer wanted)."""
@@ -77,8 +74,7 @@ def refresh_calendar_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     stale = fresh.filter("year < 1998").withColumn("datetime_key", F.col("datetime_key") + 10)
     extra = stale.filter("year = 1900").withColumn("full_datetime", F.lit("1901-01-01 00:00:00").cast("timestamp_ntz"))
     merged = refresh_calendar(stale.unionByName(extra), fresh, delete_unmatched=True)
-    kind = F.when(F.col("year") == 1900, "member").otherwise("hour").alias("kind")
-    return merged.groupBy(kind).agg(F.count(F.lit(1)).alias("row_count"), F.max("datetime_key").alias("last_key"))
+    return _without_audit(merged)
 
 
 @query("dim_location", ZONES + "SELECT * FROM location")
@@ -132,7 +128,7 @@ def fact_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT coalesce(old.trip_key, (SELECT max(trip_key) FROM old)
          + row_number() OVER (PARTITION BY old.trip_key IS NULL ORDER BY lpep_pickup_datetime, lpep_dropoff_datetime,
                               vendor_id, PULocationID, DOLocationID, trip_distance, total_amount)) AS trip_key,
-       vendor_id, lpep_pickup_datetime, trip_distance, total_amount, fare_amount, weather_key
+       fact.* EXCLUDE (trip_key)
 FROM fact LEFT JOIN old ON fact.trip_key = old.trip_key
 """)
 def fact_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,8 +136,7 @@ def fact_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = table(spark, sf_dir, "fact").filter("passenger_count <> 2").withColumn("fare_amount", F.lit(-1.0))
     fact = build_trip_fact(*[table(spark, sf_dir, n) for n in ("silver_trips", "calendar", "location", "weather")],
                            existing=materialize(old, "old"))
-    return fact.select("trip_key", "vendor_id", "lpep_pickup_datetime", "trip_distance", "total_amount", "fare_amount",
-                       "weather_key")
+    return _without_audit(fact)
 
 
 @query("audit_stamps", """
@@ -188,13 +183,12 @@ def top_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("opportunity_zones", FACT + """
-, p AS (SELECT PULocationID AS id, count(*) AS n FROM fact GROUP BY 1),
-d AS (SELECT DOLocationID AS id, count(*) AS n FROM fact GROUP BY 1)
-SELECT location_id, borough, zone, coalesce(p.n, 0) AS pickup_trips, coalesce(d.n, 0) AS dropoff_trips,
-       coalesce(p.n, 0) + coalesce(d.n, 0) AS total_mobility_activity,
-       coalesce(p.n, 0) - coalesce(d.n, 0) AS mobility_imbalance
-FROM location LEFT JOIN p ON location_id = p.id LEFT JOIN d ON location_id = d.id
-ORDER BY total_mobility_activity, location_id LIMIT 5
+, ends AS (SELECT unnest([PULocationID, DOLocationID]) AS place, unnest([1, -1]) AS direction FROM fact)
+SELECT location_id, any_value(borough) AS borough, any_value(zone) AS zone, count_if(direction = 1) AS pickup_trips,
+       count_if(direction = -1) AS dropoff_trips, count(direction) AS total_mobility_activity,
+       coalesce(sum(direction), 0)::BIGINT AS mobility_imbalance
+FROM location LEFT JOIN ends ON place = location_id
+GROUP BY location_id ORDER BY count(direction), location_id LIMIT 5
 """)
 def opportunity_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.opportunity_zones(table(spark, sf_dir, "fact"), table(spark, sf_dir, "location"))
@@ -243,14 +237,16 @@ def condition_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("rate_per_hour", FACT + KEPT + f"""
-, t AS (SELECT coalesce(weather_condition, 'No Weather Data') AS weather_condition, count(*) AS trip_count
-        FROM kept GROUP BY 1),
-h AS (SELECT weather_condition, count(DISTINCT weather_datetime) AS weather_hours FROM weather
-      WHERE weather_datetime BETWEEN (SELECT date_trunc('hour', min(lpep_pickup_datetime)) FROM fact)
-                                 AND (SELECT date_trunc('hour', max(lpep_pickup_datetime)) FROM fact) GROUP BY 1)
-SELECT t.weather_condition, trip_count, weather_hours,
-       {settled('trip_count * 1.0::DOUBLE / nullif(weather_hours, 0)')} AS trips_per_weather_hour
-FROM t LEFT JOIN h ON t.weather_condition = h.weather_condition
+, events AS (
+  SELECT coalesce(weather_condition, 'No Weather Data') AS label, 1 AS trip, NULL AS covered FROM kept
+  UNION ALL
+  SELECT weather_condition, NULL, weather_datetime FROM weather
+  WHERE EXISTS (SELECT 1 FROM fact WHERE lpep_pickup_datetime < weather_datetime + INTERVAL 1 HOUR)
+    AND EXISTS (SELECT 1 FROM fact WHERE lpep_pickup_datetime >= weather_datetime))
+SELECT label AS weather_condition, count(trip) AS trip_count,
+       nullif(count(DISTINCT covered), 0) AS weather_hours,
+       {settled('count(trip) * 1.0::DOUBLE / nullif(count(DISTINCT covered), 0)')} AS trips_per_weather_hour
+FROM events GROUP BY label HAVING count(trip) > 0
 """)
 def rate_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.trips_per_weather_hour(table(spark, sf_dir, "fact"), table(spark, sf_dir, "weather"))

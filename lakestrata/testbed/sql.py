@@ -6,8 +6,8 @@ from lakestrata.functions.codes import WEATHER_CODES
 
 
 def settled(expr: str, digits: int = 2) -> str:
-    """Round half up in decimal after dropping noise beyond six digits."""
-    return f"CAST(round(CAST(({expr}) AS DECIMAL(28,6)), {digits}) AS DOUBLE)"
+    """Round half up in decimal after dropping noise beyond ten digits."""
+    return f"CAST(round(CAST(({expr}) AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
 
 
 def pct(part: str, whole: str) -> str:
@@ -101,7 +101,7 @@ readings AS (
          CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 71 WHEN '3-MEDIUM' THEN 3
               WHEN '4-NOT SPECIFIED' THEN 61 ELSE 100 END::BIGINT AS weather_code, o_orderkey % 100000 AS days_late,
          o_orderkey // 100000 AS minutes_late
-  FROM orders WHERE o_orderstatus <> 'F'),
+  FROM orders),
 silver_weather AS (
   SELECT ts AS "timestamp", temperature_2m, precipitation, precipitation AS rain, snowfall, wind_speed_10m,
          weather_code

@@ -3,7 +3,7 @@
 trips    one per line item (re-delivered items come three times): pickup = order date plus minutes,
          zones = nations of supplier and customer
 zones    nations with their region, ids as text, one of them no number
-weather  one reading per order that is not finished, several per hour
+weather  one reading per order, several per hour
 
 The layers are written once per Spark application and test folder, as in a real warehouse; the
 queries then read tables.
@@ -92,7 +92,7 @@ def bronze_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = load(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "F")
+    orders = load(spark, sf_dir, "orders")
     moment = F.expr("o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 1440 as int), 0)")
     urgency = F.col("o_orderpriority")
     code = (F.when(urgency == "1-URGENT", 0).when(urgency == "2-HIGH", 71).when(urgency == "3-MEDIUM", 3)
