@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata.quality import rules
-from lakestrata.quality.store import append_report, stored_reports, summarise
+from lakestrata.quality.store import QualityGateFailed, append_report, gate, stored_reports, summarise
 from lakestrata.quality.suites import (bronze_trip_suite, bronze_weather_suite, calendar_suite, download_suite,
                                        fact_suite, location_suite, silver_trip_suite, silver_weather_suite,
                                        silver_zone_suite, weather_suite)
 from lakestrata.functions.numeric import percentage
 from lakestrata.plans.presets import WEATHER_MEASURES, WEATHER_NON_NEGATIVE
 from lakestrata.plans.silver import is_valid_event
-from lakestrata.session import new_path
+from lakestrata.session import materialize, new_path
 from lakestrata.testbed.registry import query
 from lakestrata.testbed.sql import (CALENDAR, FACT, KEY, SILVER, SIMPLE, SOURCE, SOURCE_STATUS, TABLE, TABLE_ACTUAL,
                                     TRIPS, VALID, WEATHER, ZONES, check, pct, rows, suite, warn)
@@ -191,7 +191,7 @@ _ZONE_DEFECTS: Defects = [
     ("service_zone", "location_id = 3", "'EWR '"), ("service_zone", "location_id = 5", "NULL"), ("location_id", "location_id = 6", "NULL"),
     ("borough", "location_id = 8", "NULL"), ("borough", "location_id = 2", "'Atlantis'"), ("zone", "location_id = 9", "NULL"),
     ("silver_ingestion_timestamp", "location_id = 10", "NULL"), ("silver_ingestion_date", "location_id = 11", "NULL")]
-_ZONE_TWICE = "location_id = 12"
+_ZONE_TWICE = "location_id IN (12, 13)"
 
 
 @query("dq_silver_ref", ZONES + spoilt_sql("silver_zones", "z", _ZONE_DEFECTS, _ZONE_TWICE, _stamps("silver_ingestion")) + suite([
@@ -465,3 +465,21 @@ def dq_gate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         append_report(report, path, suite_name, "run-1")
     stored = stored_reports(spark, path)
     return summarise({name: stored.filter(F.col("suite") == name) for name in reports})
+
+
+@query("gate_stops", SILVER + _SPOILT_SILVER + ", r AS (" + "\nUNION ALL ".join(_SILVER_CHECKS) + """)
+SELECT 'spoilt' AS load, count(*) FILTER (WHERE failures > 0) > 0 AS stopped, count(*) FILTER (WHERE failures > 0) AS failed_checks FROM r
+UNION ALL SELECT 'passing', false, 0 FROM r WHERE check_name = 'Completeness'
+""")
+def gate_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate before a load with failed checks, and before one whose checks all pass."""
+    report = silver_trip_suite(_spoilt_silver(spark, sf_dir), table(spark, sf_dir, "bronze_trips"), is_valid_event(RULES, UNTIL))
+    report = materialize(report, "report")
+    rows = []
+    for load_name, checks in (("spoilt", report), ("passing", report.filter("status = 'PASS'"))):
+        try:
+            gate(checks)
+            rows.append((load_name, False, 0))
+        except QualityGateFailed as error:
+            rows.append((load_name, True, int(str(error).split()[0])))
+    return spark.createDataFrame(rows, "load string, stopped boolean, failed_checks long")

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from lakestrata.operators.writes import ensure_path, overwrite_path
+from lakestrata.operators.upsert import upsert_partitions
+from lakestrata.operators.writes import LAYERS, ensure_namespaces, ensure_path, overwrite_path, overwrite_table
 from lakestrata.plans.bronze import (ingest_array_documents, ingest_overwrite, ingest_partitioned_files,
                                      ingest_reference_csv, ingest_typed_records)
 from lakestrata.profiling.profile import schema_diff
 from lakestrata.session import materialize, new_path
-from lakestrata.sources.discovery import missing_partitions, month_window, next_partition, previous_month
+from lakestrata.sources.discovery import (landed_files, landed_months, missing_partitions, month_window, next_partition,
+                                          previous_month)
 from lakestrata.sources.files import (preview, query_path, read_array_documents, read_csv, read_parquet,
-                                      read_records)
+                                      read_records, read_records_apart, read_table)
 from lakestrata.sources.generated import hour_sequence
 from lakestrata.streaming.incremental import load_new_files
 from lakestrata.testbed.registry import query
@@ -95,6 +98,72 @@ def scan_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.from_json("props", T.StructType([T.StructField("k", T.LongType())]))["k"].alias("code"))
 
 
+@query("scan_rejects", """
+SELECT event_id, CASE WHEN event_id % 10 > 1 THEN value END AS value, event_id % 10 <= 1 AS rejected FROM events
+""")
+def scan_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of which one in ten is cut off and one in ten has text for a number: every line is read or kept apart."""
+    line = F.to_json(F.struct("event_id", "value"))
+    digit = F.col("event_id") % 10
+    spoilt = (F.when(digit == 0, F.expr("substring(line, 1, length(line) - 2)"))
+              .when(digit == 1, F.regexp_replace("line", '"value":.*}', '"value":"n/a"}')).otherwise(F.col("line")))
+    path = new_path(spark, "records")
+    load(spark, sf_dir, "events").select("event_id", line.alias("line")).select(spoilt.alias("value")).write.text(path)
+    good, bad = read_records_apart(spark, path, "event_id bigint, value double")
+    number = F.regexp_extract("line", '"event_id":([0-9]+)', 1).cast("bigint")
+    return (good.withColumn("rejected", F.lit(False))
+            .unionByName(bad.select(number.alias("event_id"), F.lit(None).cast("double").alias("value"), F.lit(True).alias("rejected"))))
+
+
+@query("upsert_missing_column", """
+SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey + 1 ELSE o_custkey END AS o_custkey, o_orderdate,
+       strftime(o_orderdate, '%Y-%m') AS order_month, CASE WHEN o_orderpriority <> '2-HIGH' THEN o_totalprice END AS o_totalprice
+FROM orders
+""")
+def upsert_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load without the price: urgent orders keep the stored one, orders that are new have none."""
+    orders = load(spark, sf_dir, "orders").withColumn("order_month", F.date_format("o_orderdate", "yyyy-MM"))
+    path = new_path(spark, "orders")
+    stored = orders.filter("o_orderpriority <> '2-HIGH'").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "order_month")
+    overwrite_path(stored, path, "order_month")
+    urgent = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
+    batch = (orders.filter("o_orderpriority IN ('1-URGENT', '2-HIGH')").withColumn("o_custkey", urgent)
+             .select("o_orderkey", "o_custkey", "o_orderdate", "order_month"))
+    ensure_path(spark, path, batch.schema, "order_month")
+    return upsert_partitions(spark, path, batch, ["o_orderkey", "order_month"], "order_month")
+
+
+@query("catalog_tables", "\nUNION ALL ".join(
+    f"SELECT '{layer}' AS layer, c_custkey, c_name, c_acctbal < 0 AS in_debt FROM customer WHERE c_custkey % 4 = {k}"
+    for k, layer in enumerate(LAYERS)))
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One namespace per layer; its table written, replaced with one more column, and read by name."""
+    customer = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    prefix = f"t{uuid.uuid4().hex[:10]}_"
+    parts = []
+    for k, namespace in enumerate(ensure_namespaces(spark, prefix)):
+        own, name = customer.filter(F.col("c_custkey") % 4 == k), f"{namespace}.customer"
+        overwrite_table(own.drop("c_acctbal"), name)
+        overwrite_table(own.withColumn("in_debt", F.col("c_acctbal") < 0), name)
+        parts.append(read_table(spark, name).drop("c_acctbal").withColumn("layer", F.lit(namespace.removeprefix(prefix))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("landed_months", """
+SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS "month",
+       (SELECT strftime(max(o_orderdate) + INTERVAL 1 MONTH, '%Y-%m') FROM orders) AS next_month
+FROM orders
+""")
+def landed_months_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of landed files by listing them (here by their folder), and the month to load next."""
+    landed = new_path(spark, "landing")
+    orders = load(spark, sf_dir, "orders")
+    orders.withColumn("landed", F.date_format("o_orderdate", "yyyy-MM")).repartition("landed").write.partitionBy("landed").parquet(landed)
+    folders = landed_files(spark, landed).withColumn("path", F.element_at(F.split("path", "/"), -2))
+    months = landed_months(folders)
+    return months.withColumn("next_month", next_partition(months, "2026-03").select("next_month").scalar())
+
+
 @query("write_roundtrip", """
 SELECT c_custkey, c_name, c_acctbal, c_acctbal < 0 AS in_debt FROM customer
 """)

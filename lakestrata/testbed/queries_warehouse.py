@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata.functions.codes import WEATHER_CODES
 from lakestrata.operators.lineage import stamp
 from lakestrata.plans import analytics
-from lakestrata.plans.gold import build_coded_dim, build_reference_dim, build_trip_fact, refresh_calendar
+from lakestrata.plans.gold import build_calendar, build_coded_dim, build_reference_dim, build_trip_fact, refresh_calendar
 from lakestrata.plans.presets import TRIP_KEY, TRIP_UPDATE
 from lakestrata.plans.silver import refresh
 from lakestrata.session import materialize
@@ -77,6 +79,20 @@ def refresh_calendar_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_audit(merged)
 
 
+@query("calendar_growth", CALENDAR + """
+SELECT full_datetime, datetime_key, CASE WHEN "year" = 1900 OR full_datetime >= (SELECT first + INTERVAL 400 DAY FROM span) THEN true END AS same_key
+FROM calendar
+""")
+def calendar_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calendar extended to the left: the hours that were there keep their keys."""
+    first, last = load(spark, sf_dir, "orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    late = materialize(build_calendar(spark, first + dt.timedelta(days=400), last, at=AT), "calendar")
+    grown = refresh_calendar(late, build_calendar(spark, first, last, at=AT))
+    before = late.select("full_datetime", F.col("datetime_key").alias("old_key"))
+    return (grown.select("full_datetime", "datetime_key").join(before, "full_datetime", "left")
+            .select("full_datetime", "datetime_key", (F.col("datetime_key") == F.col("old_key")).alias("same_key")))
+
+
 @query("dim_location", ZONES + "SELECT * FROM location")
 def dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_audit(table(spark, sf_dir, "location"))
