@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from lakestrata.session import materialize
+from lakestrata.session import swap_path
 
 # The layers of the warehouse.
 LAYERS = ["bronze", "silver", "gold", "quality"]
 
 
 def overwrite_path(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace a Parquet table folder; the new schema may differ. ``df`` must not read the folder.
+    """Replace a Parquet table folder; the new schema may differ, and ``df`` may read the folder itself.
 
-    Static whatever the session says: no partition of the old table survives.
+    The new table is complete beside the old one before it takes its place by renaming, so a write that is cut off
+    leaves the old table as it was (and a folder ``__new-...``), and no partition of the old table survives. Two
+    renames are not one step: a reader between them finds no table. One writer at a time is assumed.
     """
-    writer = _balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    fresh = f"{path.rstrip('/')}__new-{uuid.uuid4().hex[:12]}"
+    writer = _balanced(df, partition_by).write
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(fresh)
+    swap_path(df.sparkSession, fresh, path)
 
 
-def replace_path(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace a table folder by rows that may come from the folder itself."""
-    overwrite_path(materialize(df, "replace"), path, partition_by)
+replace_path = overwrite_path  # by rows that may come from the folder itself
 
 
 def overwrite_table(df: DataFrame, table: str, partition_by: str | None = None) -> None:

@@ -26,7 +26,7 @@ from lakestrata.plans.presets import (PICKUP, TRIP_KEY, TRIP_KEY_ORDER, TRIP_RUL
 from lakestrata.plans.silver import clean_events, clean_reference, clean_series, is_valid_event
 from lakestrata.quality import suites
 from lakestrata.quality.store import append_report, gate, stored_reports
-from lakestrata.session import configure
+from lakestrata.session import configure, scratch
 from lakestrata.sources.discovery import landed_files, landed_months, next_partition
 from lakestrata.sources.files import read_parquet
 
@@ -85,8 +85,9 @@ class Warehouse:
     # Bronze
 
     def load_trips(self, files: str) -> DataFrame:
-        return ingest_partitioned_files(self.spark, files, self.path("bronze", "trips"), PICKUP, TRIP_KEY,
-                                        _schema(TRIP_SOURCE_SCHEMA), self.at)
+        with scratch(self.spark):
+            return ingest_partitioned_files(self.spark, files, self.path("bronze", "trips"), PICKUP, TRIP_KEY,
+                                            _schema(TRIP_SOURCE_SCHEMA), self.at)
 
     def changed_months(self, since: dt.datetime) -> list[str]:
         """Months with Bronze rows loaded at or after a moment: what to refresh after a load."""
@@ -102,9 +103,10 @@ class Warehouse:
                                       "time", "timestamp", "weather.json", multi_line, self.at)
 
     def load_weather_records(self, path: str) -> DataFrame:
-        merged = ingest_typed_records(self.spark, path, self._existing("bronze", "weather"),
-                                      _schema(WEATHER_SOURCE_SCHEMA), "timestamp", "weather_api", self.at)
-        replace_path(merged, self.path("bronze", "weather"))
+        with scratch(self.spark):
+            merged = ingest_typed_records(self.spark, path, self._existing("bronze", "weather"),
+                                          _schema(WEATHER_SOURCE_SCHEMA), "timestamp", "weather_api", self.at)
+            replace_path(merged, self.path("bronze", "weather"))
         return self.table("bronze", "weather")
 
     # Silver
@@ -118,8 +120,9 @@ class Warehouse:
         path, month = self.path("silver", "trips"), f"bronze_{MONTH}"
         keyed = T.StructType([T.StructField("trip_key", T.LongType()), *cleaned.schema.fields])
         ensure_path(self.spark, path, keyed, partition_by=month)
-        return upsert_partitions(self.spark, path, cleaned, TRIP_KEY, month, key="trip_key", order_by=TRIP_KEY_ORDER,
-                                 update=TRIP_UPDATE, check_source=False)
+        with scratch(self.spark):
+            return upsert_partitions(self.spark, path, cleaned, TRIP_KEY, month, key="trip_key", order_by=TRIP_KEY_ORDER,
+                                     update=TRIP_UPDATE, check_source=False)
 
     def _merge(self, layer: str, name: str, rows: DataFrame, key: str) -> DataFrame:
         target = self._existing(layer, name)
@@ -147,15 +150,17 @@ class Warehouse:
         return self.table("gold", "dim_datetime")
 
     def refresh_location(self) -> DataFrame:
-        dim = build_reference_dim(self.table("silver", "zones"), "location_id", "location_key",
-                                  ["borough", "zone", "service_zone"], self._existing("gold", "dim_location"), self.at)
-        replace_path(dim, self.path("gold", "dim_location"))
+        with scratch(self.spark):
+            dim = build_reference_dim(self.table("silver", "zones"), "location_id", "location_key",
+                                      ["borough", "zone", "service_zone"], self._existing("gold", "dim_location"), self.at)
+            replace_path(dim, self.path("gold", "dim_location"))
         return self.table("gold", "dim_location")
 
     def refresh_weather(self) -> DataFrame:
-        dim = build_coded_dim(self.table("silver", "weather"), "timestamp", "weather_code", WEATHER_CODES,
-                              existing=self._existing("gold", "dim_weather"), at=self.at)
-        replace_path(dim, self.path("gold", "dim_weather"))
+        with scratch(self.spark):
+            dim = build_coded_dim(self.table("silver", "weather"), "timestamp", "weather_code", WEATHER_CODES,
+                                  existing=self._existing("gold", "dim_weather"), at=self.at)
+            replace_path(dim, self.path("gold", "dim_weather"))
         return self.table("gold", "dim_weather")
 
     def refresh_fact(self, months: list[str] | None = None) -> DataFrame:
@@ -168,8 +173,9 @@ class Warehouse:
         path = self.path("gold", "fact_taxi_trip")
         ensure_path(self.spark, path, T.StructType([T.StructField("trip_key", T.LongType()), *rows.schema.fields]),
                     partition_by=FACT_MONTH)
-        return upsert_partitions(self.spark, path, rows, FACT_ORDER, FACT_MONTH, key="trip_key", order_by=FACT_ORDER,
-                                 check_source=False)
+        with scratch(self.spark):
+            return upsert_partitions(self.spark, path, rows, FACT_ORDER, FACT_MONTH, key="trip_key", order_by=FACT_ORDER,
+                                     check_source=False)
 
     def refresh(self, months: list[str] | None = None, gate_silver: bool = False) -> None:
         """Silver, dimensions and fact in their order of dependence.

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,4 +75,47 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_written: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, what ``materialize`` wrote inside: for steps whose result is a stored table."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        for path in _written[before:]:
+            delete_path(spark, path)
+        del _written[before:]
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def swap_path(spark: SparkSession, fresh: str, path: str) -> None:
+    """Puts the folder ``fresh`` in the place of ``path`` by renaming; the old folder goes last."""
+    files, place = _file_system(spark, path)
+    new = _file_system(spark, fresh)[1]
+    old = None
+    if files.exists(place):
+        old = _file_system(spark, f"{path.rstrip('/')}__old-{uuid.uuid4().hex[:12]}")[1]
+        if not files.rename(place, old):
+            raise OSError(f"cannot move {path} aside")
+    if not files.rename(new, place):
+        if old is not None:
+            files.rename(old, place)
+        raise OSError(f"cannot move {fresh} to {path}")
+    if old is not None:
+        files.delete(old, True)

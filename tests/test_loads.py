@@ -17,7 +17,7 @@ from lakestrata.operators.upsert import upsert_partitions
 from lakestrata.operators.writes import ensure_path, overwrite_path
 from lakestrata.plans.bronze import ingest_typed_records
 from lakestrata.plans.gold import build_calendar, refresh_calendar
-from lakestrata.session import materialize
+from lakestrata.session import materialize, scratch
 from lakestrata.sources.files import read_array_documents, read_csv, read_records, read_records_apart
 
 
@@ -121,3 +121,23 @@ def test_results_do_not_depend_on_the_time_zone(tmp_path):
 def test_hour_of_equals_truncation_in_utc(spark):
     df = spark.sql("select timestamp_ntz'2026-03-08 02:59:59.5' t, timestamp'2026-01-01 00:00:00' u")
     assert df.select(clock.hour_of(F.col("t")).cast("string"), clock.hour_of(F.col("u")).cast("string")).first()[:] == ("2026-03-08 02:00:00", "2026-01-01 00:00:00")
+
+
+def test_a_replacement_that_is_cut_off_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_path(spark.range(5), path)
+    cut_off = spark.range(100).repartition(4).withColumn("id", F.when(F.col("id") == 77, F.raise_error(F.lit("cut off")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="cut off"):
+        overwrite_path(cut_off, path)
+    assert spark.read.parquet(path).count() == 5
+    overwrite_path(spark.read.parquet(path).filter("id > 2"), path)  # from itself
+    assert rows(spark.read.parquet(path)) == [(3,), (4,)]
+
+
+def test_intermediate_tables_go_when_the_result_is_stored(spark, tmp_path):
+    with scratch(spark):
+        kept = materialize(spark.range(3), "part")
+        folder = kept.inputFiles()[0]
+        overwrite_path(kept, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+    assert not Path(folder.removeprefix("file://")).exists()
