@@ -151,9 +151,8 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
 
     ``partition_by`` must follow from the key (a month of a key timestamp, say). Then rows of one key
     share a partition, and only the partitions named by the source are read and rewritten: loading a
-    month costs that month, not the whole table. The new rows are complete in the work folder
-    (``upsert-result``) before any partition is replaced, and stay there should the replacement be cut off. With ``key`` the table
-    has a surrogate key, numbered in ``order_by`` order; its largest value is the one thing looked up in the whole table, one column of it.
+    month costs that month, not the whole table. The new partitions are complete beside the table before any
+    is replaced. With ``key`` the table has a surrogate key, numbered in ``order_by`` order; its largest value is the one thing looked up in the whole table, one column of it.
 
     Stored columns that the source lacks stay: unchanged on update, NULL on insert. New columns of the
     source are added, NULL in rows that were there.
@@ -176,7 +175,8 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
     else:
         merged = (upsert(part, batch, keys, **options) if key is None
                   else upsert_keyed(part, batch, keys, key, order_by, after=last, **options))
-        overwrite_partitions(materialize(merged, "upsert-result"), path, partition_by)
+        # Dynamic overwrite writes beside the table and swaps partitions when all tasks are done, so it may read them.
+        overwrite_partitions(merged, path, partition_by)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
