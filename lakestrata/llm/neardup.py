@@ -103,7 +103,7 @@ def keyed(members: DataFrame) -> DataFrame:
 def shingle_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """``member, set`` of the documents in ``members``, whose texts are read again."""
     narrow = (docs.select(F.col(id_col).cast("bigint").alias("member"), F.col(text_col).cast("binary").alias("text"))
-              .join(members, "member", "left_semi"))
+              .join(members.hint("merge"), "member", "left_semi"))  # the list grows with the corpus: never broadcast
 
     def run(batches):
         known = WordHashes()
@@ -237,5 +237,5 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs`` that stay, one per component; rows without identifier all stay."""
     kept = near_groups(docs, id_col, text_col, words, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
     typed = docs.withColumn(id_col, F.col(id_col).cast("bigint")) if docs.schema[id_col].dataType.simpleString() != "bigint" else docs
-    stay = typed.where(F.col(id_col).isNotNull()).join(kept, id_col, "left_semi").dropDuplicates([id_col])
+    stay = typed.where(F.col(id_col).isNotNull()).join(kept.hint("merge"), id_col, "left_semi").dropDuplicates([id_col])
     return stay.select(*docs.columns).union(typed.where(F.col(id_col).isNull()))
