@@ -12,11 +12,14 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lakestrata.functions import time as clock
+from lakestrata.functions.numeric import percentage, settled_round
+from lakestrata.operators.duplicates import exact_duplicate_summary
 from lakestrata.operators.lookups import orphan_counts
 from lakestrata.operators.upsert import upsert_partitions
 from lakestrata.operators.writes import ensure_path, overwrite_path
 from lakestrata.plans.bronze import ingest_typed_records
 from lakestrata.plans.gold import build_calendar, refresh_calendar
+from lakestrata.quality.rules import RuleSet
 from lakestrata.session import materialize, scratch
 from lakestrata.sources.files import read_array_documents, read_csv, read_records, read_records_apart
 
@@ -99,6 +102,8 @@ spark = session("zone", "local[2]", spark__sql__shuffle__partitions="2", spark__
 spark.conf.set("spark.sql.session.timeZone", "America/New_York")
 from pyspark.sql import functions as F
 from lakestrata.functions import time as clock
+from lakestrata.functions.numeric import percentage, settled_round
+from lakestrata.operators.duplicates import exact_duplicate_summary
 from lakestrata.operators.lookups import within_bounds
 from lakestrata.sources.generated import hour_grid
 grid = hour_grid(spark, dt.datetime(2026, 3, 7), dt.datetime(2026, 3, 9, 23), "t")
@@ -141,3 +146,15 @@ def test_intermediate_tables_go_when_the_result_is_stored(spark, tmp_path):
         overwrite_path(kept, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 3
     assert not Path(folder.removeprefix("file://")).exists()
+
+
+def test_values_are_rounded_once(spark):
+    got = spark.sql("select 1.0049999996D a, 1.005D b, 2.345D c").select(*[settled_round(F.col(c), 2) for c in "abc"]).first()
+    assert tuple(got) == (1.0, 1.01, 2.35)
+    share = spark.sql("select 10049999996 part, 1000000000000 whole").select(percentage(F.col("part"), F.col("whole")).alias("p"))
+    rules = RuleSet(warn_up_to={"X": 1.0})
+    assert share.select(rules.status(F.lit("n"), F.lit("X"), F.lit("X"), F.lit(1), F.col("p"))).first()[0] == "WARN"
+
+
+def test_whole_row_duplicates_of_an_empty_table(spark):
+    assert tuple(exact_duplicate_summary(materialize(spark.range(0))).first()) == (0, 0, 0, 0)
