@@ -110,13 +110,13 @@ def edges(buckets: int) -> np.ndarray:
 
 
 def low_bytes(keys: np.ndarray) -> bytes:
-    """The lower six bytes of each key; the upper ones vary little within a bucket."""
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+    """The lower six bytes of each sorted key, byte by byte over all keys: the upper ones of them change slowly and compress."""
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes()
 
 
 def from_low_bytes(data: bytes) -> np.ndarray:
     out = np.zeros((len(data) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(6, -1).T
     return out.view("<u8").reshape(-1)
 
 
