@@ -7,7 +7,7 @@ ever simulated on a text.
 
 The tokenizer file is a parameter and is read by each worker; every Spark node has it, as it has Python.
 A worker remembers the words it encoded lately,
-and chunks between spaces (``Tokenizer.REMEMBER`` of each at most).
+and chunks between spaces (twice ``Tokenizer.REMEMBER`` of each at most).
 
 Defined results: null and empty texts have no ids and decode to the empty text. Special tokens of the file that stand
 in a text are their own ids. A symbol that the vocabulary lacks raises an error, as no file with a full byte
@@ -55,7 +55,8 @@ def byte_alphabet() -> list[str]:
 class Tokenizer:
     """A word-level BPE file: lower case, white space dropped, the last symbol of a word marked."""
 
-    REMEMBER = 300_000
+    REMEMBER = 100_000  # new words, and as many before them; words in use move to the new ones
+    SEAMS = 300_000
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -94,6 +95,7 @@ class Tokenizer:
         self.automaton.make_automaton()
         self.words: dict[str, tuple[bytes, int, str]] = {}
         self.chunks: dict[str, tuple[bytes, int, str]] = {}
+        self.old_words, self.old_chunks = self.words, self.chunks
 
     def seam_holds(self, left: int, right: int, before: int | None = None) -> bool:
         """Whether no merge ever crosses the seam of two tokens that stand side by side (with rank under ``before``).
@@ -116,6 +118,14 @@ class Tokenizer:
 
     def word(self, word: str) -> tuple[bytes, int, str]:
         """Ids of one word as little-endian 32-bit numbers, how many, and its decoded text."""
+        if len(self.words) >= self.REMEMBER:
+            self.old_words, self.words = self.words, {}
+        got = self.old_words.get(word) or self.spelled(word)
+        self.words[word] = got
+        return got
+
+    def spelled(self, word: str) -> tuple[bytes, int, str]:
+        """The same, found by filling in the last token of every prefix."""
         raw = word.encode("utf-8")
         text = raw[:-1].decode("latin-1") + chr(256 + raw[-1])
         n = len(text)
@@ -134,7 +144,7 @@ class Tokenizer:
                 key = before << 32 | token
                 ok = fits.get(key)
                 if ok is None:
-                    if len(fits) > 2_000_000:
+                    if len(fits) >= self.SEAMS:
                         fits.clear()
                     ok = fits[key] = self.seam_holds(before, token)
                 if not ok:
@@ -147,10 +157,7 @@ class Tokenizer:
             ids.append(last[n])
             n = back[n]
         ids.reverse()
-        if len(self.words) >= self.REMEMBER:
-            self.words.clear()
-        got = self.words[word] = np.array(ids, "<u4").tobytes(), len(ids), " ".join([self.names[i] for i in ids])
-        return got
+        return np.array(ids, "<u4").tobytes(), len(ids), " ".join([self.names[i] for i in ids])
 
     def cut(self, chunk: str) -> list[str]:
         """Words of a chunk without white space, after normalization."""
@@ -161,10 +168,13 @@ class Tokenizer:
 
     def chunk(self, chunk: str) -> tuple[bytes, int, str]:
         """The same for a chunk between white space, which is what most texts repeat."""
-        got = [self.words.get(w) or self.word(w) for w in self.cut(chunk)]
         if len(self.chunks) >= self.REMEMBER:
-            self.chunks.clear()
-        got = self.chunks[chunk] = b"".join([g[0] for g in got]), sum([g[1] for g in got]), " ".join([g[2] for g in got])
+            self.old_chunks, self.chunks = self.chunks, {}
+        got = self.chunks.get(chunk) or self.old_chunks.get(chunk)
+        if got is None:
+            parts = [self.words.get(w) or self.word(w) for w in self.cut(chunk)]
+            got = parts[0] if len(parts) == 1 else (b"".join([p[0] for p in parts]), sum([p[1] for p in parts]), " ".join([p[2] for p in parts]))
+        self.chunks[chunk] = got
         return got
 
     def plain(self, text: str) -> list[tuple[bytes, int, str]]:

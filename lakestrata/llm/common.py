@@ -56,7 +56,7 @@ def hash64(data: bytes) -> int:
 class WordHashes(dict):
     """64-bit hash of a word, remembered for the words seen lately."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
