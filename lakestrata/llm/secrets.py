@@ -2,7 +2,8 @@
 
 Text that people write splits into few tokens of a public vocabulary; random strings need about one token for every two
 characters. A run of key characters that holds a digit and a letter is reported as ``random`` if it has fewer than ``ratio``
-characters a token, unless it is a known digest, an identifier or lies in a base match.
+characters a token, unless it is a known digest, lies in a base match, or more than half of its letters and digits are in words of
+three letters or more that the vocabulary has as one token.
 
 Base kinds, leftmost and non-overlapping for each: ``assign`` (a named assignment whose value has 6 characters or more),
 ``access`` (``AKIA`` keys of 20 or more), ``hex`` (24 or more). Spans are code points, end exclusive.
@@ -34,10 +35,12 @@ HEX = re.compile("[0-9a-f]+")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 RUN = re.compile("[A-Za-z0-9+/_=-]{20,}")
-# Not secrets: digests of usual lengths, UUIDs, words joined by - or _ or /, names in camel case with a version number.
+# Not secrets: digests of usual lengths, UUIDs.
 DIGEST = re.compile("(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
                     "|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12})")
-IDENTIFIER = re.compile("[/_=+-]*(?:(?:[A-Z]?[a-z]+|[A-Z]+)[0-9]{0,4}[/_=+-]*)+")
+# The parts of a name, as separators, changes of case and digits divide it; found one after the other, in linear time.
+PART = re.compile("[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
+WORD = re.compile(rb"\x20[A-Za-z]{3,}")
 MIXED = re.compile("(?=.*[0-9])(?=.*[A-Za-z])")
 
 RATIO = 2.2
@@ -45,12 +48,13 @@ REMEMBER = 100_000
 
 
 class Vocabulary:
-    """Counts the tokens of a string; remembers the strings counted lately."""
+    """Counts the tokens of a string; remembers the strings counted lately. ``words`` are the tokens that are a whole word, in lower case."""
 
     def __init__(self, path: str):
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.words = {token[1:].decode().lower() for token in ranks if WORD.fullmatch(token)}
         self.known: dict[str, float] = {}
 
     def chars_per_token(self, run: str) -> float:
@@ -71,10 +75,10 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-def is_identifier(run: str) -> bool:
-    """Pronounceable words with at most a short number each: parts of names, paths and versions."""
-    return bool(IDENTIFIER.fullmatch(run)) and max(map(len, re.findall("[A-Za-z]+", run)), default=0) >= 4 and \
-        sum(map(str.isdigit, run)) * 5 <= len(run)
+def is_identifier(run: str, words: set[str]) -> bool:
+    """Mostly known words: more than half of the letters and digits."""
+    parts = PART.findall(run)
+    return 2 * sum(len(p) for p in parts if p.lower() in words) > sum(map(len, parts))
 
 
 def base_spans(text: str, runs: list[re.Match]) -> list[tuple[int, int, int, str]]:
@@ -98,8 +102,8 @@ def find(text: str, known: Vocabulary, ratio: float = RATIO) -> tuple[list, list
         value = run[0].strip("=-_/+")
         start = run.start() + run[0].find(value)
         end = start + len(value)
-        if (len(value) >= 20 and MIXED.match(value) and not DIGEST.fullmatch(value) and not is_identifier(value)
-                and known.chars_per_token(value) < ratio and not any(a < end and start < b for a, _, b, _ in base)):
+        if (len(value) >= 20 and MIXED.match(value) and not DIGEST.fullmatch(value)
+                and known.chars_per_token(value) < ratio and not is_identifier(value, known.words) and not any(a < end and start < b for a, _, b, _ in base)):
             extra.append((start, 3, end, value))
     return base, sorted(base + extra)
 

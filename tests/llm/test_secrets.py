@@ -1,5 +1,10 @@
 import hashlib
+import random
 import re
+import string
+
+import public_tokenizers
+import pytest
 
 from lakestrata.llm import secrets
 
@@ -36,6 +41,21 @@ def test_random_strings_stand_out_and_digests_and_names_do_not(make_docs):
     assert [r["n_random"] for r in rows] == [1, 0, 0, 0, 0, 0, 0]
 
 
+@pytest.mark.parametrize("signs", ["", "+/", "-_"])
+def test_recall_of_random_strings(signs):
+    """Lost are only strings without a digit and those that are shorter than 20 without the signs at their ends."""
+    known, rnd = secrets.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken")), random.Random(5)
+    for size, least in ((20, 0.88), (24, 0.97), (32, 0.98), (40, 0.99), (64, 0.99)):
+        keys = ["".join(rnd.choices(string.ascii_letters + string.digits + signs, k=size)) for _ in range(1000)]
+        assert sum(any(s[1] == 3 for s in secrets.find(f"use {key} now", known)[1]) for key in keys) >= least * len(keys), size
+
+
+def test_names_of_known_words_are_not_reported_though_they_have_few_characters_a_token():
+    known = secrets.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    for name in ("x86_64-pc-linux-gnu-gcc-12", "getI18nL10nUtf8Str2Int"):
+        assert known.chars_per_token(name) < secrets.RATIO and secrets.find(name, known) == ([], [])
+
+
 def test_repeated_rows_other_columns_and_empty_tables(make_docs):
     docs = make_docs([(1, "token=abcdef"), (1, "token=abcdef"), (None, None)]).withColumnRenamed("lang", "spans")
     assert sorted((r["doc_id"] or 0, r["n_assign"]) for r in secrets.scan(docs).collect()) == [(0, 0), (1, 1), (1, 1)]
