@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import signal
 import string
 
 import public_tokenizers
@@ -56,6 +57,23 @@ def test_names_of_known_words_are_not_reported_though_they_have_few_characters_a
         assert known.chars_per_token(name) < secrets.RATIO and secrets.find(name, known) == ([], [])
 
 
+def test_long_slugs_and_base64_end_soon():
+    known, rnd = secrets.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken")), random.Random(6)
+    slug = "-".join(["words", "of", "an", "article", "title"] * 5) + "-2024"
+    blob = "".join(rnd.choices(string.ascii_letters + string.digits + "+/", k=50_000))
+
+    def late(*_):
+        raise TimeoutError
+    before = signal.signal(signal.SIGALRM, late)
+    signal.alarm(20)
+    try:
+        found = [secrets.find(f"x {run} y", known)[1] for run in (slug, slug + "-a_12345", blob + "a12345b" + blob)]
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, before)
+    assert found[:2] == [[], []] and [s[1] for s in found[2]] == [3]
+
+
 def test_repeated_rows_other_columns_and_empty_tables(make_docs):
     docs = make_docs([(1, "token=abcdef"), (1, "token=abcdef"), (None, None)]).withColumnRenamed("lang", "spans")
     assert sorted((r["doc_id"] or 0, r["n_assign"]) for r in secrets.scan(docs).collect()) == [(0, 0), (1, 1), (1, 1)]
