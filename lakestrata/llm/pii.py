@@ -7,8 +7,10 @@ the check digit fits, letters for letters and digits for digits in an address, s
 gender of a given name by its ending, as told by the title or a list.
 
 Digits go through a keyed Feistel permutation, which cannot collide; the others are keyed hashes, which can. So all distinct entities of the
-corpus are checked: of entities with one replacement, and of those whose replacement is a real entity, all but the first try again with the
-next attempt number until none is left. Only the entities that needed it are matched with the documents, by a join.
+corpus are checked, persons by the words of their names: of those with one replacement all but the first, and all whose replacement is
+real, try again with the next attempt number until none is left. Every attempt makes e-mail addresses and name words longer, so there are
+enough for any corpus. A word has one attempt number wherever it stands, so a surname alone or with any given name has one surrogate.
+Only the entities and words that needed it are matched with the documents, by a join.
 
 Defined results: null text stays null without entities; rows are replaced one by one, so repeated rows and identifiers need no
 rule; other columns pass through; on an empty table nothing happens. The key is a secret of the caller; without it nobody can
@@ -17,6 +19,7 @@ reproduce the surrogates.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -153,7 +156,16 @@ def script_of(word: Column) -> Column:
     return F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
-def new_person(norm: Column, key: str, attempt: Column) -> Column:
+def stem(word: Column, key: str, attempt: Column) -> Column:
+    """A name word's surrogate without its ending: four syllables, and one more with each attempt."""
+    def spell(script, hexes):
+        return F.array_join(F.transform(F.sequence(F.lit(0), attempt + 3), lambda k: F.element_at(
+            literal(SYLLABLES[script]), (number(hexes, 1 + 4 * (k % 16), 4) % 32 + 1).cast("int"))), "")
+    return F.transform(F.array(keyed(key, F.lit("person"), word, attempt.cast("string"))),
+                       lambda h: reduce(lambda c, s: c.when(script_of(word) == s, spell(s, h)), SYLLABLES, F))[0]
+
+
+def new_person(norm: Column, key: str, attempt: Callable[[Column], Column]) -> Column:
     """Each word of a name by itself, so that a surname alone or with different given names keeps its surrogate."""
     females, males = (literal([g.lower() for g in GIVEN[g_]]) for g_ in "fm")
     words = F.split(norm, " ")
@@ -161,23 +173,28 @@ def new_person(norm: Column, key: str, attempt: Column) -> Column:
     def word(w, i):
         given = (i == 0) & (F.size(words) > 1)
         gender = F.when(given & F.array_contains(females, w), "f").when(given & F.array_contains(males, w), "m").otherwise("n")
-        hexes = keyed(key, F.lit("person"), w, attempt)
 
-        def spell(script):
-            parts = [F.element_at(literal(SYLLABLES[script]), (number(hexes, 1 + 4 * k, 4) % 32 + 1).cast("int")) for k in range(4)]
-            end = reduce(lambda c, g: c.when(gender == g, ENDINGS[script][g]), "mfn", F)
-            return F.concat(*parts, end)
-        return reduce(lambda c, s: c.when(script_of(w) == s, spell(s)), SYLLABLES, F)
+        def end(script):
+            return reduce(lambda c, g: c.when(gender == g, ENDINGS[script][g]), "mfn", F)
+        return F.concat(stem(w, key, attempt(w)), reduce(lambda c, s: c.when(script_of(w) == s, end(s)), SYLLABLES, F))
     return F.array_join(F.transform(words, word), " ")
 
 
-def surrogate(kind: Column, norm: Column, key: str, attempt: Column) -> Column:
-    """The normal form of an entity's replacement."""
-    tries = attempt.cast("string")
-    return (F.when(kind == "email", new_email(norm, key, tries)).when(kind == "person", new_person(norm, key, tries)).when(kind == "ip", new_ip(norm, key, tries))
+def surrogate(kind: Column, norm: Column, key: str, attempt: Callable[[Column], Column]) -> Column:
+    """The normal form of an entity's replacement; ``attempt`` gives the attempt number of a normal form or name word."""
+    tries = attempt(norm).cast("string")
+    return (F.when(kind == "email", new_email(norm, key, tries)).when(kind == "person", new_person(norm, key, attempt)).when(kind == "ip", new_ip(norm, key, tries))
             .when(kind == "ssn", permuted(norm, key, F.lit("ssn"), tries)).when(kind == "card", new_card(norm, key, tries)).otherwise(new_phone(norm, key, tries)))
 
 
+def checked(found: Column) -> Column:
+    """What must not share a replacement: entities, and the words of persons' names."""
+    def names(e):
+        return F.transform(F.when(e["kind"] == "person", F.split(e["norm"], " ")).otherwise(F.array(e["norm"])),
+                           lambda n: F.struct(e["kind"].alias("kind"), n.alias("norm")))
+    return F.flatten(F.transform(found, names))
+
+
 def render(raw: Column, kind: Column, fresh: Column) -> Column:
     """The replacement in the format of the mention."""
     digits = F.regexp_replace(fresh, r"\D", "")
@@ -191,22 +208,25 @@ def render(raw: Column, kind: Column, fresh: Column) -> Column:
 
 
 def second_tries(entities: DataFrame, key: str, rounds: int = 50) -> DataFrame | None:
-    """``kind, norm, attempt`` of the entities whose first replacement collided, or None. ``entities`` are distinct (kind, norm)."""
-    assigned = materialize(entities.withColumn("attempt", F.lit(0)).withColumn("fresh", surrogate(F.col("kind"), F.col("norm"), key, F.col("attempt"))), "surrogates")
+    """``kind, norm, attempt`` of those whose first replacement collided, or None. ``entities`` are distinct (kind, norm) as ``checked``."""
+    kind, norm, attempt = F.col("kind"), F.col("norm"), F.col("attempt")
+    fresh = F.when(kind == "person", stem(norm, key, attempt)).otherwise(surrogate(kind, norm, key, lambda _: attempt))
+    ending = f"(?:{'|'.join(sorted({e for ends in ENDINGS.values() for e in ends.values()}, key=len, reverse=True))})$"
+    real = (entities.where((kind == "email") | (kind == "person") & norm.rlike(ending))
+            .select("kind", F.when(kind == "person", F.regexp_replace(norm, ending, "")).otherwise(norm).alias("fresh"), F.lit(True).alias("real")).distinct())
+    assigned = materialize(entities.withColumn("attempt", F.lit(0)).withColumn("fresh", fresh), "surrogates")
     moved = False
     for _ in range(rounds):
         owner = assigned.groupBy("kind", "fresh").agg(F.min(F.struct("attempt", "norm")).alias("first"), F.count(F.lit(1)).alias("n"))
-        real = entities.select("kind", F.col("norm").alias("fresh"), F.lit(True).alias("real"))
         late = (assigned.join(owner.where("n > 1"), ["kind", "fresh"], "left").join(real, ["kind", "fresh"], "left")
                 .withColumn("again", F.coalesce(F.struct("attempt", "norm") != F.col("first"), F.lit(False))
-                            | (F.col("real").isNotNull() & F.col("kind").isin("email", "person"))))
+                            | F.col("real").isNotNull()))
         late = materialize(late.select("kind", "norm", "attempt", "fresh", "again"), "surrogates")
         if late.where("again").isEmpty():
             break
         moved = True
-        tries = F.col("attempt") + F.col("again").cast("int")
-        assigned = materialize(late.withColumn("attempt", tries).withColumn("fresh", F.when(
-            F.col("again"), surrogate(F.col("kind"), F.col("norm"), key, F.col("attempt"))).otherwise(F.col("fresh"))).drop("again"), "surrogates")
+        assigned = materialize(late.withColumn("attempt", attempt + F.col("again").cast("int"))
+                               .withColumn("fresh", F.when(F.col("again"), fresh).otherwise(F.col("fresh"))).drop("again"), "surrogates")
     else:
         raise RuntimeError(f"replacements still collide after {rounds} rounds")
     return assigned.where("attempt > 0").select("kind", "norm", "attempt") if moved else None
@@ -219,19 +239,20 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataF
     """
     rest = [c for c in docs.columns if c not in (text_col, "entities")]
     found = docs.select(F.struct(*rest).alias("rest"), F.col(text_col).alias("text"), F.coalesce(find(F.col(text_col)), F.array().cast(ENTITIES)).alias("found"))
-    every = found.select(F.explode("found").alias("e")).select("e.kind", "e.norm").distinct()
+    every = found.select(F.explode(checked(F.col("found"))).alias("e")).select("e.kind", "e.norm").distinct()
     tries = second_tries(materialize(every, "entities"), key)
     if tries is None:
         held = found.withColumn("tries", F.lit(None).cast("map<string,int>"))
     else:
         named = found.withColumn("place", F.xxhash64("text"))
-        again = (named.where(F.size("found") > 0).select("place", F.explode("found").alias("e")).select("place", "e.kind", "e.norm").distinct()
+        again = (named.where(F.size("found") > 0).select("place", F.explode(checked(F.col("found"))).alias("e")).select("place", "e.kind", "e.norm").distinct()
                  .join(tries, ["kind", "norm"]).groupBy("place")
                  .agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws(" ", "kind", "norm").alias("name"), "attempt"))).alias("tries")))
         held = named.join(again, "place", "left")
 
     def replaced(e):
-        attempt = F.coalesce(F.try_element_at(F.col("tries"), F.concat_ws(" ", e["kind"], e["norm"])), F.lit(0))
+        def attempt(name):
+            return F.coalesce(F.try_element_at(F.col("tries"), F.concat_ws(" ", e["kind"], name)), F.lit(0))
         return F.struct(e["kind"].alias("kind"), render(e["raw"], e["kind"], surrogate(e["kind"], e["norm"], key, attempt)).alias("replacement"))
 
     swapped = held.withColumn("entities", F.transform("found", replaced))

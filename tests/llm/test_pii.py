@@ -64,6 +64,22 @@ def test_distinct_entities_stay_distinct_when_replacements_collide(make_docs, mo
         assert len(mine) == len(set(mine)) == 14
 
 
+def test_surnames_keep_one_surrogate_and_all_are_placed_when_words_collide(make_docs, monkeypatch):
+    monkeypatch.setattr(pii, "SYLLABLES", {k: (v[:2] * 16) for k, v in pii.SYLLABLES.items()})  # 16 words at first, for 40 surnames
+    names = [f"N{chr(97 + k // 8)}m{chr(97 + k % 8)}" for k in range(40)]
+    rows = [(k, f"Dr {n}, John {n}, Mary {n}") for k, n in enumerate(names)]
+    got = pii.replace_entities(make_docs(rows), "k").select("doc_id", F.col("entities.replacement").alias("r")).collect()
+    surnames = [{x.split()[-1] for x in r["r"]} for r in got]
+    assert all(len(s) == 1 for s in surnames) and len(set.union(*surnames)) == 40
+    assert len({r["r"][1].split()[0] for r in got}) == len({r["r"][2].split()[0] for r in got}) == 1
+
+
+def test_no_surrogate_word_is_a_name_of_the_corpus(make_docs):
+    first = pii.replace_entities(make_docs([(1, "Dr Smith")]), "k").first()["entities"][0]["replacement"]
+    got = [e["replacement"] for r in pii.replace_entities(make_docs([(1, "Dr Smith"), (2, f"Mary {first[3:]}")]), "k").collect() for e in r["entities"]]
+    assert not any(first[3:] in g for g in got) and got[0].startswith("Dr ")
+
+
 def test_digit_permutation_is_one_to_one(spark):
     df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d")).select(pii.permuted(F.col("d"), "k", F.lit("t")).alias("p"))
     assert df.distinct().count() == 1000 and df.where("length(p) <> 3").count() == 0
