@@ -12,8 +12,6 @@ in the sample). Language, source and identifier never enter a prediction.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,7 +25,6 @@ PER_LANGUAGE = 400     # training pieces of a language
 MAX_LANGUAGES = 1000
 ROUNDS, BATCH, RATE = 260, 160, 0.02
 SIDE_BY_SIDE = 2048    # segments that run together
-LETTER = re.compile(r"[^\W\d_]")
 
 
 class Direction:
@@ -209,7 +206,7 @@ def predict(docs: DataFrame, network: Network | None, text_col: str = "text", ke
     def judge(batch):
         raw = texts(batch, body)
         model = sent.value
-        able = [bool(LETTER.search(t.decode())) and model is not None for t in raw]
+        able = [any(map(str.isalpha, t.decode())) and model is not None for t in raw]  # \w would count fractions, circled and Roman numerals
         if model is None:
             return ["und"] * len(raw), [0.0] * len(raw)
         means = model.pooled([t if ok else b"" for t, ok in zip(raw, able)])

@@ -88,3 +88,10 @@ def test_rejecting_stage_and_clashing_columns(make_docs, rows):
 def test_nothing_to_learn_and_empty_table(make_docs):
     assert [r["lang_pred"] for r in langid.identify(make_docs([(1, "abc", None)])).collect()] == ["und"]
     assert langid.identify(make_docs([])).collect() == []
+
+
+def test_numerals_that_are_no_letters_are_undetermined(make_docs, rows):
+    signs = ["10 \u00bd", "\u00b2", "\u2460 \u2461", "\u2167.", "_ 7 \u00b9"]
+    got = langid.predict(make_docs([(k, t, None) for k, t in enumerate([*signs, "x\u00bd", "\u00e9"])]), langid.train(make_docs(rows))).collect()
+    assert [(r["lang_pred"], r["score"]) for r in sorted(got)[:5]] == [("und", 0.0)] * 5
+    assert all(r["lang_pred"] in WORDS for r in sorted(got)[5:])
