@@ -15,8 +15,3 @@ def spark(tmp_path_factory):
                     spark__checkpoint__dir=str(work), spark__sql__warehouse__dir=str(work / "warehouse"))
     spark.sparkContext.setLogLevel("ERROR")
     yield spark
-
-
-def rows(df):
-    """Rows as sorted tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)
