@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, chat, decontam, exactdup, langid, licenses, lm, neardup, pii, secrets
+from lakestrata.llm import bpe, chat, decontam, exactdup, langid, licenses, lm, neardup, periodic, pii, resample, secrets, simhash
 from lakestrata.llm.common import prepare, table
 from lakestrata.session import configure
 
@@ -120,3 +121,33 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], said.schema)
     turns = said.unionAll(probe).withColumn("parts", chat.text_part(F.col("text")))
     return chat.digests(chat.format_chats(turns))
+
+
+@query("op11_simhash")
+def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its SimHash fingerprint and group."""
+    found = simhash.near_groups(table(spark, sf_dir, "documents"), words=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "kept")
+
+
+@query("op12_resample")
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its weight towards the benchmark, its score, and its rank if drawn."""
+    return resample.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def repeat_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """One document in ten goes on from some place by repeating the words from there: what the query's contract plants."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+@query("op13_periodic_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, and the text without their repetitions, as digests."""
+    return periodic.digests(periodic.periodic_runs(table(spark, sf_dir, "documents"), change=repeat_tail))
