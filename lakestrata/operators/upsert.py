@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from lakestrata.operators.bounds import largest, partition_bounds
 from lakestrata.operators.keys import number_rows
 from lakestrata.operators.writes import joint_schema, overwrite_partitions, stored_schema
 from lakestrata.session import materialize
@@ -36,7 +37,7 @@ def require_unique_keys(df: DataFrame, keys: Sequence[str], null_safe: bool = Tr
         raise DuplicateSourceKeys(f"source rows are not unique on {list(keys)}")
 
 
-def _aligned(source: DataFrame, target: DataFrame) -> DataFrame:
+def align_to(source: DataFrame, target: DataFrame) -> DataFrame:
     """Source columns cast to the target's types; a column the target lacks is an error."""
     unknown = [c for c in source.columns if c not in target.columns]
     if unknown:
@@ -45,12 +46,12 @@ def _aligned(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.select(*[F.col(c).cast(types[c]) for c in source.columns])
 
 
-def _picked(target: DataFrame, update: Sequence[str]) -> list[Column]:
+def picked_columns(target: DataFrame, update: Sequence[str]) -> list[Column]:
     return [F.when(F.col(HIT), F.col(SRC + c)).otherwise(target[c]).alias(c) if c in update
             else target[c] for c in target.columns]
 
 
-def _inserted(rows: DataFrame, target: DataFrame) -> DataFrame:
+def inserted_rows(rows: DataFrame, target: DataFrame) -> DataFrame:
     return rows.select(*[
         (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in target.schema.fields])
@@ -64,20 +65,20 @@ def split_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, n
     The target is looked up against the source (a left join, so a small source is broadcast and the
     target is not shuffled) and only the matching target keys travel to find the rows to insert.
     """
-    source = _aligned(source, target)
+    source = align_to(source, target)
     if check_source:
         require_unique_keys(source, keys, null_safe)
     update = [c for c in source.columns if c not in keys] if update is None else list(update)
     tagged = source.select(*[F.col(c).alias(SRC + c) for c in source.columns], F.lit(True).alias(HIT))
     on = _match(target, tagged, keys, SRC, null_safe)
-    kept = target.join(tagged, on, "inner" if delete_unmatched else "left").select(*_picked(target, update))
+    kept = target.join(tagged, on, "inner" if delete_unmatched else "left").select(*picked_columns(target, update))
 
     source_keys = source.select(*[F.col(k).alias(SRC + k) for k in keys])
     target_keys = target.select(*keys)
     found = (target_keys.join(source_keys, _match(target_keys, source_keys, keys, SRC, null_safe), "left_semi")
              .select(*[F.col(k).alias(SRC + k) for k in keys]))
     fresh = source.join(found, _match(source, found, keys, SRC, null_safe), "left_anti")
-    return kept, _inserted(fresh, target)
+    return kept, inserted_rows(fresh, target)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, null_safe: bool = True,
@@ -96,7 +97,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, null_sa
     NULL on insert.
     """
     if bulk:
-        source = _aligned(source, target)
+        source = align_to(source, target)
         if check_source:
             require_unique_keys(source, keys, null_safe)
         update = [c for c in source.columns if c not in keys] if update is None else list(update)
@@ -126,7 +127,7 @@ def _upsert_full_outer(target: DataFrame, source: DataFrame, keys: Sequence[str]
         has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
         if not delete_unmatched:
             apart.append(target.filter(has_null))
-        apart.append(_inserted(source.filter(has_null), target))
+        apart.append(inserted_rows(source.filter(has_null), target))
         target, source = target.filter(~has_null), source.filter(~has_null)
     tagged = source.select(*[F.col(c).alias(SRC + c) for c in source.columns], F.lit(True).alias(HIT))
     base = target.withColumn("_target", F.lit(True))
@@ -152,7 +153,8 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
     ``partition_by`` must follow from the key (a month of a key timestamp, say). Then rows of one key
     share a partition, and only the partitions named by the source are read and rewritten: loading a
     month costs that month, not the whole table. The new partitions are complete beside the table before any
-    is replaced. With ``key`` the table has a surrogate key, numbered in ``order_by`` order; its largest value is the one thing looked up in the whole table, one column of it.
+    is replaced. With ``key`` the table has a surrogate key, numbered in ``order_by`` order; its largest value comes from the bounds kept for
+    each partition, so other partitions are not read for it either.
 
     Stored columns that the source lacks stay: unchanged on update, NULL on insert. New columns of the
     source are added, NULL in rows that were there.
@@ -165,7 +167,7 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
     table = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     in_load = F.col(partition_by).isin([v for v in touched if v is not None])
     part = table.filter(in_load | F.col(partition_by).isNull() if None in touched else in_load)
-    last = None if key is None else table.agg(F.max(key).alias("k")).scalar()
+    last = None if key is None else F.lit(largest(partition_bounds(spark, path, [key], schema), key))
     if part.isEmpty():
         # New partitions only, the usual case of a monthly load: nothing to match, one write less.
         if options.get("check_source", True):
@@ -177,6 +179,8 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
                   else upsert_keyed(part, batch, keys, key, order_by, after=last, **options))
         # Dynamic overwrite writes beside the table and swaps partitions when all tasks are done, so it may read them.
         overwrite_partitions(merged, path, partition_by)
+    if key is not None:
+        partition_bounds(spark, path, [key], schema)  # of the partitions just written
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 

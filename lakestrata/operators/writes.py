@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from lakestrata.session import swap_path
+from lakestrata.session import new_beside, swap_path
 
 # The layers of the warehouse.
 LAYERS = ["bronze", "silver", "gold", "quality"]
@@ -19,7 +17,7 @@ def overwrite_path(df: DataFrame, path: str, partition_by: str | None = None) ->
     leaves the old table as it was (and a folder ``__new-...``), and no partition of the old table survives. Two
     renames are not one step: a reader between them finds no table. One writer at a time is assumed.
     """
-    fresh = f"{path.rstrip('/')}__new-{uuid.uuid4().hex[:12]}"
+    fresh = new_beside(path)
     writer = _balanced(df, partition_by).write
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(fresh)
     swap_path(df.sparkSession, fresh, path)

@@ -104,6 +104,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def new_beside(path: str) -> str:
+    """A folder name next to ``path`` that nothing has used before, on the same file system."""
+    return f"{path.rstrip('/')}__new-{uuid.uuid4().hex[:12]}"
+
+
 def swap_path(spark: SparkSession, fresh: str, path: str) -> None:
     """Puts the folder ``fresh`` in the place of ``path`` by renaming; the old folder goes last."""
     files, place = _file_system(spark, path)

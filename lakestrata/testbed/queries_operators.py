@@ -8,13 +8,14 @@ from lakestrata.functions import time as clock
 from lakestrata.functions.codes import WEATHER_CODES, describe
 from lakestrata.functions.numeric import mean, mean_ratio, percentage, ratio, settled_round
 from lakestrata.functions.text import folded, is_blank, is_untrimmed, piped_key, title_trim, trimmed_or
+from lakestrata.operators.bucketed import upsert_bucketed, write_bucketed
 from lakestrata.operators.dedupe import keep_one
 from lakestrata.operators.duplicates import duplicate_summary, exact_duplicate_summary
 from lakestrata.operators.keys import assign_missing_keys, number_rows
 from lakestrata.operators.lookups import lookup, orphan_counts, reconcile, within_bounds
 from lakestrata.operators.ranking import label_positions, listed_order, share_of_total, top_k
 from lakestrata.operators.upsert import upsert
-from lakestrata.session import materialize
+from lakestrata.session import materialize, new_path
 from lakestrata.sources.discovery import month_in
 from lakestrata.sources.generated import literal_row
 from lakestrata.testbed.registry import query
@@ -375,6 +376,45 @@ def upsert_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(*_target_and_source(spark, sf_dir), ["c_custkey"], bulk=True)
 
 
+@query("upsert_bucketed", f"""
+SELECT c_custkey, CASE WHEN {_NEW} THEN upper(c_name) ELSE c_name END AS c_name, c_nationkey,
+       CASE WHEN {_NEW} THEN c_acctbal + 1000 ELSE c_acctbal END AS c_acctbal, c_mktsegment,
+       CASE WHEN {_NEW} THEN 'second' ELSE 'first' END AS loaded_by
+FROM customer
+""")
+def upsert_bucketed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same upsert into a table stored in buckets of its key: the load moves, the table does not."""
+    target, source = _target_and_source(spark, sf_dir)
+    path = new_path(spark, "bucketed")
+    write_bucketed(target, path, ["c_custkey"], 8)
+    return upsert_bucketed(spark, path, source, ["c_custkey"])
+
+
+@query("upsert_bucketed_nullable", """
+WITH t AS (SELECT nullif(c_nationkey, 0) AS nation, c_custkey, c_acctbal FROM customer WHERE c_mktsegment <> 'BUILDING'),
+s AS (SELECT nullif(c_nationkey, 0) AS nation, c_custkey, c_acctbal + 1000 AS c_acctbal FROM customer
+      WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')),
+u AS (
+SELECT 'null-safe' AS kind, t.nation, t.c_custkey, coalesce(s.c_acctbal, t.c_acctbal) AS c_acctbal
+FROM t LEFT JOIN s ON t.nation IS NOT DISTINCT FROM s.nation AND t.c_custkey = s.c_custkey
+UNION ALL SELECT 'null-safe', * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.nation IS NOT DISTINCT FROM s.nation AND t.c_custkey = s.c_custkey)
+UNION ALL SELECT 'plain', t.nation, t.c_custkey, coalesce(s.c_acctbal, t.c_acctbal)
+FROM t LEFT JOIN s ON t.nation = s.nation AND t.c_custkey = s.c_custkey
+UNION ALL SELECT 'plain', * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.nation = s.nation AND t.c_custkey = s.c_custkey))
+SELECT kind, nation, c_custkey, c_acctbal FROM u
+""")
+def upsert_bucketed_nullable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys with NULLs in buckets: one value under null-safe equality, matching nothing under plain equality."""
+    target, source = _nullable_keys(spark, sf_dir)
+    parts = []
+    for kind in ("null-safe", "plain"):
+        path = new_path(spark, "bucketed")
+        write_bucketed(target, path, ["nation", "c_custkey"], 8, null_safe=kind == "null-safe")
+        merged = upsert_bucketed(spark, path, source, ["nation", "c_custkey"], null_safe=kind == "null-safe")
+        parts.append(merged.select(F.lit(kind).alias("kind"), "nation", "c_custkey", "c_acctbal"))
+    return parts[0].unionByName(parts[1])
+
+
 @query("upsert_columns", """
 SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN upper(c_name) ELSE c_name END AS c_name, c_nationkey,
        CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN c_acctbal + 1000 ELSE c_acctbal END AS c_acctbal,

@@ -7,12 +7,14 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata.functions.codes import WEATHER_CODES
+from lakestrata.operators.bucketed import upsert_bucketed, write_bucketed
 from lakestrata.operators.lineage import stamp
 from lakestrata.plans import analytics
-from lakestrata.plans.gold import build_calendar, build_coded_dim, build_reference_dim, build_trip_fact, refresh_calendar
+from lakestrata.plans.gold import (FACT_ORDER, build_calendar, build_coded_dim, build_reference_dim, build_trip_fact, refresh_calendar,
+                                   trip_fact_rows)
 from lakestrata.plans.presets import TRIP_KEY, TRIP_UPDATE
 from lakestrata.plans.silver import refresh
-from lakestrata.session import materialize
+from lakestrata.session import materialize, new_path
 from lakestrata.testbed.registry import query
 from lakestrata.testbed.sql import CALENDAR, FACT, SILVER, WEATHER, ZONES, settled
 from lakestrata.testbed.standins import AT, calendar, load, table
@@ -139,14 +141,17 @@ def fact_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_audit(table(spark, sf_dir, "fact"))
 
 
-@query("fact_refresh", FACT + """
+_FACT_REFRESHED = FACT + """
 , old AS (SELECT trip_key FROM fact WHERE passenger_count <> 2)
 SELECT coalesce(old.trip_key, (SELECT max(trip_key) FROM old)
          + row_number() OVER (PARTITION BY old.trip_key IS NULL ORDER BY lpep_pickup_datetime, lpep_dropoff_datetime,
                               vendor_id, PULocationID, DOLocationID, trip_distance, total_amount)) AS trip_key,
        fact.* EXCLUDE (trip_key)
 FROM fact LEFT JOIN old ON fact.trip_key = old.trip_key
-""")
+"""
+
+
+@query("fact_refresh", _FACT_REFRESHED)
 def fact_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips already in the fact keep their key and get fresh values; the others are numbered after them."""
     old = table(spark, sf_dir, "fact").filter("passenger_count <> 2").withColumn("fare_amount", F.lit(-1.0))
@@ -155,6 +160,16 @@ def fact_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_audit(fact)
 
 
+@query("fact_refresh_bucketed", _FACT_REFRESHED)
+def fact_refresh_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same refresh of a fact stored in buckets of the trip's own values: only the load and the inserted rows are dealt out."""
+    old = table(spark, sf_dir, "fact").filter("passenger_count <> 2").withColumn("fare_amount", F.lit(-1.0))
+    path = new_path(spark, "fact-bucketed")
+    write_bucketed(old, path, FACT_ORDER, 8)
+    rows = trip_fact_rows(*[table(spark, sf_dir, n) for n in ("silver_trips", "calendar", "location", "weather")], at=AT)
+    return _without_audit(upsert_bucketed(spark, path, rows, FACT_ORDER, check_source=False, key="trip_key", order_by=FACT_ORDER))
+
+
 @query("audit_stamps", """
 SELECT l_returnflag, count(*) AS row_count, 0::BIGINT AS unstamped, 1::BIGINT AS moments,
        DATE '2026-06-01' AS load_date
