@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from lakestrata.operators.bounds import partition_bounds
 from lakestrata.operators.upsert import upsert_partitions
 from lakestrata.operators.writes import LAYERS, ensure_namespaces, ensure_path, overwrite_path, overwrite_table
 from lakestrata.plans.bronze import (ingest_array_documents, ingest_overwrite, ingest_partitioned_files,
@@ -133,6 +134,48 @@ def upsert_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_partitions(spark, path, batch, ["o_orderkey", "order_month"], "order_month")
 
 
+@query("partition_bounds", """
+SELECT strftime(o_orderdate, '%Y-%m') AS order_month, count(*) AS row_count, min(o_orderkey) AS low_key, max(o_orderkey) AS high_key,
+       min(o_orderdate) AS low_date, max(o_orderdate) AS high_date, min(price) AS low_price, max(price) AS high_price, count(price) AS prices
+FROM (SELECT *, CASE WHEN o_orderpriority <> '1-URGENT' THEN o_totalprice + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END END AS price FROM orders)
+GROUP BY ALL
+""")
+def partition_bounds_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds of each month from what is kept beside the table, after one load of some rows and one that rewrites their months."""
+    orders = load(spark, sf_dir, "orders").withColumn("order_month", F.date_format("o_orderdate", "yyyy-MM"))
+    price = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_totalprice"))
+    path, columns = new_path(spark, "orders"), ["o_orderkey", "o_orderdate", "price"]
+    rows = orders.select("o_orderkey", "o_orderdate", price.alias("price"), "order_month")
+    overwrite_path(rows.filter("month(o_orderdate) % 2 = 0 OR o_orderkey % 3 <> 0"), path, "order_month")
+    partition_bounds(spark, path, columns)
+    dearer = rows.filter("o_orderkey % 3 = 0").withColumn("price", F.col("price") + 1)
+    upsert_partitions(spark, path, dearer, ["o_orderkey", "order_month"], "order_month")
+    bounds = partition_bounds(spark, path, columns)
+    return bounds.select(F.substring("folder", -7, 7).alias("order_month"), "row_count", F.col("low_o_orderkey").alias("low_key"),
+                         F.col("high_o_orderkey").alias("high_key"), F.col("low_o_orderdate").alias("low_date"),
+                         F.col("high_o_orderdate").alias("high_date"), "low_price", "high_price", F.col("values_price").alias("prices"))
+
+
+@query("partition_keys", """
+WITH o AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS order_month, year(o_orderdate) AS y FROM orders),
+n AS (SELECT *, CASE WHEN y <= 1996 THEN row_number() OVER (PARTITION BY y <= 1996 ORDER BY order_month, o_orderkey)
+                     ELSE (SELECT count(*) FROM o WHERE y <= 1996) + row_number() OVER (PARTITION BY y <= 1996 ORDER BY order_month, o_orderkey) END AS n FROM o)
+SELECT n AS order_number, o_orderkey, order_month, CASE WHEN y IN (1996, 1997) THEN 'second' WHEN y < 1996 THEN 'first' ELSE 'third' END AS loaded_by FROM n
+""")
+def partition_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surrogate keys over loads of months: known rows keep theirs, new ones go on after the largest number kept in the bounds."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("order_month"), F.year("o_orderdate").alias("y"))
+    path, keys = new_path(spark, "orders"), ["o_orderkey", "order_month"]
+    loads = [("first", "y <= 1996"), ("second", "y = 1996 OR y = 1997"), ("third", "y > 1997")]
+    for k, (name, where) in enumerate(loads):
+        rows = orders.filter(where).select(*keys, F.lit(name).alias("loaded_by"))
+        if not k:
+            ensure_path(spark, path, T.StructType([T.StructField("order_number", T.LongType()), *rows.schema.fields]), "order_month")
+        order = ["order_month", "o_orderkey"]
+        stored = upsert_partitions(spark, path, rows, keys, "order_month", key="order_number", order_by=order)
+    return stored.select("order_number", *keys, "loaded_by")
+
+
 @query("catalog_tables", "\nUNION ALL ".join(
     f"SELECT '{layer}' AS layer, c_custkey, c_name, c_acctbal < 0 AS in_debt FROM customer WHERE c_custkey % 4 = {k}"
     for k, layer in enumerate(LAYERS)))
