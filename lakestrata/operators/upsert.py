@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -147,7 +147,8 @@ def _upsert_full_outer(target: DataFrame, source: DataFrame, keys: Sequence[str]
 
 
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition_by: str,
-                      key: str | None = None, order_by: Sequence[str] = (), **options) -> DataFrame:
+                      key: str | None = None, order_by: Sequence[str] = (), store: Callable[[DataFrame, str, str], object] = overwrite_partitions,
+                      **options) -> DataFrame:
     """Upsert into a partitioned Parquet table and return the table.
 
     ``partition_by`` must follow from the key (a month of a key timestamp, say). Then rows of one key
@@ -156,6 +157,9 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
     is replaced. With ``key`` the table has a surrogate key, numbered in ``order_by`` order; its largest value comes from the bounds kept for
     each partition, so other partitions are not read for it either.
 
+    ``store(rows, path, partition_by)`` puts the finished rows of the touched partitions in place; one that checks them first (``quality.observed``)
+    can refuse, and the table stays as it was.
+
     Stored columns that the source lacks stay: unchanged on update, NULL on insert. New columns of the
     source are added, NULL in rows that were there.
     """
@@ -173,12 +177,12 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
         if options.get("check_source", True):
             require_unique_keys(batch, keys, options.get("null_safe", True))
         fresh = batch if key is None else number_rows(batch, key, order_by, after=last)
-        overwrite_partitions(fresh, path, partition_by)
+        store(fresh, path, partition_by)
     else:
         merged = (upsert(part, batch, keys, **options) if key is None
                   else upsert_keyed(part, batch, keys, key, order_by, after=last, **options))
         # Dynamic overwrite writes beside the table and swaps partitions when all tasks are done, so it may read them.
-        overwrite_partitions(merged, path, partition_by)
+        store(merged, path, partition_by)
     if key is not None:
         partition_bounds(spark, path, [key], schema)  # of the partitions just written
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

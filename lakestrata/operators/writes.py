@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from lakestrata.session import new_beside, swap_path
+from lakestrata.session import child_folders, delete_path, new_beside, swap_path
 
 # The layers of the warehouse.
 LAYERS = ["bronze", "silver", "gold", "quality"]
@@ -18,7 +18,7 @@ def overwrite_path(df: DataFrame, path: str, partition_by: str | None = None) ->
     renames are not one step: a reader between them finds no table. One writer at a time is assumed.
     """
     fresh = new_beside(path)
-    writer = _balanced(df, partition_by).write
+    writer = balanced(df, partition_by).write
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(fresh)
     swap_path(df.sparkSession, fresh, path)
 
@@ -28,7 +28,7 @@ replace_path = overwrite_path  # by rows that may come from the folder itself
 
 def overwrite_table(df: DataFrame, table: str, partition_by: str | None = None) -> None:
     """Replace a catalog table; the new schema may differ."""
-    writer = _balanced(df, partition_by).write.mode("overwrite").format("parquet")
+    writer = balanced(df, partition_by).write.mode("overwrite").format("parquet")
     (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(table)
 
 
@@ -39,11 +39,23 @@ def append_path(df: DataFrame, path: str, partition_by: str | None = None) -> No
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: str) -> None:
     """Replace only the partitions that ``df`` holds rows of."""
-    (_balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_by).parquet(path))
 
 
-def _balanced(df: DataFrame, partition_by: str | None) -> DataFrame:
+def replace_partitions(spark: SparkSession, fresh: str, path: str) -> None:
+    """Puts the partition folders of the table at ``fresh`` in the place of those at ``path``, one rename each, and removes the rest of ``fresh``.
+
+    Complete for each partition, not across them: a driver that ends in between leaves the folder ``fresh`` with the partitions that were not moved.
+    """
+    for folder in child_folders(spark, fresh):
+        if "=" in folder:
+            swap_path(spark, f"{fresh}/{folder}", f"{path.rstrip('/')}/{folder}")
+    delete_path(spark, fresh)
+    spark.catalog.refreshByPath(path)
+
+
+def balanced(df: DataFrame, partition_by: str | None) -> DataFrame:
     """Rows grouped by table partition for few output files; AQE splits a partition that is too large."""
     return df.hint("rebalance", partition_by) if partition_by else df
 

@@ -7,14 +7,16 @@ and the dimensions are small next to the trips and are replaced as a whole.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakestrata.functions.codes import WEATHER_CODES
 from lakestrata.functions.time import month_of
 from lakestrata.operators.upsert import upsert, upsert_partitions
-from lakestrata.operators.writes import ensure_path, replace_path
+from lakestrata.operators.writes import ensure_path, overwrite_partitions, replace_path
 from lakestrata.plans import analytics
 from lakestrata.plans.bronze import (MONTH, ingest_array_documents, ingest_partitioned_files, ingest_reference_csv,
                                      ingest_typed_records)
@@ -25,6 +27,7 @@ from lakestrata.plans.presets import (PICKUP, TRIP_KEY, TRIP_KEY_ORDER, TRIP_RUL
                                       ZONE_SOURCE_SCHEMA)
 from lakestrata.plans.silver import clean_events, clean_reference, clean_series, is_valid_event
 from lakestrata.quality import suites
+from lakestrata.quality.observed import writing, writing_partitions
 from lakestrata.quality.store import append_report, gate, stored_reports
 from lakestrata.session import configure, scratch
 from lakestrata.sources.discovery import landed_files, landed_months, next_partition
@@ -111,8 +114,20 @@ class Warehouse:
 
     # Silver
 
-    def refresh_silver_trips(self, months: list[str] | None = None) -> DataFrame:
-        """Clean the given months of Bronze (all of them by default) and upsert them."""
+    def _put(self, rows: DataFrame, layer: str, name: str, suite: Callable[..., DataFrame] | None) -> DataFrame:
+        """Replace a table; with a suite only if its checks, taken while the rows are written, allow it."""
+        path = self.path(layer, name)
+        if suite is None:
+            replace_path(rows, path)
+        else:
+            suite(rows, run=writing(path))
+        return self.table(layer, name)
+
+    def refresh_silver_trips(self, months: list[str] | None = None, gated: bool = False) -> DataFrame:
+        """Clean the given months of Bronze (all of them by default) and upsert them.
+
+        ``gated``, here and below, takes the table's suite over the new rows while they are written; a failed check stops the load and leaves the table.
+        """
         bronze = self.table("bronze", "trips")
         if months is not None:
             bronze = bronze.filter(F.col(MONTH).isin(months))
@@ -120,77 +135,83 @@ class Warehouse:
         path, month = self.path("silver", "trips"), f"bronze_{MONTH}"
         keyed = T.StructType([T.StructField("trip_key", T.LongType()), *cleaned.schema.fields])
         ensure_path(self.spark, path, keyed, partition_by=month)
+        def checked(rows: DataFrame, path: str, part: str) -> None:
+            suites.silver_trip_suite(rows, bronze, is_valid_event(self.rules, self.until), run=writing_partitions(path, part))
+
         with scratch(self.spark):
             return upsert_partitions(self.spark, path, cleaned, TRIP_KEY, month, key="trip_key", order_by=TRIP_KEY_ORDER,
-                                     update=TRIP_UPDATE, check_source=False)
+                                     store=checked if gated else overwrite_partitions, update=TRIP_UPDATE, check_source=False)
 
-    def _merge(self, layer: str, name: str, rows: DataFrame, key: str) -> DataFrame:
+    def _merge(self, layer: str, name: str, rows: DataFrame, key: str, suite: Callable[..., DataFrame] | None) -> DataFrame:
         target = self._existing(layer, name)
         merged = rows if target is None else upsert(target, rows, [key], null_safe=False, check_source=False)
-        replace_path(merged, self.path(layer, name))
-        return self.table(layer, name)
+        return self._put(merged, layer, name, suite)
 
-    def refresh_silver_zones(self) -> DataFrame:
+    def refresh_silver_zones(self, gated: bool = False) -> DataFrame:
         rows = clean_reference(self.table("bronze", "zones"), "LocationID", {"Borough": "borough", "Zone": "zone"},
                                {"service_zone": "service_zone"}, "location_id", self.at)
-        return self._merge("silver", "zones", rows, "location_id")
+        suite = partial(suites.silver_zone_suite, bronze=self.table("bronze", "zones"))
+        return self._merge("silver", "zones", rows, "location_id", suite if gated else None)
 
-    def refresh_silver_weather(self) -> DataFrame:
+    def refresh_silver_weather(self, gated: bool = False) -> DataFrame:
         return self._merge("silver", "weather", clean_series(self.table("bronze", "weather"), "timestamp", at=self.at),
-                           "timestamp")
+                           "timestamp", partial(suites.silver_weather_suite, hours=self.hours()) if gated else None)
 
     # Gold
 
-    def refresh_calendar(self, delete_unmatched: bool = False) -> DataFrame:
+    def refresh_calendar(self, delete_unmatched: bool = False, gated: bool = False) -> DataFrame:
         fresh = build_calendar(self.spark, dt.datetime.fromisoformat(self.first_hour),
                                dt.datetime.fromisoformat(self.last_hour), at=self.at)
         target = self._existing("gold", "dim_datetime")
         merged = fresh if target is None else refresh_calendar(target, fresh, delete_unmatched)
-        replace_path(merged, self.path("gold", "dim_datetime"))
-        return self.table("gold", "dim_datetime")
+        suite = partial(suites.calendar_suite, hours=self.hours(), first_day=self.first_hour[:10], last_day=self.last_hour[:10])
+        return self._put(merged, "gold", "dim_datetime", suite if gated else None)
 
-    def refresh_location(self) -> DataFrame:
+    def refresh_location(self, gated: bool = False) -> DataFrame:
         with scratch(self.spark):
             dim = build_reference_dim(self.table("silver", "zones"), "location_id", "location_key",
                                       ["borough", "zone", "service_zone"], self._existing("gold", "dim_location"), self.at)
-            replace_path(dim, self.path("gold", "dim_location"))
-        return self.table("gold", "dim_location")
+            return self._put(dim, "gold", "dim_location", partial(suites.location_suite, silver=self.table("silver", "zones")) if gated else None)
 
-    def refresh_weather(self) -> DataFrame:
+    def refresh_weather(self, gated: bool = False) -> DataFrame:
         with scratch(self.spark):
             dim = build_coded_dim(self.table("silver", "weather"), "timestamp", "weather_code", WEATHER_CODES,
                                   existing=self._existing("gold", "dim_weather"), at=self.at)
-            replace_path(dim, self.path("gold", "dim_weather"))
-        return self.table("gold", "dim_weather")
+            suite = partial(suites.weather_suite, hours=self.hours(), first=self.first_hour, last=self.last_hour)
+            return self._put(dim, "gold", "dim_weather", suite if gated else None)
 
-    def refresh_fact(self, months: list[str] | None = None) -> DataFrame:
+    def refresh_fact(self, months: list[str] | None = None, gated: bool = False) -> DataFrame:
         """Upsert the Silver trips of the given months (all by default); only those months are rewritten."""
         silver = self.table("silver", "trips")
         if months is not None:
             silver = silver.filter(F.col(f"bronze_{MONTH}").isin(months))
-        rows = trip_fact_rows(silver, *[self.table("gold", n) for n in ("dim_datetime", "dim_location", "dim_weather")],
-                              at=self.at).withColumn(FACT_MONTH, month_of(F.col(PICKUP)))
+        dims = [self.table("gold", n) for n in ("dim_datetime", "dim_location", "dim_weather")]
+        rows = trip_fact_rows(silver, *dims, at=self.at).withColumn(FACT_MONTH, month_of(F.col(PICKUP)))
         path = self.path("gold", "fact_taxi_trip")
         ensure_path(self.spark, path, T.StructType([T.StructField("trip_key", T.LongType()), *rows.schema.fields]),
                     partition_by=FACT_MONTH)
+        def checked(rows: DataFrame, path: str, part: str) -> None:
+            suites.fact_suite(rows, silver, *dims, run=writing_partitions(path, part))
+
         with scratch(self.spark):
             return upsert_partitions(self.spark, path, rows, FACT_ORDER, FACT_MONTH, key="trip_key", order_by=FACT_ORDER,
-                                     check_source=False)
+                                     store=checked if gated else overwrite_partitions, check_source=False)
 
-    def refresh(self, months: list[str] | None = None, gate_silver: bool = False) -> None:
+    def refresh(self, months: list[str] | None = None, gate_silver: bool = False, gated: bool = False) -> None:
         """Silver, dimensions and fact in their order of dependence.
 
-        With ``gate_silver`` a failed check of the Silver trips stops the load before Gold is touched.
+        With ``gate_silver`` a failed check of the Silver trips stops the load before Gold is touched. With ``gated`` every table's suite is taken
+        while its new rows are written, and a failed check stops the load with that table, and all after it, as they were.
         """
-        self.refresh_silver_trips(months)
-        self.refresh_silver_zones()
-        self.refresh_silver_weather()
+        self.refresh_silver_trips(months, gated)
+        self.refresh_silver_zones(gated)
+        self.refresh_silver_weather(gated)
         if gate_silver:
             gate(self.silver_trip_report())
-        self.refresh_calendar()
-        self.refresh_location()
-        self.refresh_weather()
-        self.refresh_fact(months)
+        self.refresh_calendar(gated=gated)
+        self.refresh_location(gated)
+        self.refresh_weather(gated)
+        self.refresh_fact(months, gated)
 
     # Quality and reports
 

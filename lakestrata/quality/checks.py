@@ -7,7 +7,7 @@ DISTINCT aggregate, which would copy every row once per key. All foreign keys sh
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -102,7 +102,8 @@ def _row(position: Column, check: Check, records: Column, failures: Column, expe
         (records if base is None else base).cast(_LONG).alias("pct_base"))
 
 
-def _one_scan(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
+def scan_aggregates(checks: list[tuple[int, Check]]) -> list[Column]:
+    """All row checks and totals as aggregates of one pass."""
     aggregates = [F.count(F.lit(1)).alias("records")]
     for i, c in checks:
         if isinstance(c, Rows):
@@ -116,6 +117,11 @@ def _one_scan(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
                 aggregates.append(c.actual.alias(f"a{i}"))
             if c.base is not None:
                 aggregates.append(c.base.alias(f"b{i}"))
+    return aggregates
+
+
+def scan_rows(one_row: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
+    """One row per check from the row of their aggregates."""
     rows = []
     for i, c in checks:
         failures = F.col(f"f{i}")
@@ -123,7 +129,7 @@ def _one_scan(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
         actual = F.col(f"a{i}") if isinstance(c, Total) and c.actual is not None else failures
         base = F.col(f"b{i}") if isinstance(c, Total) and c.base is not None else None
         rows.append(_row(F.lit(i), c, F.col("records"), failures, expected, actual, base))
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return one_row.select(F.inline(F.array(*rows)))
 
 
 def _single(frame: DataFrame, position: int, check: Check, records: str, failures: str) -> DataFrame:
@@ -153,10 +159,14 @@ def _volumes(df: DataFrame, checks: list[Volumes]) -> DataFrame:
 
 def measure(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per check: order, name, type, severity, records, failures, expected, actual, percentage."""
-    numbered = list(enumerate(checks, 1))
+    return measure_numbered(df, list(enumerate(checks, 1)))
+
+
+def measure_numbered(df: DataFrame, numbered: list[tuple[int, Check]], first: Sequence[DataFrame] = ()) -> DataFrame:
+    """``measure`` for checks with their positions; ``first`` are rows of checks that were measured elsewhere."""
     plain = [(i, c) for i, c in numbered if isinstance(c, Rows | Total)]
     references = [(i, c) for i, c in numbered if isinstance(c, Reference)]
-    parts = [_one_scan(df, plain)] if plain else []
+    parts = [*first, *([scan_rows(df.agg(*scan_aggregates(plain)), plain)] if plain else [])]
     for i, c in numbered:
         if isinstance(c, Unique):
             parts.append(_single(duplicate_summary(df.select(*c.keys), c.keys, c.skip_null), i, c,
@@ -165,7 +175,7 @@ def measure(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             parts.append(_single(exact_duplicate_summary(df), i, c, "records", "duplicates"))
         elif isinstance(c, Other):
             parts.append(_single(c.frame, i, c, "records", "failures"))
-    volumes = [c for c in checks if isinstance(c, Volumes)]
+    volumes = [c for _, c in numbered if isinstance(c, Volumes)]
     if volumes:
         parts.append(_volumes(df, volumes))
     if references:
@@ -176,9 +186,16 @@ def measure(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 def run_suite(df: DataFrame, checks: Sequence[Check], rules: RuleSet, table: str = "") -> DataFrame:
     """The measured checks with their status."""
+    return with_status(measure(df, checks), rules, table)
+
+
+def with_status(measured: DataFrame, rules: RuleSet, table: str = "") -> DataFrame:
     status = rules.status(F.col("check_name"), F.col("check_type"), F.col("severity"), F.col("failures"),
                           F.col("failure_pct"))
-    return measure(df, checks).withColumns({"status": status, "table_name": F.lit(table)})
+    return measured.withColumns({"status": status, "table_name": F.lit(table)})
+
+
+Run = Callable[[DataFrame, Sequence[Check], RuleSet, str], DataFrame]  # run_suite, or what measures the rows on their way into a table
 
 
 # Report layouts -------------------------------------------------------------------------------------------

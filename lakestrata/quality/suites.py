@@ -1,4 +1,6 @@
-"""The ten suites. Each function lists the checks of one table; defaults are the warehouse's own."""
+"""The ten suites. Each function lists the checks of one table; defaults are the warehouse's own.
+
+``run`` takes the checks over a table that is there (``run_suite``) or while the rows are written (``observed.writing``)."""
 
 from __future__ import annotations
 
@@ -14,7 +16,7 @@ from lakestrata.plans.presets import (DROPOFF, GOLD_BOROUGHS, PAYMENT_TYPES, PIC
                                       SILVER_BOROUGHS, STORE_FLAGS, TIME_PERIODS, TRIP_KEY, TRIP_TYPES,
                                       WEATHER_MEASURES, WEATHER_NON_NEGATIVE, WINDOW_FIRST_HOUR, WINDOW_HOURS,
                                       WINDOW_LAST_HOUR)
-from lakestrata.quality.checks import (Check, Other, Reference, Rows, Total, Unique, UniqueRows, Volumes, run_suite,
+from lakestrata.quality.checks import (Check, Other, Reference, Rows, Run, Total, Unique, UniqueRows, Volumes, run_suite,
                                        simple_report, source_report, table_report)
 from lakestrata.quality.rules import FACT_RULES, LOCATION_RULES, SILVER_ZONE_RULES, SOURCE_RULES, STRICT
 from lakestrata.sources.discovery import month_in
@@ -60,7 +62,7 @@ def _source_common(total_name: str, keys: list[str], min_rows: int) -> tuple[lis
 
 
 def download_suite(raw: DataFrame, file_column: str = "file_name", event_time: str = PICKUP,
-                   keys: list[str] = TRIP_KEY, min_rows: int = 0) -> DataFrame:
+                   keys: list[str] = TRIP_KEY, min_rows: int = 0, run: Run = run_suite) -> DataFrame:
     """Raw files before loading. ``file_column`` holds the file name of each row.
 
     A file name without a month counts under UNKNOWN. The row count only informs, also for an empty
@@ -72,12 +74,12 @@ def download_suite(raw: DataFrame, file_column: str = "file_name", event_time: s
     checks = [*first, nulls,
               Volumes("Monthly Row Count by Source Month", "VOLUME", F.col("source_month"), 10),
               Volumes("Monthly Row Count by Pickup Date", "VOLUME", F.col("pickup_month"), 100)]
-    return source_report(run_suite(rows.drop(file_column), checks, SOURCE_RULES))
+    return source_report(run(rows.drop(file_column), checks, SOURCE_RULES, ""))
 
 
 def bronze_trip_suite(bronze: DataFrame, event_time: str = PICKUP, keys: list[str] = TRIP_KEY,
                       lineage: tuple[str, ...] = ("source_file", "source_month", "bronze_ingestion_timestamp",
-                                                  "bronze_ingestion_date"), min_rows: int = 0) -> DataFrame:
+                                                  "bronze_ingestion_date"), min_rows: int = 0, run: Run = run_suite) -> DataFrame:
     """Bronze trips after loading; the file month falls back to the source month, then to UNKNOWN."""
     file_month = F.coalesce(month_in(F.col(lineage[0])), F.col(lineage[1]), F.lit("UNKNOWN"))
     first, nulls = _source_common("Total Loaded Row Count", keys, min_rows)
@@ -90,7 +92,7 @@ def bronze_trip_suite(bronze: DataFrame, event_time: str = PICKUP, keys: list[st
               Volumes("Monthly Row Count by Source File Month", "VOLUME", file_month, 10),
               Volumes("Monthly Row Count by Pickup Date Month", "VOLUME",
                       F.coalesce(month_of(F.col(event_time)), F.lit("UNKNOWN")), 100)]
-    return source_report(run_suite(bronze, checks, SOURCE_RULES))
+    return source_report(run(bronze, checks, SOURCE_RULES, ""))
 
 
 def _series_checks(time: str, lineage: list[str]) -> list[Check]:
@@ -110,16 +112,16 @@ def _range_check(name: str, time: str, first: str, last: str) -> Total:
 def bronze_weather_suite(bronze: DataFrame, hours: int = WINDOW_HOURS, first: str = WINDOW_FIRST_HOUR,
                          last: str = WINDOW_LAST_HOUR, time: str = "timestamp",
                          lineage: tuple[str, ...] = ("source_file", "bronze_ingestion_timestamp",
-                                                     "bronze_ingestion_date")) -> DataFrame:
+                                                     "bronze_ingestion_date"), run: Run = run_suite) -> DataFrame:
     checks = [*_series_checks(time, list(lineage)), _volume("Volume", F.lit(hours)),
               _range_check("Timestamp Range", time, first, last)]
-    return simple_report(run_suite(bronze, checks, STRICT))
+    return simple_report(run(bronze, checks, STRICT, ""))
 
 
 # Silver ---------------------------------------------------------------------------------------------------
 
 def silver_trip_suite(silver: DataFrame, bronze: DataFrame, valid: Column, keys: list[str] = TRIP_KEY,
-                      flags: list[str] = STORE_FLAGS) -> DataFrame:
+                      flags: list[str] = STORE_FLAGS, run: Run = run_suite) -> DataFrame:
     """``valid`` is the row filter the cleaner used: the expected volume is the distinct keys it lets through."""
     flag = F.col("store_and_fwd_flag")
     expected = duplicate_summary(bronze.filter(valid).select(*keys), keys).select("unique_keys").scalar()
@@ -133,12 +135,12 @@ def silver_trip_suite(silver: DataFrame, bronze: DataFrame, valid: Column, keys:
         Rows("Cleaned Fields", failing=any_null("RatecodeID", "passenger_count", "payment_type", "trip_type",
                                                 "congestion_surcharge")),
         _volume("Volume", expected)]
-    return simple_report(run_suite(silver, checks, STRICT))
+    return simple_report(run(silver, checks, STRICT, ""))
 
 
 def silver_zone_suite(silver: DataFrame, bronze: DataFrame, boroughs: list[str] = SILVER_BOROUGHS,
                       service_zones: list[str] = SERVICE_ZONES, case_insensitive: bool = False,
-                      table: str = "taxi_zones_silver") -> DataFrame:
+                      table: str = "taxi_zones_silver", run: Run = run_suite) -> DataFrame:
     """Accepted values are compared as written unless ``case_insensitive``."""
     def outside(column: str, accepted: list[str]) -> Column:
         if case_insensitive:
@@ -159,21 +161,21 @@ def silver_zone_suite(silver: DataFrame, bronze: DataFrame, boroughs: list[str]
              listing(service_zones)),
         *[Rows(f"Missing {c}", "LINEAGE", any_null(c)) for c in ("silver_ingestion_timestamp",
                                                                  "silver_ingestion_date")]]
-    return table_report(run_suite(silver, checks, SILVER_ZONE_RULES, table))
+    return table_report(run(silver, checks, SILVER_ZONE_RULES, table))
 
 
-def silver_weather_suite(silver: DataFrame, hours: int = WINDOW_HOURS, time: str = "timestamp") -> DataFrame:
+def silver_weather_suite(silver: DataFrame, hours: int = WINDOW_HOURS, time: str = "timestamp", run: Run = run_suite) -> DataFrame:
     lineage = ["bronze_source_file", "bronze_ingestion_timestamp", "bronze_ingestion_date",
                "silver_ingestion_timestamp", "silver_ingestion_date"]
     checks = [*_series_checks(time, lineage), _volume("Volume", F.lit(hours))]
-    return simple_report(run_suite(silver, checks, STRICT))
+    return simple_report(run(silver, checks, STRICT, ""))
 
 
 # Gold -----------------------------------------------------------------------------------------------------
 
 def calendar_suite(calendar: DataFrame, hours: int = WINDOW_HOURS, first_day: str = "2026-03-01",
                    last_day: str = "2026-05-31", period: str = "March-May 2026",
-                   table: str = "dim_datetime") -> DataFrame:
+                   table: str = "dim_datetime", run: Run = run_suite) -> DataFrame:
     """Hour table including the unknown member (key 0), which the flag and range checks leave out."""
     known = F.col("datetime_key") > 0
     weekend_day = F.col("day_of_week").isin(WEEKEND_DAYS)
@@ -199,12 +201,12 @@ def calendar_suite(calendar: DataFrame, hours: int = WINDOW_HOURS, first_day: st
         _volume(f"Expected hourly row count match ({period})", F.lit(expected), "VOLUME", expected=str(expected),
                 base=F.max(F.lit(expected))),
         rows(f"Records outside {period} date range", "DATE_RANGE", outside)]
-    report = table_report(run_suite(calendar, checks, STRICT, table))
+    report = table_report(run(calendar, checks, STRICT, table))
     return report.withColumn("expected_value", F.col("expected_value").cast("int"))
 
 
 def location_suite(location: DataFrame, silver: DataFrame, boroughs: list[str] = GOLD_BOROUGHS,
-                   table: str = "dim_location") -> DataFrame:
+                   table: str = "dim_location", run: Run = run_suite) -> DataFrame:
     """``Location has conflicting attributes`` reports the offending ids as both checked and failed."""
     texts = ["borough", "zone", "service_zone"]
     ids = silver.select("location_id").dropna().distinct()
@@ -231,11 +233,11 @@ def location_suite(location: DataFrame, silver: DataFrame, boroughs: list[str] =
         Other("Location has conflicting attributes", "BUSINESS_RULE", conflicts),
         Other("Silver locations missing from Gold", "REFERENTIAL_INTEGRITY", missing),
         Other("Gold locations missing from Silver", "REFERENTIAL_INTEGRITY", strangers)]
-    return table_report(run_suite(location, checks, LOCATION_RULES, table), with_actual=True)
+    return table_report(run(location, checks, LOCATION_RULES, table), with_actual=True)
 
 
 def weather_suite(weather: DataFrame, hours: int = WINDOW_HOURS, first: str = WINDOW_FIRST_HOUR,
-                  last: str = WINDOW_LAST_HOUR) -> DataFrame:
+                  last: str = WINDOW_LAST_HOUR, run: Run = run_suite) -> DataFrame:
     label = F.col("weather_condition")
     checks = [
         Rows("Completeness", failing=any_null("weather_datetime", *WEATHER_MEASURES, "weather_code",
@@ -247,12 +249,12 @@ def weather_suite(weather: DataFrame, hours: int = WINDOW_HOURS, first: str = WI
         Unique("Weather Key Uniqueness", keys=["weather_key"], skip_null=True),
         _volume("Volume", F.lit(hours)),
         _range_check("Timestamp Range", "weather_datetime", first, last)]
-    return simple_report(run_suite(weather, checks, STRICT))
+    return simple_report(run(weather, checks, STRICT, ""))
 
 
 def fact_suite(fact: DataFrame, silver: DataFrame, calendar: DataFrame, location: DataFrame, weather: DataFrame,
                payment_types: list[int] = PAYMENT_TYPES, trip_types: list[int] = TRIP_TYPES,
-               ratecodes: list[int] = RATECODES, table: str = "fact_taxi_trip") -> DataFrame:
+               ratecodes: list[int] = RATECODES, table: str = "fact_taxi_trip", run: Run = run_suite) -> DataFrame:
     """Fact checks; the weather reference is informational because the weather is optional.
 
     The natural key is compared as a tuple, in which NULL and empty text are different values.
@@ -285,4 +287,4 @@ def fact_suite(fact: DataFrame, silver: DataFrame, calendar: DataFrame, location
         Rows("Invalid ratecode_id", "ACCEPTED_VALUE", not_in(F.col("ratecode_id"), ratecodes), listing(ratecodes)),
         Rows("Missing gold_processed_timestamp/date", "LINEAGE",
              any_null("gold_processed_timestamp", "gold_processed_date"))]
-    return table_report(run_suite(fact, checks, FACT_RULES, table), with_actual=True)
+    return table_report(run(fact, checks, FACT_RULES, table), with_actual=True)

@@ -104,6 +104,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    files, place = _file_system(spark, path)
+    return sorted(entry.getPath().getName() for entry in files.listStatus(place) if entry.isDirectory())
+
+
 def new_beside(path: str) -> str:
     """A folder name next to ``path`` that nothing has used before, on the same file system."""
     return f"{path.rstrip('/')}__new-{uuid.uuid4().hex[:12]}"
@@ -114,6 +120,7 @@ def swap_path(spark: SparkSession, fresh: str, path: str) -> None:
     files, place = _file_system(spark, path)
     new = _file_system(spark, fresh)[1]
     old = None
+    files.mkdirs(place.getParent())
     if files.exists(place):
         old = _file_system(spark, f"{path.rstrip('/')}__old-{uuid.uuid4().hex[:12]}")[1]
         if not files.rename(place, old):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata.quality import rules
+from lakestrata.quality.observed import writing, writing_partitions
 from lakestrata.quality.store import QualityGateFailed, append_report, gate, stored_reports, summarise
 from lakestrata.quality.suites import (bronze_trip_suite, bronze_weather_suite, calendar_suite, download_suite,
                                        fact_suite, location_suite, silver_trip_suite, silver_weather_suite,
@@ -483,3 +484,28 @@ def gate_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
         except QualityGateFailed as error:
             rows.append((load_name, True, int(str(error).split()[0])))
     return spark.createDataFrame(rows, "load string, stopped boolean, failed_checks long")
+
+
+@query("dq_silver_observed", SILVER + _SPOILT_SILVER + suite(_SILVER_CHECKS, "", SIMPLE))
+def dq_silver_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of the Silver trips, its row checks taken while the table is written."""
+    run = writing(new_path(spark, "silver-trips"), "bronze_source_month", stop=False)
+    return silver_trip_suite(_spoilt_silver(spark, sf_dir), table(spark, sf_dir, "bronze_trips"), is_valid_event(RULES, UNTIL), run=run)
+
+
+@query("gate_keeps_table", SILVER + """
+SELECT bronze_source_month, count(*) AS trips, count(*) FILTER (WHERE VendorID = 1) AS vendor_1, count(trip_type) AS typed
+FROM (SELECT *, source_month AS bronze_source_month FROM silver) GROUP BY bronze_source_month
+""")
+def gate_keeps_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver trips written by month through the gate, twice: rows that pass take their months' place, spoilt ones leave the table as it was."""
+    good, bronze = table(spark, sf_dir, "silver_trips"), table(spark, sf_dir, "bronze_trips")
+    path, valid = new_path(spark, "silver-trips"), is_valid_event(RULES, UNTIL)
+    silver_trip_suite(good, bronze, valid, run=writing_partitions(path, "bronze_source_month"))
+    try:
+        silver_trip_suite(_spoilt_silver(spark, sf_dir), bronze, valid, run=writing_partitions(path, "bronze_source_month"))
+        raise RuntimeError("the gate let spoilt rows pass")
+    except QualityGateFailed:
+        stored = spark.read.schema(good.schema).parquet(path)
+    return stored.groupBy("bronze_source_month").agg(F.count(F.lit(1)).alias("trips"), F.count_if(F.col("VendorID") == 1).alias("vendor_1"),
+                                                     F.count("trip_type").alias("typed"))

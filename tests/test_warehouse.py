@@ -11,6 +11,7 @@ from lakestrata.plans import analytics
 from lakestrata.plans.presets import PICKUP, TRIP_KEY, TRIP_RULES, TRIP_SOURCE_SCHEMA
 from lakestrata.plans.silver import clean_events, clean_reference, clean_series
 from lakestrata.plans.warehouse import Warehouse
+from lakestrata.quality.store import QualityGateFailed
 from lakestrata.session import new_path
 from lakestrata.streaming.incremental import load_new_files
 
@@ -207,3 +208,44 @@ def test_reference_and_series_cleaning(spark):
 def test_intensity_limits(spark, member, rain, label):
     df = spark.createDataFrame([(member, rain)], "m int, p double")
     assert df.select(analytics.intensity_bucket(F.col("m"), F.col("p"))).first()[0] == label
+
+
+def test_a_gated_refresh_stops_before_the_table_that_fails(spark, sources, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"), "2026-03-01 00:00:00", "2026-04-09 23:00:00", AT)
+    w.load_trips(str(sources / "march"))
+    (tmp_path / "zones.csv").write_text('"LocationID","Borough","Zone","service_zone"\n1,"Queens","Jfk Airport","Airports"\n'
+                                        '2,"Manhattan","Alphabet City","Yellow Zone"\n')
+    w.load_zones(str(tmp_path / "zones.csv"))
+    w.load_weather_documents(str(sources / "weather.json"))
+    w.refresh(gated=True)
+    before = fact_rows(w)
+    assert len(before) == 3 and w.table("silver", "zones").count() == 2
+
+    (tmp_path / "zones.csv").write_text('"LocationID","Borough","Zone","service_zone"\n1,"Queens","Jfk Airport","Airports"\n'
+                                        '2,"Atlantis","Alphabet City","Yellow Zone"\n')
+    w.load_zones(str(tmp_path / "zones.csv"))
+    w.load_trips(str(sources / "april"))
+    with pytest.raises(QualityGateFailed, match="Invalid borough value"):
+        w.refresh(gated=True)
+    assert rows(w.table("silver", "zones").select("borough")) == [("Manhattan",), ("Queens",)]
+    assert fact_rows(w) == before  # Silver trips took the new month; nothing behind the failed table was touched
+    assert w.table("silver", "trips").filter("bronze_source_month = '2026-04'").count() == 1
+    assert not list((tmp_path / "w").glob("*/*__new-*"))
+
+
+def test_a_gated_load_leaves_the_months_of_the_fact(spark, warehouse):
+    months = rows(warehouse.table("gold", "fact_taxi_trip").select("pickup_month").distinct())
+    before = fact_rows(warehouse)
+    spoilt = warehouse.table("silver", "trips").withColumn("payment_type", F.lit(77).cast("long"))
+    kept = Warehouse.table
+
+    def table(self, layer, name):
+        return spoilt if (layer, name) == ("silver", "trips") else kept(self, layer, name)
+    Warehouse.table = table
+    try:
+        with pytest.raises(QualityGateFailed, match="Invalid payment_type"):
+            warehouse.refresh_fact(gated=True)
+    finally:
+        Warehouse.table = kept
+    assert fact_rows(warehouse) == before
+    assert rows(warehouse.table("gold", "fact_taxi_trip").select("pickup_month").distinct()) == months
