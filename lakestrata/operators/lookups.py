@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Column | str, dim_key: str, take: dict[str, str],
@@ -28,22 +28,38 @@ def lookup(df: DataFrame, dim: DataFrame, on: Column | str, dim_key: str, take:
 def orphan_counts(df: DataFrame, references: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Rows per foreign key (``column -> (dimension, key)``) whose value no dimension row has.
 
-    Each foreign key reads its one column, counts its values before anything is shuffled, and matches
-    the counts, not the rows, in the common type of both keys. NULL values are not orphans. Columns: fk,
-    records_checked, orphans (one row per foreign key, also for an empty table).
+    The foreign keys of one type, in practice all, share one scan: each row gives its values under the number of their key, which are counted before
+    anything is shuffled, and the counts, not the rows, are matched. A value is compared in the common type of both keys, as a join would. NULL values
+    are not orphans. Columns: fk, records_checked, orphans (one row per foreign key, also for an empty table).
     """
+    by_type: dict[str, list[tuple[int, str]]] = {}
+    for i, (column, (dim, key)) in enumerate(references.items()):
+        by_type.setdefault(_common_type(df, column, dim, key), []).append((i, column))
     parts = []
-    for column, (dim, key) in references.items():
-        values = df.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-        members = dim.select(F.col(key).alias("_member")).dropna().distinct()
-        matched = values.join(members, F.col("_value") == F.col("_member"), "left")
+    for kind, columns in by_type.items():
+        each = F.array(*[F.struct(F.lit(i).alias("_fk"), F.col(c).cast(kind).alias("_value")) for i, c in columns])
+        values = df.select(F.inline(each)).groupBy("_fk", "_value").agg(F.count(F.lit(1)).alias("_n"))
+        members = reduce(DataFrame.unionByName, [references[c][0].select(F.lit(i).alias("_of"), F.col(references[c][1]).cast(kind).alias("_member"))
+                                                 .dropna().distinct() for i, c in columns])
+        matched = values.join(members, (F.col("_fk") == F.col("_of")) & (F.col("_value") == F.col("_member")), "left")
         lost = F.col("_value").isNotNull() & F.col("_member").isNull()
-        parts.append(matched.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("records_checked"),
-                                 F.coalesce(F.sum(F.when(lost, F.col("_n"))), F.lit(0)).alias("orphans"))
-                     .select(F.lit(column).alias("fk"), "records_checked", "orphans"))
+        sums = [s for i, _ in columns for s in (F.sum(F.when(F.col("_fk") == i, F.col("_n"))).alias(f"n{i}"),
+                                                F.sum(F.when((F.col("_fk") == i) & lost, F.col("_n"))).alias(f"o{i}"))]
+        rows = [F.struct(F.lit(c).alias("fk"), F.coalesce(f"n{i}", F.lit(0)).alias("records_checked"), F.coalesce(f"o{i}", F.lit(0)).alias("orphans"))
+                for i, c in columns]
+        parts.append(matched.agg(*sums).select(F.inline(F.array(*rows))))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _common_type(df: DataFrame, column: str, dim: DataFrame, key: str) -> str:
+    """The type in which the planner compares the two keys; only the plan is analysed."""
+    own, other = df.schema[column].dataType, dim.schema[key].dataType
+    if own == other:
+        return own.simpleString()
+    one = df.sparkSession.createDataFrame([], T.StructType([T.StructField("a", own), T.StructField("b", other)]))
+    return one.select(F.coalesce("a", "b").alias("c")).schema["c"].dataType.simpleString()
+
+
 def only_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Distinct non-NULL keys of ``left`` that ``right`` lacks."""
     return left.select(key).dropna().distinct().join(right.select(key), key, "left_anti")
