@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata.operators.duplicates import exact_duplicate_summary
-from lakestrata.profiling import profile
+from lakestrata.profiling import gaps, profile
+from lakestrata.profiling.key_search import minimal_keys
+from lakestrata.profiling.sketches import distinct_estimates, error_bound, store_sketches
+from lakestrata.session import new_path
 from lakestrata.sources.discovery import month_in
 from lakestrata.testbed.registry import query
 from lakestrata.testbed.sql import TRIPS, WEATHER, pct
@@ -179,3 +184,62 @@ def profile_time_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips whose pickup lies in another month than their file says."""
     raw = _raw(spark, sf_dir).withColumn("file_month", month_in(F.col("file_name")))
     return profile.out_of_month(raw, "lpep_pickup_datetime", "file_month")
+
+
+@query("profile_gap_intervals", """
+WITH ids AS (SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_orderkey % 100 BETWEEN 20 AND 90
+             UNION ALL SELECT -1000000000000 UNION ALL SELECT max(o_orderkey) + 500000000000 FROM orders),
+n AS (SELECT id, lag(id) OVER (ORDER BY id) AS before FROM ids)
+SELECT before + 1 AS gap_start, id - 1 AS gap_end, id - before - 1 AS missing FROM n WHERE id - before > 1
+""")
+def profile_gap_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches of order ids without a line, in a range of 1.5e12 ids."""
+    last = load(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
+    lines = load(spark, sf_dir, "lineitem").filter("l_orderkey % 100 BETWEEN 20 AND 90")
+    return gaps.gap_intervals(lines, "l_orderkey", -999_999_999_999, last + 499_999_999_999)
+
+
+@query("profile_missing_hours", """
+WITH h AS (SELECT DISTINCT date_trunc('hour', ts) AS h FROM events WHERE event_id % 7 = 0),
+n AS (SELECT h, lag(h) OVER (ORDER BY h) AS before FROM h)
+SELECT before + INTERVAL 1 HOUR AS gap_start, h - INTERVAL 1 HOUR AS gap_end, date_diff('hour', before, h) - 1 AS missing
+FROM n WHERE date_diff('hour', before, h) > 1
+""")
+def profile_missing_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches of hours without an event of one kind."""
+    return gaps.missing_hours(load(spark, sf_dir, "events").filter("event_id % 7 = 0"), "ts")
+
+
+_KEY_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"]
+
+
+def _subset(columns: tuple[str, ...]) -> str:
+    names = ", ".join(columns)
+    return f"SELECT '{','.join(columns)}' AS key_columns, {len(columns)} AS width, (SELECT count(*) FROM (SELECT DISTINCT {names} FROM lineitem)) AS n"
+
+
+@query("profile_minimal_keys", "WITH u AS (" + "\nUNION ALL ".join(_subset(c) for k in range(1, 7) for c in combinations(_KEY_COLUMNS, k)) + """),
+k AS (SELECT key_columns, width FROM u WHERE n = (SELECT count(*) FROM lineitem))
+SELECT * FROM k WHERE NOT EXISTS (SELECT 1 FROM k s WHERE s.width < k.width
+  AND list_has_all(string_split(k.key_columns, ','), string_split(s.key_columns, ',')))
+""")
+def profile_minimal_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All minimal unique column combinations of six columns."""
+    return minimal_keys(load(spark, sf_dir, "lineitem"), _KEY_COLUMNS)
+
+
+_COUNTED = ["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_returnflag"]
+
+
+@query("profile_distinct_sketch", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS row_count, count(DISTINCT {c}) AS exact, true AS within_bound FROM lineitem" for c in _COUNTED))
+def profile_distinct_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts from sketches of months stored in two steps, held against the exact counts."""
+    rows = load(spark, sf_dir, "lineitem").withColumn("ship_month", F.date_format("l_shipdate", "yyyy-MM"))
+    path = new_path(spark, "sketches")
+    for where in ("l_shipdate < TIMESTAMP_NTZ'1997-03-01'", "l_shipdate >= TIMESTAMP_NTZ'1997-02-01'"):
+        store_sketches(rows.filter(where), path, _COUNTED, "ship_month")
+    estimates = distinct_estimates(spark.read.parquet(path))
+    exact = profile.column_uniqueness(rows, _COUNTED).select("column_name", F.col("unique_values").alias("exact"))
+    near = F.abs(F.col("distinct_estimate") - F.col("exact")) <= error_bound() * F.col("exact")
+    return estimates.join(exact, "column_name").select("column_name", "row_count", "exact", near.alias("within_bound"))

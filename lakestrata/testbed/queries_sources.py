@@ -14,11 +14,12 @@ from lakestrata.plans.bronze import (ingest_array_documents, ingest_overwrite, i
                                      ingest_reference_csv, ingest_typed_records)
 from lakestrata.profiling.profile import schema_diff
 from lakestrata.session import materialize, new_path
-from lakestrata.sources.discovery import (landed_files, landed_months, missing_partitions, month_window, next_partition,
+from lakestrata.sources.discovery import (landed_files, month_in, landed_months, missing_partitions, month_window, next_partition,
                                           previous_month)
 from lakestrata.sources.files import (preview, query_path, read_array_documents, read_csv, read_parquet,
                                       read_records, read_records_apart, read_table)
 from lakestrata.sources.generated import hour_sequence
+from lakestrata.sources.schemas import file_schemas, schema_history
 from lakestrata.streaming.incremental import load_new_files
 from lakestrata.testbed.registry import query
 from lakestrata.testbed.standins import AT, load
@@ -381,3 +382,32 @@ def schema_diff_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     (orders.drop("o_orderstatus").withColumn("o_custkey", F.col("o_custkey").cast("string"))
      .withColumn("source_month", F.date_format("o_orderdate", "yyyy-MM")).write.parquet(path))
     return schema_diff(orders, read_parquet(spark, path))
+
+
+@query("schema_history", """
+WITH o AS (SELECT strftime(o_orderdate, '%Y-%m') AS m FROM orders),
+f AS (SELECT DISTINCT m FROM o),
+c AS (SELECT m, unnest([{'n': 'o_orderkey', 't': 'bigint'},
+                        {'n': 'o_custkey', 't': CASE WHEN m < '1997-01' THEN 'int' ELSE 'bigint' END},
+                        {'n': CASE WHEN m < '1998-01' THEN 'o_orderstatus' END, 't': 'string'},
+                        {'n': CASE WHEN m >= '1996-01' THEN 'o_totalprice' END, 't': 'double'},
+                        {'n': 'o_orderdate', 't': 'timestamp_ntz'},
+                        {'n': CASE WHEN m >= '1996-01' AND m < '1998-01' THEN 'o_orderpriority' END, 't': 'string'}]) AS s FROM f)
+SELECT s.n AS column_name, s.t AS data_type, min(m) AS first_month, max(m) AS last_month, count(*) AS files,
+       CASE s.n WHEN 'o_custkey' THEN 'type changed' WHEN 'o_orderstatus' THEN 'dropped' WHEN 'o_totalprice' THEN 'added'
+                WHEN 'o_orderpriority' THEN 'added, dropped' ELSE 'same' END AS finding
+FROM c WHERE s.n IS NOT NULL GROUP BY s.n, s.t
+""")
+def schema_history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed monthly files of four layouts: a column widened, one dropped, one added, one added and dropped; from the footers of all files."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    month, landed = F.date_format("o_orderdate", "yyyy-MM"), new_path(spark, "landing")
+    wide, narrow = F.col("o_custkey").cast("bigint"), F.col("o_custkey").cast("int")
+    layouts = [("0000", "1996-01", orders.withColumn("o_custkey", narrow).drop("o_totalprice", "o_orderpriority")),
+               ("1996-01", "1997-01", orders.withColumn("o_custkey", narrow)), ("1997-01", "1998-01", orders.withColumn("o_custkey", wide)),
+               ("1998-01", "9999", orders.withColumn("o_custkey", wide).drop("o_orderstatus", "o_orderpriority"))]
+    for first, last, rows in layouts:
+        of = rows.withColumn("landed", month).filter((F.col("landed") >= first) & (F.col("landed") < last))
+        of.repartition("landed").write.mode("append").partitionBy("landed").parquet(landed)
+    schemas = file_schemas(spark, landed_files(spark, landed))
+    return schema_history(schemas.withColumn("month", month_in(F.element_at(F.split("path", "/"), -2))))
