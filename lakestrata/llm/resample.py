@@ -4,7 +4,7 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z; feat
 counted. A feature's bucket is the CRC-32 of its UTF-8 bytes modulo ``BUCKETS``.
 
 * Head. One pass over the texts counts words and pairs of words in summaries of bounded size (Misra-Gries: every word or pair that makes up
-  more than 1 / ``SUMMARY`` of a task's is in its summary). The ``HEAD_WORDS`` and ``HEAD_PAIRS`` with the largest sums travel to the tasks with their exact CRC
+  more than 2 / ``SUMMARY`` of a task's is in its summary). The ``HEAD_WORDS`` and ``HEAD_PAIRS`` with the largest sums travel to the tasks with their exact CRC
   states. Both numbers are fixed and head words have at most ``HEAD_BYTES`` bytes, so what is broadcast has at most ``HEAD_WORDS`` * (``HEAD_BYTES`` + 9)
   + ``HEAD_PAIRS`` * 12 bytes (5.4 MB) at any size of the corpus.
 * Tail. Any other word takes its CRC directly. A feature that is not in the head takes it from the state of its beginning: the CRC of
@@ -30,18 +30,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import blocks, mix, prepare, texts, unused
-from lakestrata.llm.decontam import words_of
+from lakestrata.llm.decontam import FOLD
 from lakestrata.operators.keys import number_rows
 from lakestrata.session import materialize
 
 BUCKETS = 10_000
 HEAD_WORDS, HEAD_PAIRS = 1 << 16, 1 << 16
 HEAD_BYTES = 64
-SUMMARY = 1 << 18      # entries that a task's summary keeps
+SUMMARY = 1 << 16      # entries that a task's summary keeps
 LONG = 255             # bytes of a word up to which CRC states are joined by table
 SLOTS = 1 << 18        # of the pair table
 MIN_WORDS, PERCENT, SEED = 20, 5, 42
@@ -96,38 +97,41 @@ class Head:
     def slot(keys: np.ndarray) -> np.ndarray:
         return mix(keys.view(np.uint64)) & np.uint64(SLOTS - 1)
 
-    def crcs(self, lists: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """CRC of every feature of the word lists, and the list it belongs to: all words, then all pairs, then all triples."""
-        tail: dict[bytes, int] = {}
+    def crcs(self, words: list[bytes], number: np.ndarray, owner: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """CRC of every word, pair and triple, each with the document it belongs to. ``number`` are places in ``words``, ``owner`` rises."""
+        tail: list[bytes] = []
         known, n = self.number, len(self.words)
-        every = [w for words in lists for w in words]
-        number = np.fromiter((k if (k := known.get(w)) is not None else n + tail.setdefault(w, len(tail)) for w in every), np.int64, len(every))
-        crc = np.concatenate([self.crc, np.fromiter(map(zlib.crc32, tail), np.uint32, len(tail))])
-        spaced = np.concatenate([self.spaced, np.fromiter((zlib.crc32(b" " + w) for w in tail), np.uint32, len(tail))])
-        size = np.concatenate([self.size, np.fromiter(map(len, tail), np.int64, len(tail))])
-        owner = np.repeat(np.arange(len(lists)), [len(words) for words in lists])
+        place = np.empty(len(words), np.int64)
+        for k, w in enumerate(words):
+            if (at := known.get(w)) is None:
+                at = n + len(tail)
+                tail.append(w)
+            place[k] = at
+        crc = np.concatenate([self.crc, np.fromiter(map(zlib.crc32, tail), np.uint32, len(tail))])[place]
+        spaced = np.concatenate([self.spaced, np.fromiter((zlib.crc32(b" " + w) for w in tail), np.uint32, len(tail))])[place]
+        size = np.concatenate([self.size, np.fromiter(map(len, tail), np.int64, len(tail))])[place]
 
         def longer(states, at):
             """The CRC of a feature that goes on with the word at each of the places."""
-            length = size[number[at]]
-            out = joined(states, spaced[number[at]], np.minimum(length, LONG) + 1)
+            own = number[at]
+            length = size[own]
+            out = joined(states, spaced[own], np.minimum(length, LONG) + 1)
             for k in np.flatnonzero(length > LONG):
-                out[k] = zlib.crc32(b" " + every[at[k]], int(states[k]))
+                out[k] = zlib.crc32(b" " + words[own[k]], int(states[k]))
             return out
 
         one = crc[number]
         second = np.flatnonzero(owner[1:] == owner[:-1]) + 1
-        a, b = number[second - 1], number[second]
-        two = np.zeros(len(every), np.uint32)  # by the place of the last word
+        a, b = place[number[second - 1]], place[number[second]]
+        two = np.zeros(len(number), np.uint32)  # by the place of the last word
         key = a * HEAD_WORDS + b
         slot = self.slot(key)
         frequent = (a < n) & (b < n) & (self.key[slot] == key)
         two[second[frequent]] = self.state[slot[frequent]]
         rare = second[~frequent]
         two[rare] = longer(one[rare - 1], rare)
-        third = second[1:][second[1:] == second[:-1] + 1] if len(second) else second
-        three = longer(two[third - 1], third)
-        return np.concatenate((one, two[second], three)), np.concatenate((owner, owner[second], owner[third]))
+        third = second[1:][second[1:] == second[:-1] + 1]
+        return [(one, owner), (two[second], owner[second]), (longer(two[third - 1], third), owner[third])]
 
 
 def _narrow(docs: DataFrame, text_col: str, id_col: str | None = None) -> DataFrame:
@@ -135,9 +139,17 @@ def _narrow(docs: DataFrame, text_col: str, id_col: str | None = None) -> DataFr
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text) if id_col else docs.select(text)
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes], np.ndarray, np.ndarray]]:
+    """Blocks of rows with their distinct words, the number of each word in turn, and the row it is in. Arrow splits and numbers the words."""
     for batch in (b for part in batches for b in blocks([part], "text", 4 << 20)):
-        yield batch, [words_of(t) for t in texts(batch, "text")]
+        folded = pa.array([t.translate(FOLD).strip() for t in texts(batch, "text")], pa.binary())
+        lists = pc.ascii_split_whitespace(folded.view(pa.string()))
+        flat = lists.flatten()
+        owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+        is_word = pc.binary_length(flat).to_numpy() > 0  # a text without words splits into one empty part
+        coded = flat.dictionary_encode()
+        words = coded.dictionary.view(pa.binary()).to_pylist()
+        yield batch, words, coded.indices.to_numpy().astype(np.int64)[is_word], owner[is_word]
 
 
 def trimmed(counts: Counter, size: int) -> Counter:
@@ -149,19 +161,25 @@ def trimmed(counts: Counter, size: int) -> Counter:
 
 
 def summaries(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``feature, n``: each task's summary of its words (without a space) and pairs of words (with one)."""
+    """``feature, n``: each task's summary of its words (without a space) and pairs of words (with one).
+
+    What makes up no more than 1 / ``SUMMARY`` of a block is left out of the block's counts, and a summary that grows over twice its size is trimmed. Each
+    takes at most the ``SUMMARY``-th part of all from a count.
+    """
     def run(batches):
         held = [Counter(), Counter()]
-        for _, lists in _lists(batches):
-            short = [[w if len(w) <= HEAD_BYTES else b"" for w in words] for words in lists]
-            held[0].update(w for words in short for w in words if w)
-            names: dict[bytes, int] = {}
-            number = np.fromiter((names.setdefault(w, len(names)) for words in short for w in words), np.int64)
-            owner = np.repeat(np.arange(len(lists)), [len(words) for words in lists])
-            pairs, n = np.unique((number[:-1] * len(names) + number[1:])[owner[1:] == owner[:-1]], return_counts=True)
-            word = list(names)
-            held[1].update({word[p // len(names)] + b" " + word[p % len(names)]: k for p, k in zip(pairs[n > 1].tolist(), n[n > 1].tolist())
-                            if word[p // len(names)] and word[p % len(names)]})
+        for _, words, number, owner in _tokens(batches):
+            times = np.bincount(number, minlength=len(words))
+            size = np.fromiter(map(len, words), np.int64, len(words))
+            often = (times * SUMMARY > len(number)) & (size <= HEAD_BYTES) & (size > 0)  # a pair is no more frequent than its words
+            at = np.flatnonzero(often)
+            for k, n in zip(at.tolist(), times[at].tolist()):
+                held[0][words[k]] += n
+            both = (owner[1:] == owner[:-1]) & often[number[1:]] & often[number[:-1]]
+            pairs, n = np.unique(number[:-1][both] * len(words) + number[1:][both], return_counts=True)
+            keep = n * SUMMARY > len(number)
+            for p, k in zip(pairs[keep].tolist(), n[keep].tolist()):
+                held[1][words[p // len(words)] + b" " + words[p % len(words)]] += k
             held = [trimmed(c, SUMMARY) if len(c) > 2 * SUMMARY else c for c in held]
         for c in held:
             found = list(trimmed(c, SUMMARY).items())
@@ -185,8 +203,9 @@ def bucket_totals(docs: DataFrame, head, text_col: str = "text") -> DataFrame:
     """``bucket, n``: features of all texts in each bucket. ``head`` is a broadcast ``Head``."""
     def run(batches):
         total = np.zeros(BUCKETS, np.int64)
-        for _, lists in _lists(batches):
-            total += np.bincount(head.value.crcs(lists)[0] % BUCKETS, minlength=BUCKETS)
+        for _, *tokens in _tokens(batches):
+            for crc, _ in head.value.crcs(*tokens):
+                total += np.bincount(crc % np.uint32(BUCKETS), minlength=BUCKETS)
         at = np.flatnonzero(total)
         yield pa.record_batch({"bucket": pa.array(at, pa.int64()), "n": pa.array(total[at])})
 
@@ -209,23 +228,18 @@ def noise(doc_id: int, seed: int = SEED) -> int:
 def weigh(docs: DataFrame, head, gain, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:
     """``doc_id, n_words, n_features, weight, score`` of every row; ``head`` and ``gain`` are broadcast."""
     def run(batches):
-        for batch, lists in _lists(batches):
-            crc, owner = head.value.crcs(lists)
-            weight, low = np.zeros(len(lists), np.int64), 0
-            worth = gain.value[crc % BUCKETS]
-            for k in range(3):  # owners rise within the words, the pairs and the triples
-                part = sum(max(0, len(words) - k) for words in lists)
-                own = owner[low:low + part]
-                if part:
+        for batch, words, number, owner in _tokens(batches):
+            rows = batch.num_rows
+            weight, features = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+            for crc, own in head.value.crcs(words, number, owner):
+                if len(own):
                     start = np.concatenate(([0], np.flatnonzero(own[1:] != own[:-1]) + 1))
-                    weight[own[start]] += np.add.reduceat(worth[low:low + part], start)
-                low += part
-            ids = batch.column("doc_id").to_pylist()
-            score = [None if i is None else int(w) + noise(i, seed) for i, w in zip(ids, weight)]
+                    weight[own[start]] += np.add.reduceat(gain.value[crc % np.uint32(BUCKETS)], start)
+                    features += np.bincount(own, minlength=rows)
+            score = [None if i is None else int(w) + noise(i, seed) for i, w in zip(batch.column("doc_id").to_pylist(), weight)]
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id"), "n_words": pa.array([len(x) for x in lists], pa.int64()),
-                "n_features": pa.array(np.bincount(owner, minlength=len(lists)).astype(np.int64)), "weight": pa.array(weight),
-                "score": pa.array(score, pa.int64())})
+                "doc_id": batch.column("doc_id"), "n_words": pa.array(np.bincount(owner, minlength=rows).astype(np.int64)),
+                "n_features": pa.array(features), "weight": pa.array(weight), "score": pa.array(score, pa.int64())})
 
     return _narrow(docs, text_col, id_col).mapInArrow(run, "doc_id long, n_words long, n_features long, weight long, score long")
 
