@@ -6,8 +6,9 @@ among the parts and how many tokens the placeholder stands for. The template the
 
     <s>[INST]role[/INST]content</s>
 
-Escapes are reversible: ``~`` becomes ``~0`` and control string number k becomes ``~k``. No control string contains
-``~``, and none can arise across the edge of a text and a mark, so the output splits at its marks without doubt.
+Escapes are reversible: ``~`` becomes ``~0`` and control string number k becomes ``~k``. Control strings are escaped after the parts are joined, so
+also one that only arises where two text parts meet; until then an attachment is a mark that no text can hold, as a text's ``~`` is followed by 0. No
+control string contains ``~``, and none can arise across the edge of a text and a mark, so the output splits at its marks without doubt.
 
 Defined results: null text, role or part list is empty; parts of another type count as text; turns of one conversation
 with equal numbers are ordered by role, then content; a null turn comes first; null conversation ids form one
@@ -32,14 +33,25 @@ PART = "struct<type:string,text:string,ref:string,width:int,height:int,seconds:d
 PATCH, FRAMES_PER_SECOND, TOKENS_PER_PAGE = 14, 25, 512
 
 
-def escape(text: Column) -> Column:
-    pairs = [("~", "~0"), *((c, f"~{k}") for k, c in enumerate(CONTROL, 1))]
+ESCAPES = [(c, f"~{k}") for k, c in enumerate(CONTROL, 1)]
+MARKS = {kind: f"~!{kind}!" for kind in PLACEHOLDERS}
+
+
+def replaced(text: Column, pairs: list[tuple[str, str]]) -> Column:
     return reduce(lambda t, p: F.replace(t, F.lit(p[0]), F.lit(p[1])), pairs, text)
 
 
+def escape(text: Column) -> Column:
+    return replaced(text, [("~", "~0"), *ESCAPES])
+
+
 def unescape(text: Column) -> Column:
-    pairs = [*((f"~{k}", c) for k, c in enumerate(CONTROL, 1)), ("~0", "~")]
-    return reduce(lambda t, p: F.replace(t, F.lit(p[0]), F.lit(p[1])), pairs, text)
+    return replaced(text, [*((e, c) for c, e in ESCAPES), ("~0", "~")])
+
+
+def flattened(strings: Column) -> Column:
+    """The content of a turn from its parts' strings."""
+    return replaced(F.array_join(strings, ""), [*ESCAPES, *((MARKS[kind], shown) for kind, shown in PLACEHOLDERS.items())])
 
 
 def text_part(text: Column) -> Column:
@@ -60,11 +72,12 @@ def tokens(part: Column) -> Column:
 
 
 def visit(parts: Column) -> Column:
-    """What becomes of each part: its string and, for an attachment, reference, place and tokens."""
+    """What becomes of each part: its string, to be flattened, and, for an attachment, reference, place and tokens."""
     def one(part, place):
-        mark = reduce(lambda c, kv: c.when(part["type"] == kv[0], F.lit(kv[1])), PLACEHOLDERS.items(), F)
+        mark = reduce(lambda c, kv: c.when(part["type"] == kv[0], F.lit(kv[1])), MARKS.items(), F)
         known = F.coalesce(part["type"].isin(list(PLACEHOLDERS)), F.lit(False))
-        return F.struct(F.when(known, mark.otherwise(F.lit(None))).otherwise(escape(F.coalesce(part["text"], F.lit("")))).alias("string"),
+        text = F.replace(F.coalesce(part["text"], F.lit("")), F.lit("~"), F.lit("~0"))
+        return F.struct(F.when(known, mark.otherwise(F.lit(None))).otherwise(text).alias("string"),
                         known.alias("attached"), place.alias("place"), part["type"].alias("type"), part["ref"].alias("ref"),
                         F.when(known, tokens(part)).otherwise(F.lit(0).cast("long")).alias("tokens"))
     return F.transform(F.filter(F.coalesce(parts, F.array().cast(f"array<{PART}>")), lambda p: p.isNotNull()), one)
@@ -79,7 +92,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     """
     seen = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"),
                         visit(F.col(parts_col)).alias("parts"))
-    content = F.array_join(F.transform("parts", lambda p: p["string"]), "")
+    content = flattened(F.transform("parts", lambda p: p["string"]))
     attached = F.transform(F.filter("parts", lambda p: p["attached"]), lambda p: F.struct(p["place"], p["type"], p["ref"], p["tokens"]))
     marked = (seen.withColumn("content", content).withColumn("head", F.concat(F.lit(BEGIN + OPEN), escape(F.col("role")), F.lit(CLOSE)))
               .withColumn("attached", attached).withColumn("string", F.concat("head", "content", F.lit(END))).drop("parts"))

@@ -123,6 +123,33 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(turns))
 
 
+@query("chat_parts", f"""
+    WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n,
+                      ['image', 'audio', 'document'][1 + turn % 3] AS kind FROM conversations),
+    p AS (SELECT *, text || '<' || kind || '>' AS content, CASE kind WHEN 'image' THEN ceil((turn + 20) / 14.0) * ceil(length(text) / 14.0)
+                 WHEN 'audio' THEN length(text) * 25 ELSE (turn + 1) * 512 END AS tokens FROM r)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || content || chr(10), '' ORDER BY n)) AS turns_sha256,
+           CAST(sum(length('<s>[INST][/INST]</s>') + length({escaped_sql('role')}) + length({escaped_sql('text')}) + length(kind) + 2) AS BIGINT) AS formatted_chars,
+           CAST(sum(greatest(1, tokens)) AS BIGINT) AS attachment_tokens, sha256(string_agg(kind || ':' || turn || ';', '' ORDER BY n)) AS refs_sha256
+    FROM p GROUP BY conv_id""")
+def chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations with their texts cut into two parts and an image, a sound or a document after them."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    half, size = F.floor(F.length("text") / 2).cast("int"), F.length("text").cast("int")
+    kind = F.element_at(F.array(*map(F.lit, ("image", "audio", "document"))), (F.col("turn") % 3 + 1).cast("int"))
+
+    def part(kind, text=None, **values):
+        rest = {"ref": "string", "width": "int", "height": "int", "seconds": "double", "pages": "int"}
+        return F.struct(kind.alias("type"), F.lit(text).cast("string").alias("text"), *(F.lit(values.get(n)).cast(t).alias(n) for n, t in rest.items()))
+    attached = part(kind, ref=F.concat(kind, F.lit(":"), F.col("turn"), F.lit(";")), width=F.col("turn") + 20, height=size, seconds=size, pages=F.col("turn") + 1)
+    parts = F.array(part(F.lit("text"), F.substr("text", F.lit(1), half)), part(F.lit("text"), F.substr("text", half + 1, size)), attached)
+    chats = chat.format_chats(said.withColumn("parts", parts))
+    turns = F.transform(chat.read_back(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    refs = F.array_join(F.transform("attachments", lambda a: a["ref"]), "")
+    return chats.select("conv_id", "n_turns", F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+                        "attachment_tokens", F.sha2(refs, 256).alias("refs_sha256"))
+
+
 @query("op11_simhash")
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its SimHash fingerprint and group."""

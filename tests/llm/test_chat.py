@@ -57,3 +57,26 @@ def test_ties_nulls_repeats_and_clashing_columns(spark):
 
 def test_empty_table(spark):
     assert chat.digests(chat.format_chats(turns(spark, []))).collect() == []
+
+
+def text_of(*texts):
+    return [("text", t, None, None, None, None, None) for t in texts]
+
+
+def test_control_strings_across_neighbouring_parts_are_escaped(spark):
+    image = [("image", None, "a.png", 14, 14, None, None)]
+    cases = [text_of(c[:k], c[k:] + "hello") for c in [*chat.CONTROL, *(f"~{k}" for k in range(8)), *chat.MARKS.values()] for k in range(len(c) + 1)]
+    cases += [text_of(*c) for c in chat.CONTROL]  # letter by letter
+    cases += [text_of(c[:k], "", None, c[k:]) for c in chat.CONTROL for k in range(len(c))]
+    cases += [text_of("<") + image + text_of("image>"), text_of("</s") + image + text_of(">"), text_of("[") + image + text_of("INST]"), image + image + text_of("<s>")]
+    cases += [text_of(a[:2], a[2:] + b[:3], b[3:]) for a in chat.CONTROL for b in chat.CONTROL]
+    rows = [(k, 0, "assistant", parts) for k, parts in enumerate(cases)]
+    chats = chat.format_chats(spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat.PART}>"))
+    got = {r["conv_id"]: r for r in chats.withColumn("turns", chat.read_back(F.col("formatted"))).withColumn("images", F.size("attachments")).collect()}
+    for k, parts in enumerate(cases):
+        images = sum(p[0] == "image" for p in parts)
+        r = got[k]
+        said = "".join("<image>" if p[0] == "image" else p[1] or "" for p in parts)
+        assert [tuple(t) for t in r["turns"]] == [("assistant", said)], (parts, r["formatted"])
+        assert r["images"] == images == r["formatted"].count("<image>")
+        assert r["formatted"].count("</s>") == r["formatted"].count("<s>") == r["formatted"].count("[INST]") == r["formatted"].count("[/INST]") == 1
