@@ -4,11 +4,12 @@ Detected entities (e-mail, phone, IP address, payment card, social security numb
 replacements of their own type. A replacement depends only on key, kind and normal form, so the same entity has the same one in
 every document, whatever its format. It keeps the format: case, punctuation and digit groups, country code, first card digit and whether
 the check digit fits, letters for letters and digits for digits in an address, script (Latin, Cyrillic, Greek) of a name, and the
-gender of a given name by its ending, as told by the title or a list.
+gender of a given name by its ending, as told by the title of the mention (Mr Alex Berg, Mrs Alex Berg) or else by a list of given names.
 
 Digits go through a keyed Feistel permutation, which cannot collide; the others are keyed hashes, which can. So all distinct entities of the
-corpus are checked, persons by the words of their names: of those with one replacement all but the first, and all whose replacement is
-real, try again with the next attempt number until none is left. Every attempt makes e-mail addresses and name words longer, so there are
+corpus are checked, persons by the words of their names: of those with one replacement all but the first, and all e-mail addresses and name words whose
+replacement occurs in the corpus, try again with the next attempt number until none is left. Numbers (phone, IP, card, social security) are permuted among all
+numbers of their form, so theirs can be a number in use somewhere, in the corpus too; e-mail surrogates end in a reserved domain. Every attempt makes e-mail addresses and name words longer, so there are
 enough for any corpus. A word has one attempt number wherever it stands, so a surname alone or with any given name has one surrogate.
 Only the entities and words that needed it are matched with the documents, by a join.
 
@@ -34,7 +35,8 @@ GIVEN = {"m": ("John", "James", "Robert", "Michael", "David", "Thomas", "Hans",
 # The patterns of entities, in the order in which they are tried at a place.
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 NAME_WORD = r"\p{Lu}\p{L}+(?:['’-]\p{L}+)?"
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+# Groups without a bound are possessive: Java's regex would match others by recursion, which a few kB of text would drive out of the stack.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.(?=[A-Za-z]{2}|[A-Za-z0-9-]++\.))++[A-Za-z]{2,}"
 IP = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 CARD = r"(?<!\d)(?:(?:\d{4}[ -]){3}\d{4}|\d{13,19})(?!\d)"
@@ -165,14 +167,22 @@ def stem(word: Column, key: str, attempt: Column) -> Column:
                        lambda h: reduce(lambda c, s: c.when(script_of(word) == s, spell(s, h)), SYLLABLES, F))[0]
 
 
-def new_person(norm: Column, key: str, attempt: Callable[[Column], Column]) -> Column:
-    """Each word of a name by itself, so that a surname alone or with different given names keeps its surrogate."""
+def gender_of(raw: Column) -> Column:
+    """What the title of a mention says: m, f, or n for a neutral title or none."""
+    def titled(gender):
+        return raw.rlike(rf"^(?:{'|'.join(TITLES[gender])})\.? ")
+    return F.when(titled("f"), "f").when(titled("m"), "m").otherwise("n")
+
+
+def new_person(norm: Column, key: str, attempt: Callable[[Column], Column], told: Column) -> Column:
+    """Each word of a name by itself, so that a surname alone or with different given names keeps its surrogate. ``told`` is the title's gender."""
     females, males = (literal([g.lower() for g in GIVEN[g_]]) for g_ in "fm")
     words = F.split(norm, " ")
 
     def word(w, i):
         given = (i == 0) & (F.size(words) > 1)
-        gender = F.when(given & F.array_contains(females, w), "f").when(given & F.array_contains(males, w), "m").otherwise("n")
+        listed = F.when(F.array_contains(females, w), "f").when(F.array_contains(males, w), "m").otherwise("n")
+        gender = F.when(given, F.when(told != "n", told).otherwise(listed)).otherwise("n")
 
         def end(script):
             return reduce(lambda c, g: c.when(gender == g, ENDINGS[script][g]), "mfn", F)
@@ -180,10 +190,10 @@ def new_person(norm: Column, key: str, attempt: Callable[[Column], Column]) -> C
     return F.array_join(F.transform(words, word), " ")
 
 
-def surrogate(kind: Column, norm: Column, key: str, attempt: Callable[[Column], Column]) -> Column:
-    """The normal form of an entity's replacement; ``attempt`` gives the attempt number of a normal form or name word."""
+def surrogate(kind: Column, norm: Column, key: str, attempt: Callable[[Column], Column], told: Column | None = None) -> Column:
+    """The normal form of an entity's replacement; ``attempt`` gives the attempt number of a normal form or name word, ``told`` a person's gender."""
     tries = attempt(norm).cast("string")
-    return (F.when(kind == "email", new_email(norm, key, tries)).when(kind == "person", new_person(norm, key, attempt)).when(kind == "ip", new_ip(norm, key, tries))
+    return (F.when(kind == "email", new_email(norm, key, tries)).when(kind == "person", new_person(norm, key, attempt, F.lit("n") if told is None else told)).when(kind == "ip", new_ip(norm, key, tries))
             .when(kind == "ssn", permuted(norm, key, F.lit("ssn"), tries)).when(kind == "card", new_card(norm, key, tries)).otherwise(new_phone(norm, key, tries)))
 
 
@@ -253,7 +263,7 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataF
     def replaced(e):
         def attempt(name):
             return F.coalesce(F.try_element_at(F.col("tries"), F.concat_ws(" ", e["kind"], name)), F.lit(0))
-        return F.struct(e["kind"].alias("kind"), render(e["raw"], e["kind"], surrogate(e["kind"], e["norm"], key, attempt)).alias("replacement"))
+        return F.struct(e["kind"].alias("kind"), render(e["raw"], e["kind"], surrogate(e["kind"], e["norm"], key, attempt, gender_of(e["raw"]))).alias("replacement"))
 
     swapped = held.withColumn("entities", F.transform("found", replaced))
     between = F.split("text", ENTITY, -1)

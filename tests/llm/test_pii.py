@@ -87,3 +87,56 @@ def test_digit_permutation_is_one_to_one(spark):
 
 def test_empty_table(make_docs):
     assert pii.replace_entities(make_docs([]), "k").collect() == []
+
+
+def test_megabytes_of_every_repeated_unit_pass(make_docs):
+    units = ["b.", "a@", "a@b.", "1", "1 ", "1-", "1.", "12 34 ", "+1 555 ", "+12 ", "(555) ", "555-1234 ", "a.b@c.", "Mr ", "Mr A", "Ab-", "Ab'", "%", "John ", "é", ".", "@", "-", "x"]
+    rows = [(k, ("a@" if k % 2 else "") + unit * (1_000_000 // len(unit)) + " end x@y.org") for k, unit in enumerate(units)]
+    rows += [(100 + k, "a@" + "b." * n + "org") for k, n in enumerate((1500, 3000, 500_000))]
+    got = {r["doc_id"]: r["t"] for r in pii.replace_entities(make_docs(rows).repartition(len(rows)), "k").select("doc_id", F.substring("text", -100, 100).alias("t")).collect()}
+    assert len(got) == len(rows) and not any("x@y.org" in t for t in got.values()) and all(t.endswith(".example.org") for t in got.values())
+
+
+@pytest.mark.parametrize("text, found", [
+    ("x@y.org.", ["x@y.org"]), ("x@y.org, a.b-c@d-e.f.museum!", ["x@y.org", "a.b-c@d-e.f.museum"]), ("x@y", []), ("x@y.c", []), ("x@y.c1", []), ("x@.org", []),
+    ("x@y..org", []), ("x@y.com.1", ["x@y.com"]), ("@y.org", []), ("a@b@c.org", ["b@c.org"]), ("x@sub.y.org.uk", ["x@sub.y.org.uk"]), ("x@y.org2", ["x@y.org"])])
+def test_addresses(spark, text, found):
+    got = spark.createDataFrame([(text,)], "t string").select(pii.find(F.col("t")).alias("f")).first()["f"]
+    assert [e["raw"] for e in got] == found
+
+
+def test_gender_follows_the_title_of_names_that_no_list_has(make_docs):
+    text = "Mr Alex Berg; Mrs Alex Berg; Dr Alex Berg; Frau Kim Olsen; Señor Kim Olsen; Г-жа Саша Белова; Г-н Саша Белов; Mrs Berg"
+    names = [e["replacement"].split(" ") for e in pii.replace_entities(make_docs([(1, text)]), "k").first()["entities"]]
+    given = [n[1] for n in names]
+    assert given[0].endswith("n") and given[1] == given[0] + "a" and given[2].endswith("s") and given[2][:-1] == given[0][:-1]
+    assert given[3] == given[4] + "a" and given[5] == given[6] + "а" and given[6].endswith("н")
+    assert names[0][2] == names[1][2] == names[2][2] == names[7][1] and names[3][2] == names[4][2]
+
+
+def brute_mentions(text):
+    """E-mail addresses, dotted quads and social security numbers by hand-written scanning."""
+    out, i = [], 0
+    local = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+    for word in re.split(r"[ ,;!()]", text):
+        name, at, host = word.partition("@")
+        labels = host.rstrip(".").split(".")
+        if at and name and set(name) <= local and len(labels) > 1 and all(re.fullmatch("[A-Za-z0-9-]+", x) for x in labels) and re.fullmatch("[A-Za-z]{2,}", labels[-1]):
+            out.append(("email", word.rstrip(".").lower()))
+        parts = word.rstrip(".").split(".")
+        if len(parts) == 4 and all(p.isdigit() and int(p) < 256 and (p == "0" or p[0] != "0") for p in parts):
+            out.append(("ip", ".".join(parts)))
+        digits = word.rstrip(".").split("-")
+        if [len(d) for d in digits] == [3, 2, 4] and all(d.isdigit() for d in digits):
+            out.append(("ssn", "".join(digits)))
+    return out
+
+
+def test_detection_equals_a_hand_written_scan(spark):
+    import random
+    rnd = random.Random(3)
+    pool = ["x@y.org", "a.b+c@d-e.co.uk", "10.0.0.1", "255.255.255.256", "1.2.3", "123-45-6789", "12-345-6789", "word", "no@dots", "A@B.COM.", "8.8.8.8.", "v1.2.3.4.5", "x@-.org", "0.0.0.0"]
+    texts = [" ".join(rnd.choice(pool) + rnd.choice(["", "", ",", ";"]) for _ in range(12)) for _ in range(200)]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", pii.find(F.col("t")).alias("f")).collect()
+    for r in got:
+        assert [(e["kind"], e["norm"]) for e in r["f"]] == brute_mentions(texts[r["i"]]), texts[r["i"]]
