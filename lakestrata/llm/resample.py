@@ -4,9 +4,10 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z; feat
 counted. A feature's bucket is the CRC-32 of its UTF-8 bytes modulo ``BUCKETS``.
 
 * Head. One pass over the texts counts words and pairs of words in summaries of bounded size (Misra-Gries: every word or pair that makes up
-  more than 2 / ``SUMMARY`` of a task's is in its summary). The ``HEAD_WORDS`` and ``HEAD_PAIRS`` with the largest sums travel to the tasks with their exact CRC
-  states. Both numbers are fixed and head words have at most ``HEAD_BYTES`` bytes, so what is broadcast has at most ``HEAD_WORDS`` * (``HEAD_BYTES`` + 9)
-  + ``HEAD_PAIRS`` * 12 bytes (5.4 MB) at any size of the corpus.
+  more than 2 / ``SUMMARY`` of a task's is in its summary). Words with more than the ``HEAD_WORDS``-th part of all counts, and pairs with more than the
+  ``HEAD_PAIRS``-th part, travel to the tasks with their exact CRC states. There can be no more of them than these fixed numbers, and head words have at most
+  ``HEAD_BYTES`` bytes, so what comes to the driver has at most ``HEAD_WORDS`` * ``HEAD_BYTES`` + ``HEAD_PAIRS`` * (2 * ``HEAD_BYTES`` + 1) bytes (12.6 MB),
+  and what is broadcast ``HEAD_WORDS`` * (``HEAD_BYTES`` + 16) + ``SLOTS`` * 12 (8.4 MB), at any size of the corpus.
 * Tail. Any other word takes its CRC directly. A feature that is not in the head takes it from the state of its beginning: the CRC of
   ``a b`` follows from the CRC of ``a``, that of `` b`` and the length of b, as CRC-32 is linear; words longer than ``LONG`` bytes run through it byte by byte.
 
@@ -191,12 +192,16 @@ def summaries(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def frequent_head(docs: DataFrame, text_col: str = "text") -> Head:
-    """The head of all texts. What comes to the driver is bounded by the head's size."""
-    sums = materialize(summaries(docs, text_col).groupBy("feature").agg(F.sum("n").alias("n")), "resample-head")
-    is_pair = F.instr(F.col("feature").cast("string"), " ") > 0
-    first = [sums.where(kind).orderBy(F.desc("n"), "feature").limit(most).select("feature") for kind, most in ((~is_pair, HEAD_WORDS), (is_pair, HEAD_PAIRS))]
-    words, pairs = ([bytes(r[0]) for r in found.collect()] for found in first)
-    return Head(words, [tuple(p.split(b" ")) for p in pairs])
+    """The head of all texts: words with more than 1 / ``HEAD_WORDS`` of the counts of all words, so fewer than ``HEAD_WORDS``, and pairs likewise."""
+    sums = materialize(summaries(docs, text_col).groupBy("feature").agg(F.sum("n").alias("n")).withColumn(
+        "is_pair", F.instr(F.col("feature").cast("string"), " ") > 0), "resample-head")
+    total = {r["is_pair"]: r["n"] for r in sums.groupBy("is_pair").agg(F.sum("n").alias("n")).collect()}
+    most = {False: HEAD_WORDS, True: HEAD_PAIRS}
+
+    def frequent(kind: bool) -> list[bytes]:
+        rows = sums.where((F.col("is_pair") == kind) & (F.col("n") * most[kind] > total.get(kind, 0))).select("n", "feature").collect()
+        return [bytes(r["feature"]) for r in sorted(rows, key=lambda r: (-r["n"], bytes(r["feature"])))]
+    return Head(frequent(False), [tuple(p.split(b" ")) for p in frequent(True)])
 
 
 def bucket_totals(docs: DataFrame, head, text_col: str = "text") -> DataFrame:
