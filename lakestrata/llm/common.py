@@ -49,6 +49,11 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def strings(batch: pa.RecordBatch, column: str) -> list[str]:
+    """The texts of a binary column; null is empty, and bytes that are no UTF-8 count as U+FFFD."""
+    return [x.decode("utf-8", "replace") if x else "" for x in batch.column(column).to_pylist()]
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have, case aside."""
     taken = {c.lower() for c in df.columns}

@@ -10,9 +10,11 @@ all words if it has fewer, nothing if it has none. Two documents are linked if 1
    under that distance share a key. With 12 chunks of 6, a pair at similarity 0.8 shares none with a chance of 3e-6 (0.345 ** 12).
 3. The smallest member of a key's bucket is its center; all members of the buckets with one center are a group. Each member is compared with its
    centers on the full sets: as many pairs as members. Links give components.
-4. A group that still holds several components may hide links between them. It is dealt out in blocks of bounded size, every two of which
-   meet in some task, together with the full sets. There signatures rule out pairs beyond ``DISTANCE`` and full sets decide the others. Only links
-   that merge components come out, so no candidate is lost and no pair that is none is written.
+4. A group that still holds several components may hide links between them. If it is larger than a block, members leave whose rarest shingles nobody
+   of another component shares, which by the prefix principle have no link there: of pages that only share a passage, all. The others are dealt out in
+   blocks of bounded size, every two of which meet in some task, together with the full sets. There signatures rule out pairs beyond ``DISTANCE``
+   and full sets decide the others. Only links that merge components come out, so no candidate is lost and no pair that is none is written.
+   (What still grows with the square of a group, at one row for ``BLOCK`` pairs, are members that do share rare shingles across components.)
 
 The new links complete the components. Nothing is collected to the driver but counts.
 
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import WordHashes, blocks, mix, prepare, texts
+from lakestrata.llm.common import WordHashes, blocks, mix, prepare, texts, unused
 from lakestrata.session import materialize
 
 CHUNKS, SYMBOLS = 12, 6
@@ -71,6 +73,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def features(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """``doc_id, n_shingles, digest, signature`` of every row."""
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
 
     def run(batches):
@@ -176,16 +179,48 @@ def linked(ids, label, own, signs, starts, values, percent: int) -> list[tuple[i
     return out
 
 
+def contenders(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those members (``center, member, label``) that can be linked with one of another label in their group.
+
+    Sets ordered by how often their shingles occur in the group, rarest first, can only reach ``percent`` if their first
+    size - ceil(size * percent / 100) + 1 shingles have one in common. Shingles that nobody else in the group has take their places in front and drop out.
+    """
+    each = members.join(sets, "member").select("center", "member", "label", F.size("set").alias("size"), F.explode("set").alias("shingle"))
+    often = each.groupBy("center", "shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    own = (each.join(often, ["center", "shingle"]).groupBy("center", "member", "label", "size")
+           .agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("rare")))
+    places = F.expr(f"size(rare) - cast(ceil(size * {percent} / 100) as int) + 1")
+    first = materialize(own.withColumn("places", places).where("places > 0")
+                        .select("center", "member", "label", F.explode(F.slice("rare", F.lit(1), F.col("places"))).alias("r"))
+                        .select("center", "member", "label", "r.shingle"), "prefixes")
+    across = first.groupBy("center", "shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return first.join(across, ["center", "shingle"], "left_semi").select("center", "member", "label").distinct()
+
+
+def dealt(named: DataFrame, parts: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members of each group in every pair of blocks that theirs is in, with signature and set."""
+    return (named.join(parts, "center").join(classes.select("member", "signature"), "member").join(sets, "member")
+            .withColumn("own", F.expr("cast(pmod(xxhash64(member, 7), parts) as int)"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "member", "label", "signature", "set"))
+
+
+def open_groups(named: DataFrame) -> DataFrame:
+    """``center, parts`` of the groups that hold several labels: into how many blocks they go."""
+    return (named.groupBy("center").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+            .where("low <> high").select("center", F.expr(f"cast((n + {BLOCK - 1}) div {BLOCK} as int)").alias("parts")))
+
+
 def links_across(groups: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components of one group. At most as many rows come out of a block as it has members."""
     named = (groups.join(labels, groups["member"] == labels["node"], "left")
              .select("center", "member", F.coalesce("component", "member").alias("label")))
-    open_groups = (named.groupBy("center").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
-                   .where("low <> high").select("center", F.expr(f"cast((n + {BLOCK - 1}) div {BLOCK} as int)").alias("parts")))
-    rows = (named.join(open_groups, "center").join(classes.select("member", "signature"), "member").join(sets, "member")
-            .withColumn("own", F.expr("cast(pmod(xxhash64(member, 7), parts) as int)"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select("center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "member", "label", "signature", "set"))
+    parts = materialize(open_groups(named), "open-groups")
+    rows = dealt(named, parts.where("parts = 1"), classes, sets)
+    wide = parts.where("parts > 1")
+    if not wide.isEmpty():
+        left = materialize(contenders(named.join(wide.select("center"), "center"), sets, percent), "contenders")
+        rows = rows.union(dealt(left, open_groups(left), classes, sets))
 
     def run(batches):
         held = None
@@ -225,17 +260,25 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     links = materialize(star_links(groups, sets, classes.select("member", "n_shingles"), percent), "links")
     more = materialize(links_across(groups, components(links), classes, sets, percent), "links")
-    labels = components(links.union(more))
+    # Rows with one identifier are one document, so the classes of its texts belong together.
+    known = seen.where("doc_id is not null and n_shingles > 0")
+    repeated = known.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high").select("doc_id")
+    same = known.join(repeated, "doc_id").join(classes, "digest").select(F.col("doc_id").alias("a"), F.col("member").alias("b"))
+    labels = components(links.union(more).union(same))
     named = (classes.join(labels, classes["member"] == labels["node"], "left")
              .select("digest", F.coalesce("component", "member").alias("component_id")))
-    full = seen.where("doc_id is not null and n_shingles > 0").join(named, "digest").select("doc_id", "n_shingles", "component_id")
+    full = known.join(named, "digest").select("doc_id", "n_shingles", "component_id")
     alone = seen.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return full.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay, one per component; rows without identifier all stay."""
-    kept = near_groups(docs, id_col, text_col, words, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
-    typed = docs.withColumn(id_col, F.col(id_col).cast("bigint")) if docs.schema[id_col].dataType.simpleString() != "bigint" else docs
-    stay = typed.where(F.col(id_col).isNotNull()).join(kept.hint("merge"), id_col, "left_semi").dropDuplicates([id_col])
-    return stay.select(*docs.columns).union(typed.where(F.col(id_col).isNull()))
+    """The rows of ``docs`` that stay, one document per component; rows without identifier all stay.
+
+    Of a document that stays, rows that repeat its identifier and text are one, and every distinct text of it stays.
+    """
+    own, stays, digest = unused(docs, "own_id"), unused(docs, "stays"), unused(docs, "text_digest")
+    kept = near_groups(docs, id_col, text_col, words, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias(stays)).distinct()
+    typed = docs.withColumn(own, F.col(id_col).cast("bigint")).withColumn(digest, F.sha2(F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary")), 256))
+    stay = typed.where(F.col(own).isNotNull()).join(kept.hint("merge"), F.col(own) == F.col(stays), "left_semi").dropDuplicates([own, digest])
+    return stay.union(typed.where(F.col(own).isNull())).select(*docs.columns)

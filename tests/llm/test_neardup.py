@@ -110,3 +110,49 @@ def test_signature_distance_follows_similarity():
 def test_empty_table(make_docs):
     assert neardup.near_groups(make_docs([])).collect() == []
     assert neardup.deduplicate(make_docs([])).collect() == []
+
+
+def test_pages_that_only_share_a_passage_leave_a_wide_group(spark, make_docs, prose, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    passage = prose(1, 120)
+    dealt = []
+    real = neardup.dealt
+
+    def counted(*args):
+        rows = real(*args)
+        dealt.append(rows.count())
+        return rows
+    monkeypatch.setattr(neardup, "dealt", counted)
+    family = [(5000 + k, prose(7, 200) + f" end{k}") for k in range(5)]
+    for size in (60, 120, 240):
+        rows = [(k, passage + " " + prose(1000 + k, 40)) for k in range(size)] + family
+        got = neardup.near_groups(make_docs(rows).repartition(4), words=4).collect()
+        assert sorted(map(tuple, got), key=repr) == brute(rows)
+    assert sum(dealt[k] for k in range(1, len(dealt), 2)) <= 16 and len(dealt) == 6  # beside groups within one block, nearly nobody is left to compare
+
+
+def test_contenders_hold_both_ends_of_every_link(spark, prose):
+    rnd = random.Random(2)
+    rows = []
+    for family in range(12):
+        text = prose(family, 40)
+        rows += [(10 * family + k, shingle_set(changed(text, rnd, rnd.randrange(0, 4)) + " " + prose(50, 30), 4)) for k in range(6)]
+    rows += [(1000 + k, shingle_set(prose(100 + k, 40) + " " + prose(50, 30), 4)) for k in range(20)]  # of no family
+    number = {s: n for n, s in enumerate({x for _, own in rows for x in own})}
+    sets = spark.createDataFrame([(i, sorted(number[x] for x in own)) for i, own in rows], "member long, set array<long>")
+    members = spark.createDataFrame([(1, i, i) for i, _ in rows], "center long, member long, label long")
+    left = {r["member"] for r in neardup.contenders(members, sets, 80).collect()}
+    for i, a in rows:
+        for j, b in rows:
+            if i < j and 100 * len(a & b) >= 80 * len(a | b):
+                assert {i, j} <= left
+    assert not any(i >= 1000 for i in left)
+
+
+def test_rows_of_one_identifier_are_one_document_and_lose_no_text(make_docs, prose):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(7, a), (7, b), (7, b), (9, a + " more"), (12, b + " more"), (15, c), (20, c + " more"), (20, prose(4, 60))]
+    got = neardup.near_groups(make_docs(rows).repartition(3), words=4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {7: 7, 9: 7, 12: 7, 15: 15, 20: 15}
+    stay = neardup.deduplicate(make_docs(rows).repartition(3), words=4).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in stay) == sorted([(7, a), (7, b), (15, c)])
