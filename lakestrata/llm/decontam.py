@@ -10,8 +10,9 @@ the neighbours in the array give the longest verbatim match of the suffix and wh
 The benchmark travels to the tasks, so its size is checked: beyond ``BLOCK_WORDS`` words it is searched
 block by block, and the found word ranges of a document are united.
 
-Defined results: null or wordless documents have no hits; items that are null or have no words are
-ignored; rows with equal identifiers are scanned each for itself; a repeated item counts once.
+Defined results: null or wordless documents have no hits; items without text or words are ignored; an item without
+identifier hits words like any other, but has no name to be counted or listed by; rows with equal identifiers are scanned each for itself; a
+repeated item counts once.
 """
 
 from __future__ import annotations
@@ -178,7 +179,7 @@ def needle_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: in
     """The benchmark in blocks of bounded size, read one partition at a time."""
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("binary").alias("text"))
     out, held, size, seen = [], [], 0, set()
-    for item, text in rows.where("item is not null and text is not null").distinct().orderBy("item", "text").toLocalIterator():
+    for item, text in rows.where("text is not null").distinct().orderBy("item", "text").toLocalIterator():
         words = words_of(bytes(text))
         if words and (item, tuple(words)) not in seen:
             seen.add((item, tuple(words)))
@@ -209,7 +210,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                 none = {"ranges": (), "items": (), "longest": 0, "at": -1}
                 rows = [found.get(i, none) for i in range(len(counts))]
                 hits = [covered(r["ranges"]) for r in rows]
-                names = [sorted({sent.value.items[k] for k in r["items"]}) for r in rows]
+                names = [sorted({sent.value.items[k] for k in r["items"]} - {None}) for r in rows]
                 yield pa.record_batch({
                     "doc_id": batch.column("doc_id"), "n_words": pa.array(counts, pa.int64()),
                     "n_hit": pa.array(hits, pa.int64()), "n_items": pa.array(map(len, names), pa.int64()),
@@ -239,7 +240,7 @@ def united(narrow: DataFrame, sets: list[Needles]) -> DataFrame:
                 yield pa.record_batch({
                     "row": batch.column("row"), "doc_id": batch.column("doc_id"), "n_words": pa.array(counts, pa.int64()),
                     "ranges": pa.array([[list(x) for x in r["ranges"]] for r in rows], pa.list_(pa.list_(pa.int64()))),
-                    "items": pa.array([[sent.value.items[k] for k in r["items"]] for r in rows], pa.list_(pa.string())),
+                    "items": pa.array([sorted({sent.value.items[k] for k in r["items"]} - {None}) for r in rows], pa.list_(pa.string())),
                     "longest": pa.array([r["longest"] for r in rows], pa.int64()),
                     "at": pa.array([r["at"] for r in rows], pa.int64())})
 

@@ -12,7 +12,7 @@ def brute(rows, items, window=10):
         words = decontam.words_of((text or "").encode())
         n = min(window, len(words))
         for k in range(len(words) - n + 1 if n else 0):
-            wins.setdefault(tuple(words[k:k + n]), set()).add(str(name))
+            wins.setdefault(tuple(words[k:k + n]), set()).add(name if name is None else str(name))
     sizes = {len(w) for w in wins}
     out = []
     for doc_id, text in rows:
@@ -22,6 +22,7 @@ def brute(rows, items, window=10):
                 if got := wins.get(tuple(words[k:k + n])):
                     hit.update(range(k, k + n))
                     names |= got
+        names -= {None}
         out.append((doc_id, len(words), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit)))
     return sorted(out, key=repr)
 
@@ -40,19 +41,19 @@ def test_suffix_array_is_the_sorted_order():
 
 @pytest.fixture(scope="module")
 def tables(spark, make_docs, prose):
-    items = [(k, prose(k, 40)) for k in range(8)] + [(8, "short item here"), (9, None), (10, " .,"), (11, "solo"), (2, prose(2, 40)), (None, "nobody"), (12, "a b a b a b a b a b a b a b a b")]
+    items = [(k, prose(k, 40)) for k in range(8)] + [(8, "short item here"), (9, None), (10, " .,"), (11, "solo"), (2, prose(2, 40)), (None, "nobody"), (None, prose(77, 12)), (12, "a b a b a b a b a b a b a b a b")]
     rows = [(100 + k, prose(50 + k, 300)) for k in range(30)]
     rows += [(1, prose(3, 40)), (2, prose(4, 40).upper().replace(" ", "--")), (3, " ".join(prose(5, 40).split()[5:20])), (4, " ".join(prose(5, 40).split()[5:14])),
              (5, "x short item here y"), (6, None), (7, ""), (8, "SOLO"), (9, prose(9, 200) + " " + prose(6, 40) + " " + prose(6, 40)),
-             (9, prose(6, 40)), (None, prose(7, 40)), (10, "a b " * 5000), (11, "x a b a b a b a b a b y a b a b a b a b a b")]
+             (9, prose(6, 40)), (None, prose(7, 40)), (10, "a b " * 5000), (11, "x a b a b a b a b a b y a b a b a b a b a b"),
+             (12, "a passage nobody named, " + prose(77, 12)), (13, "solo and nobody")]
     return rows, items, make_docs(rows).repartition(3), spark.createDataFrame(items, "item_id long, text string")
 
 
 def test_hits_equal_brute_force(tables):
     rows, items, docs, bench = tables
     got = decontam.find_leaks(docs, bench).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
-    named = [(i, t) for i, t in items if i is not None]
-    assert sorted(map(tuple, got), key=repr) == brute(rows, named)
+    assert sorted(map(tuple, got), key=repr) == brute(rows, items)
 
 
 def test_longest_match_is_verbatim(tables):
@@ -66,14 +67,13 @@ def test_blocks_of_the_benchmark_give_the_same(tables, monkeypatch):
     rows, items, docs, bench = tables
     monkeypatch.setattr(decontam, "BLOCK_WORDS", 60)
     got = decontam.find_leaks(docs, bench).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
-    assert sorted(map(tuple, got), key=repr) == brute(rows, [(i, t) for i, t in items if i is not None])
+    assert sorted(map(tuple, got), key=repr) == brute(rows, items)
 
 
 def test_decontaminate_keeps_clean_rows_and_columns(tables):
     rows, items, docs, bench = tables
-    named = [(i, t) for i, t in items if i is not None]
     clean = decontam.decontaminate(docs.withColumnRenamed("lang", "item_id"), bench)
-    want = sorted((r[0] for r in brute(rows, named) if not r[5]), key=repr)
+    want = sorted((r[0] for r in brute(rows, items) if not r[5]), key=repr)
     assert sorted((r["doc_id"] for r in clean.collect()), key=repr) == want
     assert clean.columns == ["doc_id", "text", "item_id", "source", "n_chars"]
 
