@@ -9,7 +9,7 @@ The tokenizer file is a parameter and is read by each worker; every Spark node h
 A worker remembers the words it encoded lately,
 and chunks between spaces (twice ``Tokenizer.REMEMBER`` of each at most).
 
-Defined results: null and empty texts have no ids and decode to the empty text. Special tokens of the file that stand
+Defined results: bytes that are no UTF-8 count as U+FFFD; null and empty texts have no ids and decode to the empty text. Special tokens of the file that stand
 in a text are their own ids. A symbol that the vocabulary lacks raises an error, as no file with a full byte
 alphabet has one. Rows pass through one by one, so repeated rows and identifiers need no rule.
 """
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.llm.common import blocks, prepare
+from lakestrata.llm.common import blocks, prepare, strings
 
 # How the file's pre-tokenizer cuts a chunk between white space: for ASCII, up to U+024F, and for any text.
 SUFFIX = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -211,13 +211,13 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if asked for, ``ids``. The digests are of the ids as
     little-endian 32-bit numbers and of their decoded text."""
     prepare(docs.sparkSession)
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
 
     def run(batches):
         bpe = tokenizer(path)
         for batch in (b for part in batches for b in blocks([part], "text")):
             packed, counts, decoded = [], [], []
-            for text in batch.column("text").to_pylist():
+            for text in strings(batch, "text"):
                 got = bpe.pieces(text) if text else []
                 packed.append(b"".join([g[0] for g in got]))
                 counts.append(sum([g[1] for g in got]))

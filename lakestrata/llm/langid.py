@@ -5,7 +5,7 @@ The network is trained here, in numpy, by backpropagation through time, on a bou
 cut into segments of ``STEPS`` bytes which run through the network side by side, one direction each way. Every position gets a
 probability of each language; a document's score is their mean over all its positions.
 
-Defined results: ``und`` with score 0 for null texts, texts without a letter, and if nothing could be learned; ties go to the
+Defined results: bytes that are no UTF-8 count as U+FFFD; ``und`` with score 0 for null texts, texts without a letter, and if nothing could be learned; ties go to the
 language first in order. Rows are predicted one by one, so repeated rows and identifiers need no rule (a repeated row counts once
 in the sample). Language, source and identifier never enter a prediction.
 """
@@ -206,7 +206,7 @@ def predict(docs: DataFrame, network: Network | None, text_col: str = "text", ke
     def judge(batch):
         raw = texts(batch, body)
         model = sent.value
-        able = [any(map(str.isalpha, t.decode())) and model is not None for t in raw]  # \w would count fractions, circled and Roman numerals
+        able = [any(map(str.isalpha, t.decode("utf-8", "replace"))) and model is not None for t in raw]  # \w would count fractions, circled and Roman numerals
         if model is None:
             return ["und"] * len(raw), [0.0] * len(raw)
         means = model.pooled([t if ok else b"" for t, ok in zip(raw, able)])

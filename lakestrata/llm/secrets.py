@@ -8,7 +8,7 @@ three letters or more that the vocabulary has as one token.
 Base kinds, leftmost and non-overlapping for each: ``assign`` (a named assignment whose value has 6 characters or more),
 ``access`` (``AKIA`` keys of 20 or more), ``hex`` (24 or more). Spans are code points, end exclusive.
 
-Defined results: null or empty text has no spans; every row is scanned for itself, so repeated rows and identifiers need no rule;
+Defined results: bytes that are no UTF-8 count as U+FFFD; null or empty text has no spans; every row is scanned for itself, so repeated rows and identifiers need no rule;
 other columns do not matter. The vocabulary file is a parameter that every node has.
 """
 
@@ -24,7 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import blocks, prepare
+from lakestrata.llm.common import blocks, prepare, strings
 
 # Kinds in the order of reports, names that announce a secret, the patterns of the base kinds.
 KINDS = ("assign", "access", "hex", "random")
@@ -117,12 +117,12 @@ def scan(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_
     """``doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans`` and, if asked for, the matched ``values``."""
     prepare(docs.sparkSession)
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
 
     def run(batches):
         known = vocabulary(path)
         for batch in (b for part in batches for b in blocks([part], "text")):
-            rows = [find(t, known, ratio) if t else ([], []) for t in batch.column("text").to_pylist()]
+            rows = [find(t, known, ratio) if t else ([], []) for t in strings(batch, "text")]
             counts = {f"n_{kind}": pa.array([sum(s[1] == k for s in every) for _, every in rows], pa.int64()) for k, kind in enumerate(KINDS)}
             columns = {"doc_id": batch.column("doc_id"), **counts,
                        "base_sha256": pa.array([hashlib.sha256(joined(base).encode()).hexdigest() for base, _ in rows], pa.string()),

@@ -62,3 +62,9 @@ def test_decode_restores_the_text_and_accepts_null(spark, make_docs, library):
 
 def test_empty_table(make_docs):
     assert bpe.encode(make_docs([]), PATH).collect() == []
+
+
+def test_bytes_that_are_no_text_count_as_replacement_characters(spark):
+    docs = spark.sql("SELECT 1L AS doc_id, cast(unhex('6162FF2063C3') AS string) AS text UNION ALL SELECT 2L, 'ab\ufffd c\ufffd'")
+    got = [r["ids_sha256"] for r in bpe.encode(docs, PATH).collect()]
+    assert len(got) == 2 and got[0] == got[1]

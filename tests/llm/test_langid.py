@@ -95,3 +95,8 @@ def test_numerals_that_are_no_letters_are_undetermined(make_docs, rows):
     got = langid.predict(make_docs([(k, t, None) for k, t in enumerate([*signs, "x\u00bd", "\u00e9"])]), langid.train(make_docs(rows))).collect()
     assert [(r["lang_pred"], r["score"]) for r in sorted(got)[:5]] == [("und", 0.0)] * 5
     assert all(r["lang_pred"] in WORDS for r in sorted(got)[5:])
+
+
+def test_bytes_that_are_no_text_end_no_job(spark):
+    docs = spark.sql("SELECT 1L AS doc_id, cast(unhex('FFFE') AS string) AS text, 'en' AS lang UNION ALL SELECT 2L, cast(unhex('616263FF') AS string), 'en'")
+    assert sorted((r["doc_id"], r["lang_pred"]) for r in langid.predict(docs, langid.Network(["en"])).collect()) == [(1, "und"), (2, "en")]

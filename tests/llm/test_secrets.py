@@ -78,3 +78,9 @@ def test_repeated_rows_other_columns_and_empty_tables(make_docs):
     docs = make_docs([(1, "token=abcdef"), (1, "token=abcdef"), (None, None)]).withColumnRenamed("lang", "spans")
     assert sorted((r["doc_id"] or 0, r["n_assign"]) for r in secrets.scan(docs).collect()) == [(0, 0), (1, 1), (1, 1)]
     assert secrets.scan(make_docs([])).collect() == []
+
+
+def test_bytes_that_are_no_text_count_as_replacement_characters(spark):
+    docs = spark.sql("SELECT 1L AS doc_id, cast(unhex('FF746F6B656E3D616263646566') AS string) AS text UNION ALL SELECT 2L, '\ufffdtoken=abcdef'")
+    got = [r["spans"] for r in secrets.scan(docs).collect()]
+    assert got[0] == got[1] == "assign:1:13"
