@@ -35,17 +35,17 @@ def exact_duplicate_summary(df: DataFrame) -> DataFrame:
     """``duplicate_summary`` over whole rows.
 
     Equal rows have equal hashes, so a first pass shuffles one 8-byte hash per row and writes the
-    hashes that repeat. Being a written table its size is known: where few repeat it is broadcast, and
-    only rows with such a hash travel and are compared in full. ``df`` is read three times, the last
-    time for the row count only, so it should be a table rather than a long plan.
+    hashes that repeat, and the number of all other rows under NULL. Being a written table its size is known: where few repeat it is
+    broadcast, and only rows with such a hash travel and are compared in full. ``df`` is read twice, so it should be a table rather than a long plan.
     """
     columns = df.columns
     hashed = df.withColumn("_h", F.xxhash64(*columns))
-    repeated = materialize(hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h"),
-                           "repeated-hashes")
-    suspects = hashed.join(repeated, "_h", "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    counts = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = materialize(counts.groupBy(F.when(F.col("_n") > 1, F.col("_h")).alias("_h")).agg(F.sum("_n").alias("_n")), "repeated-hashes")
+    suspects = (hashed.join(repeated.select("_h").filter("_h IS NOT NULL"), "_h", "left_semi").groupBy(*columns)
+                .agg(F.count(F.lit(1)).alias("_n")))
     found = suspects.agg((F.coalesce(F.sum("_n"), F.lit(0)) - F.count(F.lit(1))).alias("duplicates"),
                          F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("rows_in_duplicates"))
-    records = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    records = repeated.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).scalar()
     return found.select(records.alias("records"), (records - F.col("duplicates")).alias("unique_keys"), "duplicates",
                         "rows_in_duplicates")

@@ -77,8 +77,11 @@ def within_bounds(df: DataFrame, column: str, bounds: DataFrame, low: str, high:
     The one row is read first and its values go into the filter as literals, which the scan of ``df``
     can use to skip partitions and row groups; a join with the row could not. No row or a NULL bound
     keeps nothing. The values travel as text: a naive time would be taken for the driver's local time.
+    Where the table keeps the day of the column (``<column>_day``, see ``writes.with_day``) its days are bounded too.
     """
     kind = df.schema[column].dataType
     one = bounds.select(*[F.col(c).cast(kind).cast("string") for c in (low, high)]).first() or (None, None)
     limits = [F.lit(v).cast(kind) for v in one]
-    return df.filter(F.col(column).between(*limits))
+    kept = df.filter(F.col(column).between(*limits))
+    day = f"{column}_day"
+    return kept.filter(F.col(day).between(*[F.to_date(v) for v in limits])) if day in df.columns else kept

@@ -148,7 +148,7 @@ def _upsert_full_outer(target: DataFrame, source: DataFrame, keys: Sequence[str]
 
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition_by: str,
                       key: str | None = None, order_by: Sequence[str] = (), store: Callable[[DataFrame, str, str], object] = overwrite_partitions,
-                      **options) -> DataFrame:
+                      touched: Callable[[list], object] | None = None, **options) -> DataFrame:
     """Upsert into a partitioned Parquet table and return the table.
 
     ``partition_by`` must follow from the key (a month of a key timestamp, say). Then rows of one key
@@ -158,19 +158,19 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
     each partition, so other partitions are not read for it either.
 
     ``store(rows, path, partition_by)`` puts the finished rows of the touched partitions in place; one that checks them first (``quality.observed``)
-    can refuse, and the table stays as it was.
+    can refuse, and the table stays as it was. ``touched`` is told the partitions when all are in place.
 
     Stored columns that the source lacks stay: unchanged on update, NULL on insert. New columns of the
     source are added, NULL in rows that were there.
     """
     batch = materialize(source, "upsert-source")
     # One value per table partition: as short as the list of partition folders.
-    touched = [row[0] for row in batch.select(partition_by).distinct().collect()]
+    named = [row[0] for row in batch.select(partition_by).distinct().collect()]
     declared = source.schema if key is None else T.StructType([T.StructField(key, T.LongType()), *source.schema.fields])
     schema = joint_schema(declared, stored_schema(spark, path), partition_by, path)
     table = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-    in_load = F.col(partition_by).isin([v for v in touched if v is not None])
-    part = table.filter(in_load | F.col(partition_by).isNull() if None in touched else in_load)
+    in_load = F.col(partition_by).isin([v for v in named if v is not None])
+    part = table.filter(in_load | F.col(partition_by).isNull() if None in named else in_load)
     last = None if key is None else F.lit(largest(partition_bounds(spark, path, [key], schema), key))
     if part.isEmpty():
         # New partitions only, the usual case of a monthly load: nothing to match, one write less.
@@ -185,6 +185,8 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
         store(merged, path, partition_by)
     if key is not None:
         partition_bounds(spark, path, [key], schema)  # of the partitions just written
+    if touched is not None:
+        touched(named)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 

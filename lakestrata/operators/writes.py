@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakestrata.session import child_folders, delete_path, new_beside, swap_path
 
@@ -10,15 +12,18 @@ from lakestrata.session import child_folders, delete_path, new_beside, swap_path
 LAYERS = ["bronze", "silver", "gold", "quality"]
 
 
-def overwrite_path(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def overwrite_path(df: DataFrame, path: str, partition_by: str | None = None, cluster_by: Sequence[str] = ()) -> None:
     """Replace a Parquet table folder; the new schema may differ, and ``df`` may read the folder itself.
 
+    With ``cluster_by`` the rows are range-partitioned and sorted by these columns, so that a filter on the first of them skips the files, row groups
+    and pages outside its range (for a time, see ``with_day``).
+
     The new table is complete beside the old one before it takes its place by renaming, so a write that is cut off
     leaves the old table as it was (and a folder ``__new-...``), and no partition of the old table survives. Two
     renames are not one step: a reader between them finds no table. One writer at a time is assumed.
     """
     fresh = new_beside(path)
-    writer = balanced(df, partition_by).write
+    writer = (clustered(df, partition_by, cluster_by) if cluster_by else balanced(df, partition_by)).write
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(fresh)
     swap_path(df.sparkSession, fresh, path)
 
@@ -37,9 +42,9 @@ def append_path(df: DataFrame, path: str, partition_by: str | None = None) -> No
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: str) -> None:
-    """Replace only the partitions that ``df`` holds rows of."""
-    (balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def overwrite_partitions(df: DataFrame, path: str, partition_by: str, cluster_by: Sequence[str] = ()) -> None:
+    """Replace only the partitions that ``df`` holds rows of; ``cluster_by`` as for ``overwrite_path``."""
+    ((clustered(df, partition_by, cluster_by) if cluster_by else balanced(df, partition_by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_by).parquet(path))
 
 
@@ -60,6 +65,19 @@ def balanced(df: DataFrame, partition_by: str | None) -> DataFrame:
     return df.hint("rebalance", partition_by) if partition_by else df
 
 
+def with_day(df: DataFrame, time: str) -> DataFrame:
+    """``df`` with the day of a time in ``<time>_day``, to cluster by: the reader has no bounds of times (without zone they are not pushed to the files, with
+    zone they are stored without statistics), but of dates it has. ``within_bounds`` uses the column where a table has it."""
+    return df.withColumn(f"{time}_day", F.to_date(time))
+
+
+def clustered(df: DataFrame, partition_by: str | None, cluster_by: Sequence[str]) -> DataFrame:
+    """Rows in ranges of (table partition and) the columns, sorted within each: every file holds one stretch of values. A sample finds the ranges, so
+    a hot value only makes its own range larger."""
+    order = [*([partition_by] if partition_by else []), *cluster_by]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def ensure_path(spark: SparkSession, path: str, schema: T.StructType, partition_by: str | None = None) -> DataFrame:
     """The Parquet table at ``path``, created empty unless it is there.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -25,14 +25,15 @@ def stage_files(spark: SparkSession, path: str, event_time: str, schema: T.Struc
 
 
 def ingest_partitioned_files(spark: SparkSession, path: str, table: str, event_time: str, keys: Sequence[str],
-                             schema: T.StructType | None = None, at: dt.datetime | None = None) -> DataFrame:
+                             schema: T.StructType | None = None, at: dt.datetime | None = None,
+                             touched: Callable[[list], object] | None = None) -> DataFrame:
     """Upsert the files under ``path`` into the Bronze table, one row per key, partitioned by source month.
 
-    Loading the same files again changes nothing but the audit columns; a new month adds its partition.
+    Loading the same files again changes nothing but the audit columns; a new month adds its partition. ``touched`` is told the months.
     """
     batch = keep_one(stage_files(spark, path, event_time, schema, at), keys)
     ensure_path(spark, table, batch.schema, partition_by=MONTH)
-    return upsert_partitions(spark, table, batch, [*keys, MONTH], MONTH, check_source=False)
+    return upsert_partitions(spark, table, batch, [*keys, MONTH], MONTH, touched=touched, check_source=False)
 
 
 def ingest_overwrite(spark: SparkSession, path: str, table: str, event_time: str,

@@ -7,6 +7,7 @@ and the dimensions are small next to the trips and are replaced as a whole.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import partial
@@ -15,11 +16,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakestrata.functions.codes import WEATHER_CODES
 from lakestrata.functions.time import month_of
+from lakestrata.operators.journal import Journal
 from lakestrata.operators.upsert import upsert, upsert_partitions
 from lakestrata.operators.writes import ensure_path, overwrite_partitions, replace_path
 from lakestrata.plans import analytics
 from lakestrata.plans.bronze import (MONTH, ingest_array_documents, ingest_partitioned_files, ingest_reference_csv,
-                                     ingest_typed_records)
+                                     ingest_typed_records, stage_files)
 from lakestrata.plans.gold import (FACT_ORDER, build_calendar, build_coded_dim, build_reference_dim, refresh_calendar,
                                    trip_fact_rows)
 from lakestrata.plans.presets import (PICKUP, TRIP_KEY, TRIP_KEY_ORDER, TRIP_RULES, TRIP_SOURCE_SCHEMA, TRIP_UPDATE,
@@ -87,13 +89,26 @@ class Warehouse:
 
     # Bronze
 
-    def load_trips(self, files: str) -> DataFrame:
-        with scratch(self.spark):
-            return ingest_partitioned_files(self.spark, files, self.path("bronze", "trips"), PICKUP, TRIP_KEY,
-                                            _schema(TRIP_SOURCE_SCHEMA), self.at)
+    @property
+    def journal(self) -> Journal:
+        return Journal(self.spark, self.path("quality", "loads"))
+
+    def load_trips(self, files: str, batch: str | None = None) -> DataFrame:
+        """Upsert trip files. A named batch that the journal has is not written again; one that was cut off is."""
+        def load(touched):
+            with scratch(self.spark):
+                ingest_partitioned_files(self.spark, files, self.path("bronze", "trips"), PICKUP, TRIP_KEY, _schema(TRIP_SOURCE_SCHEMA), self.at, touched)
+        self.journal.once(batch or f"load-{uuid.uuid4().hex}", "bronze/trips", load, self.at)
+        return ensure_path(self.spark, self.path("bronze", "trips"), stage_files(self.spark, files, PICKUP, _schema(TRIP_SOURCE_SCHEMA), self.at).schema,
+                           partition_by=MONTH)
 
     def changed_months(self, since: dt.datetime) -> list[str]:
-        """Months with Bronze rows loaded at or after a moment: what to refresh after a load."""
+        """Months with Bronze rows loaded at or after a moment: what to refresh after a load.
+
+        From the journal; from the load times of the rows only for a table that was loaded without one.
+        """
+        if not self.journal.entries().filter(F.col("table_name") == "bronze/trips").isEmpty():
+            return self.journal.changed("bronze/trips", since)
         loaded = F.col("bronze_ingestion_timestamp") >= F.lit(since.isoformat(sep=" ")).cast("timestamp")
         months = self.table("bronze", "trips").filter(loaded).select(MONTH).dropna().distinct()
         return sorted(row[0] for row in months.collect())  # one per table partition

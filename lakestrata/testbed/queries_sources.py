@@ -8,8 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakestrata.operators.bounds import partition_bounds
+from lakestrata.operators.journal import Journal
+from lakestrata.operators.lookups import within_bounds
 from lakestrata.operators.upsert import upsert_partitions
-from lakestrata.operators.writes import LAYERS, ensure_namespaces, ensure_path, overwrite_path, overwrite_table
+from lakestrata.operators.writes import LAYERS, ensure_namespaces, ensure_path, overwrite_path, overwrite_table, with_day
 from lakestrata.plans.bronze import (ingest_array_documents, ingest_overwrite, ingest_partitioned_files,
                                      ingest_reference_csv, ingest_typed_records)
 from lakestrata.profiling.profile import schema_diff
@@ -411,3 +413,42 @@ def schema_history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         of.repartition("landed").write.mode("append").partitionBy("landed").parquet(landed)
     schemas = file_schemas(spark, landed_files(spark, landed))
     return schema_history(schemas.withColumn("month", month_in(F.element_at(F.split("path", "/"), -2))))
+
+
+@query("load_journal", """
+SELECT 'orders-' || year(o_orderdate) AS batch, count(DISTINCT strftime(o_orderdate, '%Y-%m')) AS months, min(strftime(o_orderdate, '%Y-%m')) AS first_month,
+       max(strftime(o_orderdate, '%Y-%m')) AS last_month, count(*) AS orders_stored, 1::BIGINT AS times_written
+FROM orders GROUP BY year(o_orderdate)
+""")
+def load_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders delivered by year, each delivery twice: the journal has every batch once, with the months it changed, and they hold its orders."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.date_format("o_orderdate", "yyyy-MM").alias("order_month"))
+    path, journal, written = new_path(spark, "orders"), Journal(spark, new_path(spark, "journal")), []
+    ensure_path(spark, path, orders.schema, "order_month")
+    years = [r[0] for r in orders.select(F.year("o_orderdate")).distinct().collect()]
+    for year in sorted(years) * 2:
+        def put(touched, year=year):
+            upsert_partitions(spark, path, orders.filter(F.year("o_orderdate") == year), ["o_orderkey", "order_month"], "order_month", touched=touched)
+        if journal.once(f"orders-{year}", "orders", put, AT):
+            written.append((f"orders-{year}",))
+    times = spark.createDataFrame(written, "batch string").groupBy("batch").agg(F.count(F.lit(1)).alias("times_written"))
+    stored = spark.read.schema(orders.schema).parquet(path).groupBy(F.col("order_month").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    return (journal.entries().join(stored, "part").groupBy("batch")
+            .agg(F.count(F.lit(1)).alias("months"), F.min("part").alias("first_month"), F.max("part").alias("last_month"), F.sum("n").alias("orders_stored"))
+            .join(times, "batch"))
+
+
+@query("clustered_window", """
+SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders
+WHERE o_orderdate >= (SELECT min(o_orderdate) + INTERVAL 400 DAY FROM orders) AND o_orderdate < (SELECT min(o_orderdate) + INTERVAL 407 DAY FROM orders)
+""")
+def clustered_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of one week, from a table written in order of their dates: its bounds skip all other files and pages."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    path = new_path(spark, "clustered")
+    overwrite_path(with_day(orders, "o_orderdate"), path, cluster_by=["o_orderdate_day", "o_orderdate"])
+    stored = spark.read.parquet(path)
+    first = stored.agg(F.min("o_orderdate").alias("first"))
+    week = first.select((F.col("first") + F.expr("INTERVAL 400 DAYS")).alias("low"),
+                        (F.col("first") + F.expr("INTERVAL 407 DAYS") - F.expr("INTERVAL 0.000001 SECONDS")).alias("high"))
+    return within_bounds(stored, "o_orderdate", week, "low", "high").drop("o_orderdate_day")
