@@ -8,7 +8,7 @@ Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. All counts cover the
 
 1. Texts are packed into blocks of a few MB, written once, so that a block means the same rows in every pass.
 2. A block asks for the corpus counts of its distinct tokens and pairs. The 64-bit keys are split by value into buckets, whose number
-   follows the corpus, and each block brings its own counts along.
+   follows the corpus, and each block brings its own counts along: one row for each bucket that it asks, so never more rows than it has keys.
 3. A bucket adds up what the blocks bring and answers each of them in the order it asked. A frequent pair is one entry of a block, however
    many documents hold it, so no key is hot.
 4. The answers return to their block, which is written again with them and with a histogram of the deleted estimates of its training
@@ -109,15 +109,15 @@ def edges(buckets: int) -> np.ndarray:
     return np.array([-(-(b << 64) // buckets) for b in range(buckets)], np.uint64)
 
 
-def low_bytes(keys: np.ndarray) -> bytes:
-    """The lower six bytes of each sorted key, byte by byte over all keys: the upper ones of them change slowly and compress."""
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes()
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted keys as the steps between them, byte by byte over all steps: the upper bytes of small steps are zeros, which compress."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def from_low_bytes(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(data, np.uint8).reshape(6, -1).T
-    return out.view("<u8").reshape(-1)
+def unpacked(data: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, len(data) // 8).T).view("<u8").reshape(-1)
+    return np.cumsum(steps, dtype=np.uint64)
 
 
 def requests(buckets: int):
@@ -129,15 +129,15 @@ def requests(buckets: int):
             for row in batch.to_pylist():
                 tokens = Tokens(row["body"], row["sizes"], row["trained"], known)
                 single_n, pair_n = tokens.own_counts()
-                at = np.append(np.searchsorted(tokens.single, bounds), len(tokens.single))
-                pair_at = np.append(np.searchsorted(tokens.pair, bounds), len(tokens.pair))
-                cut = [slice(a, b) for a, b in zip(at[:-1], at[1:])]
-                pair_cut = [slice(a, b) for a, b in zip(pair_at[:-1], pair_at[1:])]
+                single_at, pair_at = (np.searchsorted(bounds, keys, side="right") - 1 for keys in (tokens.single, tokens.pair))
+                asked = np.union1d(single_at, pair_at)
+                cut, pair_cut = ([slice(a, b) for a, b in zip(np.searchsorted(own, asked), np.searchsorted(own, asked, side="right"))]
+                                 for own in (single_at, pair_at))
                 yield pa.record_batch({
-                    "bucket": pa.array(np.arange(buckets)), "block": pa.array(np.full(buckets, row["block"])),
+                    "bucket": pa.array(asked), "block": pa.array(np.full(len(asked), row["block"])),
                     "single": pa.array([tokens.single[c].tobytes() for c in cut], pa.binary()),
                     "single_n": pa.array([single_n[c].tobytes() for c in cut], pa.binary()),
-                    "pair": pa.array([low_bytes(tokens.pair[c]) for c in pair_cut], pa.binary()),
+                    "pair": pa.array([packed(tokens.pair[c]) for c in pair_cut], pa.binary()),
                     "pair_n": pa.array([pair_n[c].tobytes() for c in pair_cut], pa.binary())})
     return run
 
@@ -156,7 +156,7 @@ def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def bucket():
         single, total = summed([np.frombuffer(r["single"], "<u8") for r in held], [r["single_n"] for r in held])
-        pair, _ = summed([from_low_bytes(r["pair"]) for r in held], [r["pair_n"] for r in held])
+        pair, _ = summed([unpacked(r["pair"]) for r in held], [r["pair_n"] for r in held])
         rest = [0] * (len(held) - 1)
         return pa.record_batch({
             "block": pa.array([r["block"] for r in held], pa.int64()), "bucket": pa.array([r["bucket"] for r in held], pa.int64()),
