@@ -24,19 +24,21 @@ import unicodedata
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from lakestrata.llm.common import blocks, prepare, strings
 
-# How the file's pre-tokenizer cuts a chunk between white space: for ASCII, up to U+024F, and for any text.
+# How the file's pre-tokenizer cuts a chunk between white space: for ASCII, up to U+024F, and for any text. The last goes to the library's
+# own normalizer and cutter, as which characters are letters, numbers or cased depends on the Unicode version.
 SUFFIX = "'s|'t|'re|'ve|'m|'ll|'d"
 CUT_ASCII = re.compile(SUFFIX + "|[a-z]+|[0-9]|[^a-z0-9]+")
 LATIN, LATIN_DIGIT = "a-z\\u00aa\\u00b5\\u00ba\\u00df-\\u00f6\\u00f8-\\u024f", "0-9\\u00b2\\u00b3\\u00b9\\u00bc-\\u00be"
 CUT_LATIN = re.compile(f"{SUFFIX}|[{LATIN}]+|[{LATIN_DIGIT}]|[^{LATIN}{LATIN_DIGIT}]+")
-CUT_ANY = regex.compile(SUFFIX + r"|[\p{L}]+|[\p{N}]|[^\p{L}\p{N}]+")
+NORMAL = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+CUT_ANY = pre_tokenizers.Split(Regex(SUFFIX + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"), "removed", invert=True)
 BEYOND_LATIN = re.compile("[^\\x00-\\u024f]")
 # Python also splits at four control characters that are not white space to the file's normalizer.
 CONTROL = re.compile("[\x1c-\x1f]")
@@ -163,8 +165,10 @@ class Tokenizer:
         """Words of a chunk without white space, after normalization."""
         if chunk.isascii():
             return CUT_ASCII.findall(chunk.lower())
-        chunk = unicodedata.normalize("NFC", chunk).replace("\u03a3", "\u03c3").lower()  # no special final sigma
-        return (CUT_ANY if BEYOND_LATIN.search(chunk) else CUT_LATIN).findall(chunk)
+        latin = unicodedata.normalize("NFC", chunk).lower()
+        if BEYOND_LATIN.search(chunk) or BEYOND_LATIN.search(latin):
+            return [word for word, _ in CUT_ANY.pre_tokenize_str(NORMAL.normalize_str(chunk))]
+        return CUT_LATIN.findall(latin)
 
     def chunk(self, chunk: str) -> tuple[bytes, int, str]:
         """The same for a chunk between white space, which is what most texts repeat."""

@@ -68,3 +68,14 @@ def test_bytes_that_are_no_text_count_as_replacement_characters(spark):
     docs = spark.sql("SELECT 1L AS doc_id, cast(unhex('6162FF2063C3') AS string) AS text UNION ALL SELECT 2L, 'ab\ufffd c\ufffd'")
     got = [r["ids_sha256"] for r in bpe.encode(docs, PATH).collect()]
     assert len(got) == 2 and got[0] == got[1]
+
+
+def test_every_code_point_is_cut_as_the_library_does(library, own):
+    texts = [f"a{chr(c)}b {chr(c)}1" for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    wrong = []
+    for text, ids in zip(texts, want):
+        got = b"".join(p[0] for p in own.pieces(text))
+        if np.frombuffer(got, "<u4").tolist() != ids:
+            wrong.append(text)
+    assert wrong == []
