@@ -210,7 +210,7 @@ def profile_missing_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gaps.missing_hours(load(spark, sf_dir, "events").filter("event_id % 7 = 0"), "ts")
 
 
-_KEY_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"]
+_SEARCHED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"]
 
 
 def _subset(columns: tuple[str, ...]) -> str:
@@ -218,14 +218,14 @@ def _subset(columns: tuple[str, ...]) -> str:
     return f"SELECT '{','.join(columns)}' AS key_columns, {len(columns)} AS width, (SELECT count(*) FROM (SELECT DISTINCT {names} FROM lineitem)) AS n"
 
 
-@query("profile_minimal_keys", "WITH u AS (" + "\nUNION ALL ".join(_subset(c) for k in range(1, 7) for c in combinations(_KEY_COLUMNS, k)) + """),
+@query("profile_minimal_keys", "WITH u AS (" + "\nUNION ALL ".join(_subset(c) for k in range(1, 7) for c in combinations(_SEARCHED, k)) + """),
 k AS (SELECT key_columns, width FROM u WHERE n = (SELECT count(*) FROM lineitem))
 SELECT * FROM k WHERE NOT EXISTS (SELECT 1 FROM k s WHERE s.width < k.width
   AND list_has_all(string_split(k.key_columns, ','), string_split(s.key_columns, ',')))
 """)
 def profile_minimal_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All minimal unique column combinations of six columns."""
-    return minimal_keys(load(spark, sf_dir, "lineitem"), _KEY_COLUMNS)
+    return minimal_keys(load(spark, sf_dir, "lineitem"), _SEARCHED)
 
 
 _COUNTED = ["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_returnflag"]
