@@ -7,8 +7,8 @@ Level by level, from single columns up. A set is looked at in the data only if n
 * it lies within an agree set: two rows seen to agree in these columns. Every set found not to be unique gives such a pair of rows, and the columns in
   which they agree are often many more than the set.
 
-A look is one aggregate that counts the set's keys, combined before the shuffle, and stops at the first repeated one. The driver holds column names
-and the agree sets, never rows but the two of a witness.
+A look counts the set's keys, combined before the shuffle: first those of one slice in 64, where a set with many repeats shows one, then, if none
+does, all of them. The driver holds column names and the agree sets, and of a witness the hash of its key and the columns in which its rows agree.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from lakestrata.operators.duplicates import duplicate_summary
 
 SCHEMA = "key_columns string, width int"
+SLICES = 64  # a set is first asked in this part of its keys
 
 
 def minimal_keys(df: DataFrame, columns: Sequence[str] | None = None, max_width: int | None = None) -> DataFrame:
@@ -70,10 +71,26 @@ def _counts(df: DataFrame, columns: list[str]) -> tuple[int, dict[str, int]]:
     return rows, distinct
 
 
+def _repeated(df: DataFrame, key: Sequence[str]) -> int | None:
+    """The hash of some key that occurs twice; only keys and counts are shuffled."""
+    one = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.xxhash64(*key).alias("h")).first()
+    return None if one is None else one["h"]
+
+
 def _agreeing(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> frozenset[str] | None:
-    """The columns in which some two rows with the same key agree, or None if there are no such rows."""
+    """The columns in which some two rows with the same key agree, or None if there are no such rows.
+
+    A slice of the keys, with all rows of each, is asked first: one repeated there already is the answer. Only if there is none are all keys counted.
+    The rows of the one key that was found are then picked by its hash, so that whole rows of other keys are in no exchange.
+    """
+    code = F.xxhash64(*key)
+    found = _repeated(df.filter(F.pmod(code, F.lit(SLICES)) == 0), key)
+    found = _repeated(df, key) if found is None else found
+    if found is None:
+        return None
     every = F.struct(*[F.col(c) for c in columns])
-    repeated = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min(every).alias("_low"), F.max(every).alias("_high")).filter("_n > 1")
+    repeated = (df.filter(code == found).groupBy(*key)
+                .agg(F.count(F.lit(1)).alias("_n"), F.min(every).alias("_low"), F.max(every).alias("_high")).filter("_n > 1"))
     same = [F.col("_low")[c].eqNullSafe(F.col("_high")[c]) for c in columns]
     one = repeated.select(*[s.alias(f"s{i}") for i, s in enumerate(same)]).first()
-    return None if one is None else frozenset(c for c, s in zip(columns, one) if s)
+    return frozenset(c for c, s in zip(columns, one) if s)

@@ -40,3 +40,13 @@ def test_trips_are_not_dealt_out_again_after_their_join(spark, sources):
     assert "RoundRobin" not in text and "SortMergeJoin [l_orderkey" in text
     assert text.count("Exchange hashpartitioning(l_") == 1 and "Exchange hashpartitioning(l_orderkey" in text  # the lines travel to their orders only
     assert rows(landed.select("VendorID", "PULocationID", "DOLocationID", "delivery")) == [(1, 2, 4, 0), (1, 2, 4, 1), (1, 2, 4, 1), (2, 2, 4, 0)]
+
+
+def test_a_set_with_many_repeats_is_not_counted_whole(spark, monkeypatch):
+    ask, asked = key_search._repeated, []
+    monkeypatch.setattr(key_search, "_repeated", lambda df, key: asked.append(df.count()) or ask(df, key))
+    df = materialize(spark.range(3000).select("id", (F.col("id") % 1000).alias("a"), F.lit(None).cast("int").alias("b")))
+    assert key_search._agreeing(df, ["a", "b"], df.columns) == {"a", "b"} and 0 < asked[0] < 300 and len(asked) == 1
+    assert key_search._agreeing(df, ["id", "a"], df.columns) is None and asked[2] == 3000
+    one = df.unionByName(df.filter("id = 17"))
+    assert key_search._agreeing(one, ["id", "b"], one.columns) == {"id", "a", "b"}
