@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakestrata.session import materialize
 
+FEW = 500_000  # repeated hashes up to which rows are first looked up among them
+
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -35,15 +37,17 @@ def exact_duplicate_summary(df: DataFrame) -> DataFrame:
     """``duplicate_summary`` over whole rows.
 
     Equal rows have equal hashes, so a first pass shuffles one 8-byte hash per row and writes the
-    hashes that repeat, and the number of all other rows under NULL. Being a written table its size is known: where few repeat it is
-    broadcast, and only rows with such a hash travel and are compared in full. ``df`` is read twice, so it should be a table rather than a long plan.
+    hashes that repeat, and the number of all other rows under NULL. Being a written table its size is known: where few repeat (``FEW`` hashes) it is
+    broadcast, and only rows with such a hash travel and are compared in full. Where more do, a join with them would move every row as it is; so all rows
+    are compared in full, equal ones combined before they travel. ``df`` is read twice, so it should be a table rather than a long plan.
     """
     columns = df.columns
     hashed = df.withColumn("_h", F.xxhash64(*columns))
     counts = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
     repeated = materialize(counts.groupBy(F.when(F.col("_n") > 1, F.col("_h")).alias("_h")).agg(F.sum("_n").alias("_n")), "repeated-hashes")
-    suspects = (hashed.join(repeated.select("_h").filter("_h IS NOT NULL"), "_h", "left_semi").groupBy(*columns)
-                .agg(F.count(F.lit(1)).alias("_n")))
+    hashes = repeated.select("_h").filter("_h IS NOT NULL")
+    suspects = hashed.join(hashes, "_h", "left_semi") if hashes.limit(FEW + 1).count() <= FEW else df
+    suspects = key_counts(suspects, columns)
     found = suspects.agg((F.coalesce(F.sum("_n"), F.lit(0)) - F.count(F.lit(1))).alias("duplicates"),
                          F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("rows_in_duplicates"))
     records = repeated.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).scalar()

@@ -50,3 +50,13 @@ def test_a_set_with_many_repeats_is_not_counted_whole(spark, monkeypatch):
     assert key_search._agreeing(df, ["id", "a"], df.columns) is None and asked[2] == 3000
     one = df.unionByName(df.filter("id = 17"))
     assert key_search._agreeing(one, ["id", "b"], one.columns) == {"id", "a", "b"}
+
+
+def test_where_many_hashes_repeat_equal_rows_are_combined_before_they_travel(spark, monkeypatch):
+    df = materialize(spark.createDataFrame([(1, None), (1, None), (1, "x"), (2, "y"), (2, "y"), (2, "y"), (3, None)], "a int, b string"))
+    few = [tuple(r) for r in duplicates.exact_duplicate_summary(df).collect()]
+    monkeypatch.setattr(duplicates, "FEW", 0)
+    many = duplicates.exact_duplicate_summary(df)
+    text = plan(many)
+    assert "Join" not in text and text.rindex("partial_count") > text.index("Exchange hashpartitioning(a")
+    assert [tuple(r) for r in many.collect()] == few == [(7, 4, 3, 5)]
