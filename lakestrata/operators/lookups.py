@@ -66,9 +66,18 @@ def only_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Keys found on one side only, with the side."""
-    return (only_in(left, right, key).withColumn("only_in", F.lit("left"))
-            .unionByName(only_in(right, left, key).withColumn("only_in", F.lit("right"))))
+    """Keys found on one side only, with the side.
+
+    Keys of one type travel once: both sides are marked, combined before the shuffle and counted together. Keys of two types are compared by joins,
+    in their common type.
+    """
+    if left.schema[key].dataType != right.schema[key].dataType:
+        return (only_in(left, right, key).withColumn("only_in", F.lit("left"))
+                .unionByName(only_in(right, left, key).withColumn("only_in", F.lit("right"))))
+    marked = (left.select(F.col(key).alias("_key"), F.lit(1).alias("_side"))
+              .unionByName(right.select(F.col(key).alias("_key"), F.lit(2).alias("_side"))))
+    sides = marked.dropna(subset=["_key"]).groupBy("_key").agg(F.bit_or("_side").alias("_sides")).filter("_sides < 3")
+    return sides.select(F.col("_key").alias(key), F.when(F.col("_sides") == 1, "left").otherwise("right").alias("only_in"))
 
 
 def within_bounds(df: DataFrame, column: str, bounds: DataFrame, low: str, high: str) -> DataFrame:

@@ -42,6 +42,14 @@ def test_trips_are_not_dealt_out_again_after_their_join(spark, sources):
     assert rows(landed.select("VendorID", "PULocationID", "DOLocationID", "delivery")) == [(1, 2, 4, 0), (1, 2, 4, 1), (1, 2, 4, 1), (2, 2, 4, 0)]
 
 
+def test_reconciled_keys_travel_once(spark):
+    left = spark.createDataFrame([(1,), (1,), (2,), (None,), (5,)], "id long")
+    right = spark.createDataFrame([(2,), (3,), (3,), (None,), (5,)], "id long")
+    found = reconcile(left, right, "id")
+    assert "Join" not in plan(found) and plan(found).count("Exchange") == 1
+    assert rows(found) == [(1, "left"), (3, "right")] == rows(reconcile(left, right.select(F.col("id").cast("int")), "id"))
+
+
 def test_a_set_with_many_repeats_is_not_counted_whole(spark, monkeypatch):
     ask, asked = key_search._repeated, []
     monkeypatch.setattr(key_search, "_repeated", lambda df, key: asked.append(df.count()) or ask(df, key))
