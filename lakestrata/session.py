@@ -28,6 +28,26 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SPLIT = "spark.sql.files.maxPartitionBytes"
+SOURCE_SHARE = 4 << 20  # bytes of Parquet per shuffle partition that AQE starts from
+
+
+def fit_to(spark: SparkSession, path: str) -> None:
+    """Let the parts that tasks work on depend on the size of the source at ``path``, not on a fixed number of partitions.
+
+    AQE only merges shuffle partitions, so with a fixed number the rows that one task reads and sorts grow with the table. It starts from one for each
+    ``SOURCE_SHARE`` bytes instead, if that is more than the session's own number, which is never lowered. Scans are split finely enough for the sort or
+    hash table in front of a shuffle, unless the session sets its own size.
+    """
+    files, place = _file_system(spark, path)
+    wanted = files.getContentSummary(place).getLength() // SOURCE_SHARE + 1
+    if wanted > max(int(spark.conf.get(INITIAL, "1")), int(spark.conf.get("spark.sql.shuffle.partitions"))):
+        spark.conf.set(INITIAL, str(wanted))
+    if spark.conf.get(SPLIT, None) is None:
+        spark.conf.set(SPLIT, "32m")
+
+
 def session(app: str = "lakestrata", master: str | None = None, **conf: str) -> SparkSession:
     """A new session with the runtime settings; extra settings as keyword arguments with '__' for '.'."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")

@@ -25,16 +25,20 @@ from lakestrata.operators.lineage import stamp, stamp_source
 from lakestrata.plans.gold import build_calendar, build_coded_dim, build_reference_dim, build_trip_fact
 from lakestrata.plans.presets import DROPOFF, PICKUP, TRIP_KEY_ORDER, TRIP_RULES
 from lakestrata.plans.silver import clean_events, clean_reference, clean_series
-from lakestrata.session import configure, new_path
+from lakestrata.session import configure, fit_to, new_path
 
 AT = dt.datetime(2026, 6, 1)
 RULES = replace(TRIP_RULES, first_day="1996-01-01")
 UNTIL = dt.date(2000, 12, 31)
+FILE_ROWS = 1_000_000  # a file has one row group, which no scan splits
 BOROUGHS = ["Africa", "America", "Asia", "Europe"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    rows = configure(spark).read.parquet(path)
+    fit_to(spark, path)
+    return rows
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +178,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
     built = BUILDERS[name](spark, sf_dir)
     path = new_path(spark, name)
-    built.write.option("compression", "zstd").parquet(path)
+    built.write.option("compression", "zstd").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     _written[key] = Written(path, built.schema)
     return spark.read.schema(built.schema).parquet(path)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
+from lakestrata import session
 from lakestrata.operators import duplicates
 from lakestrata.operators.lookups import reconcile
 from lakestrata.profiling import key_search
@@ -42,6 +43,37 @@ def test_trips_are_not_dealt_out_again_after_their_join(spark, sources):
     assert rows(landed.select("VendorID", "PULocationID", "DOLocationID", "delivery")) == [(1, 2, 4, 0), (1, 2, 4, 1), (1, 2, 4, 1), (2, 2, 4, 0)]
 
 
+@pytest.fixture
+def own_conf(spark):
+    """The settings that depend on a source's size, put back after the test."""
+    before = {key: spark.conf.get(key, None) for key in (session.INITIAL, session.SPLIT)}
+    for key in before:
+        spark.conf.unset(key)
+    yield spark.conf
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_shuffles_start_from_parts_that_follow_the_size_of_the_source(spark, sources, own_conf, monkeypatch):
+    standins.load(spark, sources, "lineitem")
+    assert own_conf.get(session.INITIAL, None) is None and own_conf.get(session.SPLIT) == "32m"  # a small table leaves the session's number
+    monkeypatch.setattr(session, "SOURCE_SHARE", 10)
+    own_conf.set(session.SPLIT, "5m")
+    counted = standins.load(spark, sources, "lineitem").groupBy("l_orderkey").count()
+    wanted = int(own_conf.get(session.INITIAL))
+    assert wanted > 100 and f", {wanted})" in plan(counted) and own_conf.get(session.SPLIT) == "5m"
+    monkeypatch.setattr(session, "SOURCE_SHARE", 1000)
+    standins.load(spark, sources, "orders")
+    assert int(own_conf.get(session.INITIAL)) == wanted
+
+
+def test_files_of_a_layer_hold_a_bounded_number_of_rows(spark, sources, monkeypatch):
+    monkeypatch.setattr(standins, "FILE_ROWS", 1)
+    monkeypatch.setattr(standins, "_written", {})
+    landed = standins.table(spark, sources, "landed_trips")
+    assert landed.count() == len(landed.inputFiles()) == 4
+
+
 def test_reconciled_keys_travel_once(spark):
     left = spark.createDataFrame([(1,), (1,), (2,), (None,), (5,)], "id long")
     right = spark.createDataFrame([(2,), (3,), (3,), (None,), (5,)], "id long")
