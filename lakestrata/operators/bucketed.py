@@ -24,6 +24,7 @@ from lakestrata.session import materialize, new_beside, swap_path
 
 HASH = "key_hash"
 MARK = "bucketed_by"
+BUCKET_ROWS = 250_000  # some 100 MB of wide rows, which a task sorts and joins with its part of the load
 
 
 class Bucketing(NamedTuple):
@@ -102,11 +103,15 @@ def _write(dealt: DataFrame, path: str, spec: Bucketing) -> None:
 
 
 def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int, null_safe: bool = True) -> DataFrame:
-    """Store ``df`` bucketed by ``keys``, in place of any table at ``path``. A bucket should be a few hundred MB when the table is full grown."""
-    spec = Bucketing(tuple(keys), buckets, null_safe)
+    """Store ``df`` bucketed by ``keys``, in place of any table at ``path``.
+
+    ``buckets`` is the least number: a table of more than ``BUCKET_ROWS`` rows a bucket gets as many more as it takes, so that what a task holds does not
+    grow with the table. ``df`` is counted for that. Upserts keep the number; a table that grows to a multiple by them is to be written again.
+    """
     rows = df.drop(HASH)
     rows = materialize(rows, "bucketed") if _reads(rows, path) else rows
-    _write(rows.withColumn(HASH, _hashed(rows, spec)).repartition(buckets, HASH), path, spec)
+    spec = Bucketing(tuple(keys), max(buckets, -(-rows.count() // BUCKET_ROWS)), null_safe)
+    _write(rows.withColumn(HASH, _hashed(rows, spec)).repartition(spec.buckets, HASH), path, spec)
     return read_bucketed(df.sparkSession, path)
 
 

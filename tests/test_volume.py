@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from lakestrata import session
-from lakestrata.operators import duplicates
+from lakestrata.operators import bucketed, duplicates
 from lakestrata.operators.lookups import reconcile
 from lakestrata.profiling import key_search
 from lakestrata.session import materialize
@@ -74,6 +74,15 @@ def test_files_of_a_layer_hold_a_bounded_number_of_rows(spark, sources, monkeypa
     assert landed.count() == len(landed.inputFiles()) == 4
 
 
+def test_a_large_table_gets_more_buckets_than_asked_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bucketed, "BUCKET_ROWS", 10)
+    path, target = str(tmp_path / "t"), spark.range(95).withColumn("v", F.lit("old"))
+    assert rows(bucketed.write_bucketed(target, path, ["id"], 4)) == rows(target)
+    assert bucketed.bucketing_of(spark.read.parquet(path)).buckets == 10
+    merged = bucketed.upsert_bucketed(spark, path, spark.range(90, 99).withColumn("v", F.lit("new")), ["id"])
+    assert rows(merged) == sorted([(i, "new" if i >= 90 else "old") for i in range(99)], key=repr)
+
+
 def test_reconciled_keys_travel_once(spark):
     left = spark.createDataFrame([(1,), (1,), (2,), (None,), (5,)], "id long")
     right = spark.createDataFrame([(2,), (3,), (3,), (None,), (5,)], "id long")
