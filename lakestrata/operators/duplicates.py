@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakestrata.session import materialize
 
-FEW = 500_000  # repeated hashes up to which rows are first looked up among them
+FEW = 500_000  # repeated hashes up to which rows are looked up among them, beyond that in a bitmap
+BITMAP_BITS = 28
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -36,20 +37,34 @@ def duplicate_summary(df: DataFrame, keys: Sequence[str], skip_null: bool = Fals
 def exact_duplicate_summary(df: DataFrame) -> DataFrame:
     """``duplicate_summary`` over whole rows.
 
-    Equal rows have equal hashes, so a first pass shuffles one 8-byte hash per row and writes the
-    hashes that repeat, and the number of all other rows under NULL. Being a written table its size is known: where few repeat (``FEW`` hashes) it is
-    broadcast, and only rows with such a hash travel and are compared in full. Where more do, a join with them would move every row as it is; so all rows
-    are compared in full, equal ones combined before they travel. ``df`` is read twice, so it should be a table rather than a long plan.
+    Equal rows have equal hashes, so a first pass shuffles one 8-byte hash per row and writes the hashes that repeat. Being a written table its size is
+    known: where few repeat (``FEW`` hashes) it is broadcast, else a bitmap of them is sent, which is bounded at any number of hashes and lets some others
+    pass. Only rows with such a hash travel, equal ones combined before, and are compared in full. ``df`` is read three times, so it should be a table
+    rather than a long plan.
     """
     columns = df.columns
     hashed = df.withColumn("_h", F.xxhash64(*columns))
     counts = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-    repeated = materialize(counts.groupBy(F.when(F.col("_n") > 1, F.col("_h")).alias("_h")).agg(F.sum("_n").alias("_n")), "repeated-hashes")
-    hashes = repeated.select("_h").filter("_h IS NOT NULL")
-    suspects = hashed.join(hashes, "_h", "left_semi") if hashes.limit(FEW + 1).count() <= FEW else df
-    suspects = key_counts(suspects, columns)
+    hashes = materialize(counts.filter("_n > 1").select("_h"), "repeated-hashes")
+    few = hashes.limit(FEW + 1).count() <= FEW
+    suspects = key_counts(hashed.join(hashes, "_h", "left_semi") if few else _in_bitmap(hashed, hashes), columns)
     found = suspects.agg((F.coalesce(F.sum("_n"), F.lit(0)) - F.count(F.lit(1))).alias("duplicates"),
                          F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("rows_in_duplicates"))
-    records = repeated.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).scalar()
+    records = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     return found.select(records.alias("records"), (records - F.col("duplicates")).alias("unique_keys"), "duplicates",
                         "rows_in_duplicates")
+
+
+def _in_bitmap(hashed: DataFrame, hashes: DataFrame) -> DataFrame:
+    """Rows whose hash ``_h`` is among ``hashes``, and a few others whose hash shares its last bits with one of them.
+
+    One bit per value of the hash's last ``BITMAP_BITS`` bits, in pieces of 4 KB that go to the tasks as one array: 32 MB at any number of hashes.
+    """
+    place = F.col("_h").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    piece, at = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    used = hashes.groupBy(piece.alias("_piece")).agg(F.bitmap_construct_agg(at).alias("_bits"))
+    every = hashes.sparkSession.range(1, (1 << max(BITMAP_BITS - 15, 0)) + 1).select(F.col("id").alias("_piece"), F.unhex(F.lit("00")).alias("_bits"))
+    filled = used.unionByName(every).groupBy("_piece").agg(F.max("_bits").alias("_bits"))
+    bits = filled.agg(F.array_sort(F.collect_list(F.struct("_piece", "_bits"))).getField("_bits").alias("bits")).scalar()
+    byte = F.conv(F.hex(F.substring(F.get(bits, (piece - 1).cast("int")), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return hashed.filter(F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False)))

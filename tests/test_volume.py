@@ -109,3 +109,15 @@ def test_where_many_hashes_repeat_equal_rows_are_combined_before_they_travel(spa
     text = plan(many)
     assert "Join" not in text and text.rindex("partial_count") > text.index("Exchange hashpartitioning(a")
     assert [tuple(r) for r in many.collect()] == few == [(7, 4, 3, 5)]
+
+
+def test_where_many_hashes_repeat_only_their_rows_travel(spark, monkeypatch):
+    df = materialize(spark.range(3000).select(F.when(F.col("id") < 2900, F.col("id")).otherwise(F.col("id") % 7).alias("a"), F.lit(None).cast("string").alias("b")))
+    count, travelled = duplicates.key_counts, []
+    monkeypatch.setattr(duplicates, "key_counts", lambda rows, keys: travelled.append(rows.count()) or count(rows, keys))
+    want = [tuple(r) for r in duplicates.exact_duplicate_summary(df).collect()]
+    monkeypatch.setattr(duplicates, "FEW", 0)
+    for bits in (28, 16, 3):
+        monkeypatch.setattr(duplicates, "BITMAP_BITS", bits)
+        assert [tuple(r) for r in duplicates.exact_duplicate_summary(df).collect()] == want == [(3000, 2900, 100, 107)]
+    assert travelled[:2] == [107, 107] and 107 <= travelled[2] < 300
