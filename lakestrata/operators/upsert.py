@@ -14,6 +14,7 @@ from lakestrata.session import materialize
 
 SRC = "_src_"
 HIT = "_matched"
+OLD = "_was_there"
 
 
 class DuplicateSourceKeys(ValueError):
@@ -108,13 +109,18 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, null_sa
 
 
 def upsert_keyed(target: DataFrame, source: DataFrame, keys: Sequence[str], key: str, order_by: Sequence[str],
-                 after: Column | None = None, **options) -> DataFrame:
+                 after: Column | None = None, bulk: bool = False, **options) -> DataFrame:
     """Upsert into a table with a surrogate key: known rows keep theirs, inserted rows get the next numbers.
 
     Numbering follows ``order_by`` and starts after ``after`` (default: the largest key of the target).
-    Only the inserted rows are sorted and written to number them; the target is passed through.
+    Only the inserted rows are sorted and written to number them; the target is passed through. With ``bulk``, for a source of the target's order of
+    size, both travel once: the rows are the same, and written once to tell the inserted ones.
     """
-    kept, fresh = split_upsert(target, source, keys, **options)
+    if bulk:
+        merged = materialize(upsert(target.withColumn(OLD, F.lit(True)), source, keys, bulk=True, **options), "merged")
+        kept, fresh = merged.filter(F.col(OLD)).drop(OLD), merged.filter(F.col(OLD).isNull()).drop(OLD)
+    else:
+        kept, fresh = split_upsert(target, source, keys, **options)
     last = target.agg(F.max(key).alias("k")).scalar() if after is None else after
     return kept.unionByName(number_rows(fresh, key, order_by, after=last).select(*target.columns))
 

@@ -107,6 +107,7 @@ def join_trip_dimensions(silver: DataFrame, calendar: DataFrame, location: DataF
     return lookup(trips, location, "DOLocationID", "location_id", {"location_key": "dropoff_location_key"})
 
 
+SMALL_LOAD = 10  # a load of less than a tenth of the fact is looked up in it, a larger one joined with it
 FACT_ORDER = ["vendor_id" if c == "VendorID" else c for c in TRIP_KEY_ORDER]
 
 
@@ -128,11 +129,12 @@ def build_trip_fact(silver: DataFrame, calendar: DataFrame, location: DataFrame,
                     existing: DataFrame | None = None, at: dt.datetime | None = None) -> DataFrame:
     """The trip fact. Matching against ``existing`` uses the trip's own values, not surrogate keys.
 
-    ``existing`` is passed through; for a large fact ``Warehouse.refresh_fact`` touches only the months
+    ``existing`` is counted and, beside a small load, passed through; for a large fact ``Warehouse.refresh_fact`` touches only the months
     of the load.
     """
     rows = trip_fact_rows(silver, calendar, location, weather, at)
     if existing is None:
         return number_rows(rows, "trip_key", FACT_ORDER)
-    return upsert_keyed(existing, materialize(rows, "fact-batch"), FACT_ORDER, "trip_key", FACT_ORDER,
+    batch = materialize(rows, "fact-batch")
+    return upsert_keyed(existing, batch, FACT_ORDER, "trip_key", FACT_ORDER, bulk=SMALL_LOAD * batch.count() >= existing.count(),
                         check_source=False)

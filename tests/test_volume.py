@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from lakestrata import session
-from lakestrata.operators import bucketed, duplicates
+from lakestrata.operators import bucketed, duplicates, upsert
 from lakestrata.operators.lookups import reconcile
 from lakestrata.profiling import key_search
 from lakestrata.session import materialize
@@ -83,6 +83,14 @@ def test_a_large_table_gets_more_buckets_than_asked_for(spark, tmp_path, monkeyp
     assert rows(merged) == sorted([(i, "new" if i >= 90 else "old") for i in range(99)], key=repr)
 
 
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_a_load_as_large_as_the_table_travels_once(spark, monkeypatch, null_safe):
+    old = materialize(spark.createDataFrame([(9, 1, "a", 1), (None, 2, None, 1), (4, None, "c", 1), (5, 3, "d", 1), (6, 3, "d", 2)], "k long, a int, b string, v int"))
+    load = materialize(spark.createDataFrame([(1, "a", 7), (2, None, 7), (None, "c", 7), (3, "d", 7), (3, "e", 7), (None, "z", 7)], "a int, b string, v int"))
+    small, large = (upsert.upsert_keyed(old, load, ["a", "b"], "k", ["b", "a", "v"], bulk=b, null_safe=null_safe, check_source=False) for b in (False, True))
+    assert rows(large) == rows(small) and large.columns == small.columns and plan(large).count("Join") < plan(small).count("Join")
+
+
 def test_reconciled_keys_travel_once(spark):
     left = spark.createDataFrame([(1,), (1,), (2,), (None,), (5,)], "id long")
     right = spark.createDataFrame([(2,), (3,), (3,), (None,), (5,)], "id long")
